@@ -118,7 +118,7 @@ def fit_centres(
     counts: Iterable[int] = S.CLUSTER_COUNTS,
     seed: int = S.SEED,
     max_iter: int = 20,
-    parallelism: int = 3,
+    parallelism: int = 6,
 ) -> dict[int, list[list[float]]]:
     """Fit one k-means model per k over persisted vectors; centres come in coordinate order.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,26 +17,17 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def dedup(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (), copies: str | None = None
-) -> DataFrame:
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the least row by ``order_by``, then by the remaining columns.
 
-    The least row is an aggregate, so copies shrink inside each task before the shuffle and a key
-    that holds a large share of the table costs one row per task. Rows without a key form one group.
-    ``copies`` names a column for the number of input rows behind each result row.
+    Keeping only the first row lets Spark apply the limit inside each task before the shuffle, so a
+    key that holds a large share of the table costs one row per task. Rows without a key form one
+    group. Ordering by every column makes the result the same on every run.
     """
     rest = list(order_by) + [c for c in df.columns if c not in keys and c not in order_by]
-    least = F.min(F.struct(*[F.col(quoted(c)) for c in rest], F.lit(0).alias("_"))).alias("_row")
-    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    picked = df.groupBy(*[quoted(k) for k in keys]).agg(least, *counted)
-    return picked.select(
-        *[
-            F.col(quoted(c)) if c in keys else F.col("_row").getField(c).alias(c)
-            for c in df.columns
-        ],
-        *([copies] if copies else []),
-    )
+    by_key = W.partitionBy(*[quoted(k) for k in keys])
+    first = F.row_number().over(by_key.orderBy(*[quoted(c) for c in rest or keys]))
+    return df.withColumn("_place", first).where("_place = 1").drop("_place")
 
 
 def fill_constant(df: DataFrame, columns: Sequence[str], value: str = S.UNKNOWN) -> DataFrame:

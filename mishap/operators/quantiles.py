@@ -22,14 +22,21 @@ class _Target:
     """The ``rank``-th smallest value of a column, known to lie strictly between two bounds."""
 
     column: str
-    rank: int
+    rank: int = 0
     low: float | None = None
     high: float | None = None
     below: int = 0
     distinct: int | None = None
     value: float | None = None
+    # Values to test next, expected to enclose the target.
     candidates: tuple[float, float] | None = None
 
+    @property
+    def countable(self) -> bool:
+        """Few enough distinct values are left to count each of them."""
+        few = self.distinct is not None and self.distinct <= FINAL_VALUES
+        return few and self.candidates is None
+
     def inside(self, values: Column) -> Column:
         kept = values.isNotNull()
         if self.low is not None:
@@ -38,13 +45,43 @@ class _Target:
             kept = kept & (values < self.high)
         return kept
 
-
-def _grid_columns(target: _Target, i: int) -> list[Column]:
+    def narrow(self, row, i: int) -> None:
+        """Use the counts of one pass to pick the answer or a narrower open interval."""
+        if self.candidates:
+            low, high = self.candidates
+            upto_low = row[f"lt_low_{i}"] + row[f"eq_low_{i}"]
+            lt_high = row[f"lt_high_{i}"]
+            upto_high = lt_high + row[f"eq_high_{i}"]
+            self.candidates = None
+            if self.rank <= row[f"lt_low_{i}"]:
+                self.high, self.distinct = low, None
+            elif self.rank <= upto_low:
+                self.value = low
+            elif self.rank > upto_high:
+                self.low, self.below, self.distinct = high, upto_high, None
+            elif self.rank > lt_high:
+                self.value = high
+            else:
+                self.low, self.high, self.below = low, high, upto_low
+                self._plan(row, i)
+        else:
+            self._plan(row, i)
+
+    def _plan(self, row, i: int) -> None:
+        """Choose the next values to test from the grid of the current interval."""
+        self.distinct = row[f"distinct_{i}"]
+        if not self.countable:
+            grid, rows = row[f"grid_{i}"], row[f"rows_{i}"]
+            step = (self.rank - self.below) * GRID_STEPS // rows
+            self.candidates = grid[max(0, step - SLACK)], grid[min(GRID_STEPS, step + SLACK)]
+
+
+def _pass_columns(target: _Target, i: int) -> list[Column]:
     values = present(F.col(quoted(target.column)))
-    low, high = target.candidates or (None, None)
     kept = target.inside(values)
     columns = []
     if target.candidates:
+        low, high = target.candidates
         for name, hit in [
             ("lt_low", values < low),
             ("eq_low", values == low),
@@ -55,87 +92,48 @@ def _grid_columns(target: _Target, i: int) -> list[Column]:
         kept = kept & (values > low) & (values < high)
     inner = F.when(kept, values)
     steps = [s / GRID_STEPS for s in range(GRID_STEPS + 1)]
-    columns.append(F.percentile_approx(inner, steps, GRID_ACCURACY).alias(f"grid_{i}"))
-    columns.append(F.approx_count_distinct(inner).alias(f"distinct_{i}"))
-    columns.append(F.count(inner).alias(f"rows_{i}"))
-    return columns
-
-
-def _narrow(target: _Target, row, i: int) -> None:
-    """Use the counts of one pass to pick the answer or a narrower open interval."""
-    if target.candidates:
-        low, high = target.candidates
-        lt_low, eq_low = row[f"lt_low_{i}"], row[f"eq_low_{i}"]
-        lt_high, eq_high = row[f"lt_high_{i}"], row[f"eq_high_{i}"]
-        target.candidates = None
-        if lt_low < target.rank <= lt_low + eq_low:
-            target.value = low
-            return
-        if lt_high < target.rank <= lt_high + eq_high:
-            target.value = high
-            return
-        if target.rank <= lt_low:
-            target.high, target.distinct = low, None
-            return
-        if target.rank > lt_high + eq_high:
-            target.low, target.below, target.distinct = high, lt_high + eq_high, None
-            return
-        target.low, target.high, target.below = low, high, lt_low + eq_low
-    target.distinct = row[f"distinct_{i}"]
-    if target.distinct <= FINAL_VALUES // 2:
-        return
-    grid, rows = row[f"grid_{i}"], row[f"rows_{i}"]
-    step = (target.rank - target.below) * GRID_STEPS // rows
-    target.candidates = (
-        grid[max(0, step - SLACK)],
-        grid[min(GRID_STEPS, step + SLACK)],
-    )
+    return columns + [
+        F.percentile_approx(inner, steps, GRID_ACCURACY).alias(f"grid_{i}"),
+        F.approx_count_distinct(inner).alias(f"distinct_{i}"),
+        F.count(inner).alias(f"rows_{i}"),
+    ]
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:
-    """Count the few distinct values left around each target and pick by rank."""
-    for target in targets:
+    """Count the few distinct values left around every target, in one pass, and pick by rank."""
+    if not targets:
+        return
+    kept = []
+    for i, target in enumerate(targets):
         values = present(F.col(quoted(target.column)))
-        counted = (
-            df.select(values.alias("value"))
-            .where(target.inside(F.col("value")))
-            .groupBy("value")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("value")
-            .limit(2 * FINAL_VALUES)
-            .collect()
-        )
+        kept.append(F.struct(F.lit(i).alias("i"), F.when(target.inside(values), values).alias("value")))
+    counted = (
+        df.select(F.inline(F.array(*kept)))
+        .where(F.col("value").isNotNull())
+        .groupBy("i", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .limit(2 * FINAL_VALUES * len(targets))
+        .collect()
+    )
+    for i, target in enumerate(targets):
         seen = target.below
-        for value, n in counted:
+        for _, value, n in sorted(r for r in counted if r["i"] == i):
             seen += n
             if seen >= target.rank:
                 target.value = value
                 break
 
 
-def select_ranks(df: DataFrame, ranks: Sequence[tuple[str, int]]) -> list[float]:
-    """The value at each (column, rank), rank 1 being the least value that is not missing.
-
-    Every pass is one aggregation: it counts around the last bounds and draws a quantile grid of
-    what lies between them, which keeps about 1/250 of those rows. Bounds are exclusive, so a value
-    that fills much of the column cannot stall the narrowing. Only counts, grids and at most
-    ``2 * FINAL_VALUES`` distinct values ever reach the driver.
-    """
-    targets = [_Target(column, rank) for column, rank in ranks]
+def _resolve(df: DataFrame, targets: list[_Target]) -> None:
+    """Narrow every target by passes over the table until its value is known."""
     while True:
-        open_targets = [t for t in targets if t.value is None]
-        wide = [
-            t
-            for t in open_targets
-            if t.candidates or t.distinct is None or t.distinct > FINAL_VALUES // 2
-        ]
+        wide = [t for t in targets if t.value is None and not t.countable]
         if not wide:
             break
-        row = df.agg(*[c for i, t in enumerate(wide) for c in _grid_columns(t, i)]).first()
+        row = df.agg(*[c for i, t in enumerate(wide) for c in _pass_columns(t, i)]).first()
         for i, target in enumerate(wide):
-            _narrow(target, row, i)
+            target.narrow(row, i)
     _finish(df, [t for t in targets if t.value is None])
-    return [t.value for t in targets]
 
 
 def exact_medians(
@@ -145,16 +143,26 @@ def exact_medians(
 
     The lower median is a value of the column. With ``midpoint`` an even count gives the mean of
     the two middle values.
+
+    Every pass is one aggregation: it counts around the last bounds and draws a quantile grid of
+    what lies between them, which keeps about 1/250 of those rows. Bounds are exclusive, so a value
+    that fills much of the column cannot stall the narrowing. Only counts, grids and the last few
+    distinct values reach the driver. The passes share a held copy of just these columns.
     """
-    counts = df.agg(*[F.count(present(F.col(quoted(c)))).alias(c) for c in columns]).first()
-    ranks = []
-    for c in columns:
-        n = counts[c]
-        if n:
-            ranks.append((c, (n + 1) // 2))
-            if midpoint and n % 2 == 0:
-                ranks.append((c, n // 2 + 1))
-    found: dict[str, list[float]] = {}
-    for (c, _), value in zip(ranks, select_ranks(df, ranks)):
-        found.setdefault(c, []).append(value)
-    return {c: sum(found[c]) / len(found[c]) if c in found else None for c in columns}
+    narrow = df.select(*[quoted(c) for c in columns]).persist()
+    try:
+        first = [_Target(c) for c in columns]
+        row = narrow.agg(*[c for i, t in enumerate(first) for c in _pass_columns(t, i)]).first()
+        targets = []
+        for i, target in enumerate(first):
+            n = row[f"rows_{i}"]
+            ranks = [(n + 1) // 2] + ([n // 2 + 1] if midpoint and n % 2 == 0 else []) if n else []
+            for rank in ranks:
+                found = _Target(target.column, rank)
+                found.narrow(row, i)
+                targets.append(found)
+        _resolve(narrow, targets)
+    finally:
+        narrow.unpersist()
+    values = {c: [t.value for t in targets if t.column == c] for c in columns}
+    return {c: sum(v) / len(v) if v else None for c, v in values.items()}

@@ -47,7 +47,7 @@ def fit_hotspots(
     counts: Iterable[int] = S.CLUSTER_COUNTS,
     seed: int = S.SEED,
     max_iter: int = 20,
-    parallelism: int = 3,
+    parallelism: int = 6,
 ) -> Hotspots:
     """Scale, fit every k and score all of them.
 
