@@ -210,19 +210,22 @@ def silhouette(
     )
     profiles = F.element_at(table.scalar(), F.col("g"))
 
-    def mean_distance(p: Column) -> Column:
+    def step(seen: Column, p: Column) -> Column:
         dot = sum((p[f"s{i}"] * x for i, x in enumerate(xs)), F.lit(0.0))
-        return F.col("norm") + p["q"] / p["n"] - 2 * dot / p["n"]
+        distance = F.col("norm") + p["q"] / p["n"] - 2 * dot / p["n"]
+        mine = p["c"] == F.col("c")
+        return F.struct(
+            F.when(mine, p["n"]).otherwise(seen["size"]).alias("size"),
+            F.when(mine, distance).otherwise(seen["own"]).alias("own"),
+            F.when(mine, seen["other"]).otherwise(F.least(seen["other"], distance)).alias("other"),
+        )
 
+    unknown = F.lit(None).cast("double")
+    start = F.struct(*[unknown.alias(name) for name in ("size", "own", "other")])
     scored = rows.withColumns({"norm": norm, "p": profiles})
-    own = F.get(F.filter("p", lambda p: p["c"] == F.col("c")), F.lit(0))
-    others = F.filter("p", lambda p: p["c"] != F.col("c"))
-    scored = scored.withColumns(
-        {
-            "size": own["n"],
-            "a": F.try_divide(mean_distance(own) * own["n"], own["n"] - 1),
-            "b": F.array_min(F.transform(others, mean_distance)),
-        }
+    scored = scored.withColumn("d", F.aggregate("p", start, step))
+    scored = scored.select("g", "w", "d.*").withColumns(
+        {"a": F.try_divide(F.col("own") * F.col("size"), F.col("size") - 1), "b": F.col("other")}
     )
     score = (
         F.when((F.col("size") <= 1) | F.col("b").isNull(), 0.0)

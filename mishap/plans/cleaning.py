@@ -28,9 +28,11 @@ def clean(
     """
     unique = dedup(df.drop(*S.DROPPED), [row_id])
     measured = _listed(unique, S.MEASURED)
+    labelled = fill_constant(unique, _listed(unique, S.LABELLED))
+    if not measured:
+        return labelled
     if median_values is None:
         median_values = medians(unique, measured, relative_error)
-    labelled = fill_constant(unique, _listed(unique, S.LABELLED))
     return fill_numbers(labelled, measured, median_values)
 
 
