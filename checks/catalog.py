@@ -471,7 +471,8 @@ def one_hot(spark, sf):
     features = forest.FeatureSet(numeric=(), categorical=("p_type", "p_brand"), binary=())
     # Training rows: a promo part counts with its type missing.
     train = parts.withColumn("p_type", F.expr("nullif(p_type, 'PROMO')"))
-    prepare, names = forest.preprocessor(train, features, CHECK_FOREST)
+    seen = forest.training_counts(train, features)
+    prepare, names = forest.preprocessor(train, features, CHECK_FOREST, seen)
     vectors = prepare.transform(parts).select(
         "p_partkey", F.posexplode(forest.vector_to_array(forest.FEATURES)).alias("position", "value")
     )

@@ -15,11 +15,11 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mishap import schemas as S
-from mishap.operators.encoding import categories, category_counts, class_weights
+from mishap.operators.encoding import balanced_weight, categories, category_counts
 from mishap.operators.hygiene import medians, quoted
 from mishap.operators.quantiles import exact_medians
 
@@ -68,15 +68,25 @@ def _mode(counts: dict[str, int]) -> str:
     return min(counts, key=lambda value: (-counts[value], value))
 
 
+def training_counts(train: DataFrame, features: FeatureSet, *others: str) -> dict[str, dict[str, int]]:
+    """Rows per value of the categorical, binary and other named columns, in one pass."""
+    columns = [F.col(quoted(c)) for c in [*features.categorical, *others]]
+    columns += [F.col(quoted(c)).cast("int").alias(c) for c in features.binary]
+    named = train.select(*columns)
+    return categories(category_counts(named, named.columns))
+
+
 def preprocessor(
-    train: DataFrame, features: FeatureSet, params: ForestParams
+    train: DataFrame,
+    features: FeatureSet,
+    params: ForestParams,
+    seen: dict[str, dict[str, int]],
 ) -> tuple[PipelineModel, list[str]]:
-    """Impute, one-hot encode and assemble, learned from the training rows.
+    """Impute, one-hot encode and assemble, learned from the training rows and their value counts.
 
-    Medians take one pass and the value counts of all other columns another. The counts give both
-    the modes and the category lists, so the indexer and the encoder need no pass of their own. A
-    category that training did not see encodes to zeros; a column without training values is left
-    out of the vector.
+    The counts give the modes and the category lists, so the indexer and the encoder need no pass
+    of their own; the medians take one. A category that training did not see encodes to zeros; a
+    column without training values is left out of the vector.
     """
     if not features.numeric:
         median = {}
@@ -84,11 +94,6 @@ def preprocessor(
         median = exact_medians(train, features.numeric, midpoint=True)
     else:
         median = medians(train, features.numeric, params.relative_error).first().asDict()
-    flags = train.select(
-        *[quoted(c) for c in features.categorical],
-        *[F.col(quoted(c)).cast("int").alias(c) for c in features.binary],
-    )
-    seen = categories(category_counts(flags, flags.columns))
 
     numeric = [c for c in features.numeric if median[c] is not None]
     categorical = [c for c in features.categorical if c in seen]
@@ -142,14 +147,17 @@ def fit_forest(
     params: ForestParams = ForestParams(),
 ) -> RiskModel:
     """Fit the preprocessing and a forest with balanced class weights on the labelled rows."""
-    train = train.select(quoted(label), *[quoted(c) for c in features.all]).where(
-        F.col(quoted(label)).isNotNull()
+    of_class = F.col(quoted(label)).cast("string")
+    train = train.select(of_class.alias(label), *[quoted(c) for c in features.all]).where(
+        of_class.isNotNull()
     )
-    weights = {row[0]: row["weight"] for row in class_weights(train, label).collect()}
+    seen = training_counts(train, features, label)
+    sizes = seen.pop(label)
+    weights = {c: balanced_weight(sum(sizes.values()), len(sizes), n) for c, n in sizes.items()}
     classes = sorted(weights)
-    prepare, names = preprocessor(train, features, params)
+    prepare, names = preprocessor(train, features, params, seen)
 
-    def lookup(values: dict) -> F.Column:
+    def lookup(values: dict) -> Column:
         pairs = [F.lit(x) for item in values.items() for x in item]
         return F.element_at(F.create_map(*pairs), F.col(quoted(label)))
 

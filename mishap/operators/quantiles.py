@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from mishap.operators.hygiene import quoted
 GRID_STEPS = 1_000
 GRID_ACCURACY = 10_000
 SLACK = 2
-FINAL_VALUES = 10_000
+FINAL_ROWS = 10_000
 
 
 @dataclass
@@ -26,16 +27,15 @@ class _Target:
     low: float | None = None
     high: float | None = None
     below: int = 0
-    distinct: int | None = None
+    rows: int | None = None
     value: float | None = None
     # Values to test next, expected to enclose the target.
     candidates: tuple[float, float] | None = None
 
     @property
     def countable(self) -> bool:
-        """Few enough distinct values are left to count each of them."""
-        few = self.distinct is not None and self.distinct <= FINAL_VALUES
-        return few and self.candidates is None
+        """Few enough rows are left to fetch their values."""
+        return self.candidates is None and self.rows is not None and self.rows <= FINAL_ROWS
 
     def inside(self, values: Column) -> Column:
         kept = values.isNotNull()
@@ -54,11 +54,11 @@ class _Target:
             upto_high = lt_high + row[f"eq_high_{i}"]
             self.candidates = None
             if self.rank <= row[f"lt_low_{i}"]:
-                self.high, self.distinct = low, None
+                self.high, self.rows = low, None
             elif self.rank <= upto_low:
                 self.value = low
             elif self.rank > upto_high:
-                self.low, self.below, self.distinct = high, upto_high, None
+                self.low, self.below, self.rows = high, upto_high, None
             elif self.rank > lt_high:
                 self.value = high
             else:
@@ -69,10 +69,10 @@ class _Target:
 
     def _plan(self, row, i: int) -> None:
         """Choose the next values to test from the grid of the current interval."""
-        self.distinct = row[f"distinct_{i}"]
+        self.rows = row[f"rows_{i}"]
         if not self.countable:
-            grid, rows = row[f"grid_{i}"], row[f"rows_{i}"]
-            step = (self.rank - self.below) * GRID_STEPS // rows
+            grid = row[f"grid_{i}"]
+            step = (self.rank - self.below) * GRID_STEPS // self.rows
             self.candidates = grid[max(0, step - SLACK)], grid[min(GRID_STEPS, step + SLACK)]
 
 
@@ -91,16 +91,15 @@ def _pass_columns(target: _Target, i: int) -> list[Column]:
             columns.append(F.count_if(hit).alias(f"{name}_{i}"))
         kept = kept & (values > low) & (values < high)
     inner = F.when(kept, values)
-    steps = [s / GRID_STEPS for s in range(GRID_STEPS + 1)]
+    steps = F.lit(np.linspace(0.0, 1.0, GRID_STEPS + 1))
     return columns + [
         F.percentile_approx(inner, steps, GRID_ACCURACY).alias(f"grid_{i}"),
-        F.approx_count_distinct(inner).alias(f"distinct_{i}"),
         F.count(inner).alias(f"rows_{i}"),
     ]
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:
-    """Count the few distinct values left around every target, in one pass, and pick by rank."""
+    """Count the few values left around every target, in one pass, and pick by rank."""
     if not targets:
         return
     kept = []
@@ -112,7 +111,6 @@ def _finish(df: DataFrame, targets: list[_Target]) -> None:
         .where(F.col("value").isNotNull())
         .groupBy("i", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .limit(2 * FINAL_VALUES * len(targets))
         .collect()
     )
     for i, target in enumerate(targets):
@@ -146,8 +144,8 @@ def exact_medians(
 
     Every pass is one aggregation: it counts around the last bounds and draws a quantile grid of
     what lies between them, which keeps about 1/250 of those rows. Bounds are exclusive, so a value
-    that fills much of the column cannot stall the narrowing. Only counts, grids and the last few
-    distinct values reach the driver. The passes share a held copy of just these columns.
+    that fills much of the column cannot stall the narrowing. Only counts, grids and the last
+    ``FINAL_ROWS`` values of a rank reach the driver. The passes share a held copy of just these columns.
     """
     narrow = df.select(*[quoted(c) for c in columns]).persist()
     try:

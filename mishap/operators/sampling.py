@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,32 +23,42 @@ def hashed_order(row_id: str, seed: int = S.SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(quoted(row_id)).cast("string")))
 
 
-def key_cutoffs(keyed: DataFrame, strata: Sequence[str], quotas: DataFrame) -> DataFrame:
+def key_cutoffs(
+    keyed: DataFrame, strata: Sequence[str], quota_of: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """Per stratum, the key of its ``quota``-th row in key order, as (strata, _cutoff).
 
     Rows are counted by a key prefix of four hex digits, so a stratum yields at most 65,536 counts
-    whatever its size. The prefix in which the quota falls is refined the same way until few rows
-    share it, and only those are ranked. A stratum with quota 0 has no cutoff.
+    whatever its size. The sums of those counts are the stratum sizes (strata, rows) from which
+    ``quota_of`` derives (strata, quota). The prefix in which a quota falls is refined the same way
+    until few rows share it, and only those are ranked. A stratum with quota 0 has no cutoff.
     """
     strata = list(strata)
     keyed = keyed.select(*strata, KEY)
     by_stratum = W.partitionBy(*strata)
     upto = F.sum("_n").over(by_stratum.orderBy("_prefix"))
-    needed = pin(quotas.select(*strata, F.col("quota").alias("_need")).where("_need > 0"))
-    rest = keyed
-    for length in range(PREFIX_STEP, KEY_LENGTH + 1, PREFIX_STEP):
-        counts = rest.groupBy(*strata, F.substring(KEY, 1, length).alias("_prefix")).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-        edge = pin(
-            counts.withColumn("_upto", upto)
-            .join(needed, strata)
-            .where("_upto >= _need and _upto - _n < _need")
-            .select(*strata, "_prefix", "_n", F.expr("_need - (_upto - _n)").alias("_need"))
+
+    def counted(rows: DataFrame, length: int) -> DataFrame:
+        prefix = F.substring(KEY, 1, length).alias("_prefix")
+        return rows.groupBy(*strata, prefix).agg(F.count(F.lit(1)).alias("_n"))
+
+    def edges(counts: DataFrame, needed: DataFrame) -> DataFrame:
+        found = counts.withColumn("_upto", upto).join(needed, strata)
+        found = found.where("_upto >= _need and _upto - _n < _need")
+        return pin(
+            found.select(*strata, "_prefix", "_n", F.expr("_need - (_upto - _n)").alias("_need"))
         )
+
+    counts = counted(keyed, PREFIX_STEP).persist()
+    try:
+        sizes = counts.groupBy(*strata).agg(F.sum("_n").alias("rows"))
+        quotas = quota_of(sizes).where("quota > 0")
+        edge = edges(counts, pin(quotas.select(*strata, F.col("quota").alias("_need"))))
+    finally:
+        counts.unpersist()
+
+    for length in range(PREFIX_STEP, KEY_LENGTH, PREFIX_STEP):
         needed = edge.select(*strata, "_need")
-        if length == KEY_LENGTH:
-            break
         rest = (
             keyed.join(edge.select(*strata, "_prefix"), strata)
             .where(F.substring(KEY, 1, length) == F.col("_prefix"))
@@ -58,34 +68,32 @@ def key_cutoffs(keyed: DataFrame, strata: Sequence[str], quotas: DataFrame) -> D
             rank = F.row_number().over(by_stratum.orderBy(KEY))
             ranked = rest.withColumn("_rank", rank).join(needed, strata).where("_rank = _need")
             return ranked.select(*strata, F.col(KEY).alias("_cutoff"))
+        edge = edges(counted(rest, length + PREFIX_STEP), needed)
     # Whole keys: the rows that remain are copies of one id.
     return edge.select(*strata, F.col("_prefix").alias("_cutoff"))
 
 
-def split_quotas(df: DataFrame, label: str, test_fraction: float = 0.2) -> DataFrame:
-    """Test rows per class: a fixed total shared out in proportion, largest remainders first.
+def split_quotas(sizes: DataFrame, label: str, test_fraction: float = 0.2) -> DataFrame:
+    """Test rows per class, from the class sizes: a fixed total shared out by largest remainder.
 
-    The total is the test fraction of all rows, rounded up. The training rows are shared out and
-    the test rows are what is left of each class; equal remainders go to the lesser class name.
+    The total is the test fraction of all rows, rounded up. The training rows are shared out in
+    proportion and the test rows are what is left of each class; equal remainders go to the lesser
+    class name. Works on one row per class.
     """
-    counts = df.groupBy(F.col(quoted(label)).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(W.partitionBy())
-    wide = "decimal(38,0)"
+    whole_table = W.partitionBy()
+    exact = "decimal(19,0)"
     shared = (
-        counts.withColumn("_total", total)
+        sizes.withColumn("_total", F.sum("rows").over(whole_table))
         .withColumn("_train", F.col("_total") - F.ceil(F.col("_total") * F.lit(test_fraction)))
-        .withColumn("_product", F.col("_n").cast("decimal(19,0)") * F.col("_train").cast("decimal(19,0)"))
+        .withColumn("_product", F.col("rows").cast(exact) * F.col("_train").cast(exact))
         .withColumn("_whole", F.expr("_product div _total"))
-        .withColumn("_left", (F.col("_product") % F.col("_total").cast(wide)).cast(wide))
-        .withColumn("_order", F.row_number().over(W.partitionBy().orderBy(F.desc("_left"), "_label")))
-        .withColumn("_spare", F.col("_train") - F.sum("_whole").over(W.partitionBy()))
+        .withColumn("_left", F.expr("_product % _total"))
+        .withColumn("_order", F.row_number().over(whole_table.orderBy(F.desc("_left"), quoted(label))))
+        .withColumn("_spare", F.col("_train") - F.sum("_whole").over(whole_table))
     )
     extra = F.when(F.col("_order") <= F.col("_spare"), 1).otherwise(0)
-    return shared.select(
-        F.col("_label").alias(label),
-        F.col("_n").alias("rows"),
-        (F.col("_n") - F.col("_whole") - extra).cast("long").alias("quota"),
-    )
+    quota = (F.col("rows") - F.col("_whole") - extra).cast("long")
+    return shared.select(quoted(label), "rows", quota.alias("quota"))
 
 
 def stratified_split(
@@ -101,9 +109,8 @@ def stratified_split(
     the rows is then a broadcast lookup, so the wide table is not shuffled. Ids are taken to be
     unique, and rows without a label to be filtered out.
     """
-    quotas = pin(split_quotas(df, label, test_fraction))
-    keyed = df.select(F.col(quoted(label)), hashed_order(row_id, seed).alias(KEY))
-    cutoffs = key_cutoffs(keyed, [label], quotas.select(label, "quota"))
+    keyed = df.select(quoted(label), hashed_order(row_id, seed).alias(KEY))
+    cutoffs = key_cutoffs(keyed, [label], lambda sizes: split_quotas(sizes, label, test_fraction))
     marked = join_small(df, cutoffs, [label], "left")
     in_test = hashed_order(row_id, seed) <= F.col("_cutoff")
     split = F.when(in_test, "test").otherwise("train")
@@ -117,10 +124,8 @@ def exact_sample(df: DataFrame, row_id: str, limit: int, seed: int = S.SEED) ->
     sample instead of its own best ``limit`` rows.
     """
     keyed = df.select(F.lit(1).alias("_all"), hashed_order(row_id, seed).alias(KEY))
-    quota = df.agg(
-        F.lit(1).alias("_all"), F.least(F.count(F.lit(1)), F.lit(limit)).alias("quota")
-    )
-    cutoff = key_cutoffs(keyed, ["_all"], quota).first()
+    quota = F.least(F.col("rows"), F.lit(limit)).alias("quota")
+    cutoff = key_cutoffs(keyed, ["_all"], lambda sizes: sizes.select("_all", quota)).first()
     if cutoff is None:
         return df.limit(0)
     key = hashed_order(row_id, seed)

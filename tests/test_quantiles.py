@@ -30,7 +30,7 @@ def test_medians_match_sorting(spark, size):
 @pytest.mark.parametrize("final", [5, 50])
 def test_narrowing_passes(spark, monkeypatch, final):
     """With few values left to the last step, the answer comes from repeated narrowing."""
-    monkeypatch.setattr(quantiles, "FINAL_VALUES", final)
+    monkeypatch.setattr(quantiles, "FINAL_ROWS", final)
     monkeypatch.setattr(quantiles, "GRID_STEPS", 20)
     rng = np.random.default_rng(final)
     columns = {
