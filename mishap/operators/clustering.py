@@ -55,7 +55,7 @@ def fit_scaling(df: DataFrame, features: Sequence[str]) -> Scaling:
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(usable).alias("complete"),
-        F.approx_count_distinct(F.when(usable, points)).alias("distinct"),
+        F.approx_count_distinct(F.when(usable, points), 0.1).alias("distinct"),
         *[
             how(F.when(usable, present(F.col(quoted(f))))).alias(f"{name}_{i}")
             for i, f in enumerate(features)
@@ -165,8 +165,12 @@ def assign_clusters(
     name: str = S.CLUSTER,
 ) -> DataFrame:
     """Add the nearest centre to every row; a row that lacks a feature has no cluster."""
-    values = [scaling.scaled(f) if scaling else present(F.col(quoted(f))) for f in features]
-    return df.withColumn(name, nearest_centre(values, centres))
+    values = {
+        f"_z{i}": scaling.scaled(f) if scaling else present(F.col(quoted(f)))
+        for i, f in enumerate(features)
+    }
+    nearest = nearest_centre([F.col(z) for z in values], centres)
+    return df.withColumns(values).withColumn(name, nearest).drop(*values)
 
 
 def silhouette(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -52,12 +52,13 @@ class ForestParams:
 
 @dataclass(frozen=True)
 class RiskModel:
-    """A fitted pipeline with the names of its input vector and its classes, in index order."""
+    """A fitted pipeline, the names of its vector's entries and its classes in index order."""
 
     pipeline: PipelineModel
     feature_names: list[str]
     classes: list[str]
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[str, float]
+    training_rows: int
 
 
 def _text(value: str) -> str:
@@ -153,7 +154,8 @@ def fit_forest(
     )
     seen = training_counts(train, features, label)
     sizes = seen.pop(label)
-    weights = {c: balanced_weight(sum(sizes.values()), len(sizes), n) for c, n in sizes.items()}
+    rows = sum(sizes.values())
+    weights = {c: balanced_weight(rows, len(sizes), n) for c, n in sizes.items()}
     classes = sorted(weights)
     prepare, names = preprocessor(train, features, params, seen)
 
@@ -185,7 +187,8 @@ def fit_forest(
     finally:
         vectors.unpersist()
     to_class = IndexToString(inputCol="prediction", outputCol=S.PREDICTED_RISK, labels=classes)
-    return RiskModel(PipelineModel([*prepare.stages, forest, to_class]), names, classes, weights)
+    pipeline = PipelineModel([*prepare.stages, forest, to_class])
+    return RiskModel(pipeline, names, classes, weights, rows)
 
 
 def predict(model: RiskModel, df: DataFrame, context: Sequence[str]) -> DataFrame:

@@ -13,8 +13,9 @@ from mishap.functions.labels import present
 from mishap.operators.hygiene import quoted
 
 GRID_STEPS = 1_000
-GRID_ACCURACY = 10_000
+GRID_ACCURACY = 4_000
 SLACK = 2
+GROUPS = 64
 FINAL_ROWS = 10_000
 
 
@@ -45,57 +46,79 @@ class _Target:
             kept = kept & (values < self.high)
         return kept
 
-    def narrow(self, row, i: int) -> None:
-        """Use the counts of one pass to pick the answer or a narrower open interval."""
+    def measures(self) -> dict[str, Column]:
+        """What one pass finds out: counts around the candidates, and a grid between them."""
+        values = present(F.col(quoted(self.column)))
+        kept = self.inside(values)
+        found = {}
         if self.candidates:
             low, high = self.candidates
-            upto_low = row[f"lt_low_{i}"] + row[f"eq_low_{i}"]
-            lt_high = row[f"lt_high_{i}"]
-            upto_high = lt_high + row[f"eq_high_{i}"]
-            self.candidates = None
-            if self.rank <= row[f"lt_low_{i}"]:
-                self.high, self.rows = low, None
-            elif self.rank <= upto_low:
-                self.value = low
-            elif self.rank > upto_high:
-                self.low, self.below, self.rows = high, upto_high, None
-            elif self.rank > lt_high:
-                self.value = high
-            else:
-                self.low, self.high, self.below = low, high, upto_low
-                self._plan(row, i)
+            found = {
+                "lt_low": F.count_if(values < low),
+                "to_low": F.count_if(values <= low),
+                "lt_high": F.count_if(values < high),
+                "to_high": F.count_if(values <= high),
+            }
+            kept = kept & (values > low) & (values < high)
+        inner = F.when(kept, values)
+        steps = F.lit(np.linspace(0.0, 1.0, GRID_STEPS + 1))
+        found["grid"] = F.percentile_approx(inner, steps, GRID_ACCURACY)
+        found["rows"] = F.count(inner)
+        return found
+
+    def narrow(self, found: dict) -> None:
+        """Use what a pass found to pick the answer or a narrower open interval."""
+        if self.candidates is None:
+            self._plan(found)
+            return
+        low, high = self.candidates
+        self.candidates = None
+        if self.rank <= found["lt_low"]:
+            self.high, self.rows = low, None
+        elif self.rank <= found["to_low"]:
+            self.value = low
+        elif self.rank > found["to_high"]:
+            self.low, self.below, self.rows = high, found["to_high"], None
+        elif self.rank > found["lt_high"]:
+            self.value = high
         else:
-            self._plan(row, i)
+            self.low, self.high, self.below = low, high, found["to_low"]
+            self._plan(found)
 
-    def _plan(self, row, i: int) -> None:
-        """Choose the next values to test from the grid of the current interval."""
-        self.rows = row[f"rows_{i}"]
+    def _plan(self, found: dict) -> None:
+        """Choose the next values to test around the rank's place in the grid."""
+        self.rows = found["rows"]
         if not self.countable:
-            grid = row[f"grid_{i}"]
-            step = (self.rank - self.below) * GRID_STEPS // self.rows
-            self.candidates = grid[max(0, step - SLACK)], grid[min(GRID_STEPS, step + SLACK)]
-
-
-def _pass_columns(target: _Target, i: int) -> list[Column]:
-    values = present(F.col(quoted(target.column)))
-    kept = target.inside(values)
-    columns = []
-    if target.candidates:
-        low, high = target.candidates
-        for name, hit in [
-            ("lt_low", values < low),
-            ("eq_low", values == low),
-            ("lt_high", values < high),
-            ("eq_high", values == high),
-        ]:
-            columns.append(F.count_if(hit).alias(f"{name}_{i}"))
-        kept = kept & (values > low) & (values < high)
-    inner = F.when(kept, values)
-    steps = F.lit(np.linspace(0.0, 1.0, GRID_STEPS + 1))
-    return columns + [
-        F.percentile_approx(inner, steps, GRID_ACCURACY).alias(f"grid_{i}"),
-        F.count(inner).alias(f"rows_{i}"),
-    ]
+            values, upto = found["grid"]
+            place, slack = self.rank - self.below, SLACK * self.rows / GRID_STEPS
+            first = np.searchsorted(upto, place - slack) - 1
+            last = np.searchsorted(upto, place + slack)
+            self.candidates = (
+                float(values[max(0, first)]),
+                float(values[min(len(values) - 1, last)]),
+            )
+
+
+def _pass(df: DataFrame, targets: list[_Target]) -> list[dict]:
+    """Measure all targets in one pass.
+
+    Tasks report to a fixed number of groups, so that no single task merges the sketches of all
+    others; each group draws its own grid, and the grids add up weighted by the group's rows.
+    """
+    named = [(i, name, c) for i, t in enumerate(targets) for name, c in t.measures().items()]
+    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_group")
+    groups = df.groupBy(group).agg(*[c.alias(f"{name}_{i}") for i, name, c in named]).collect()
+    results: list[dict] = [{} for _ in targets]
+    for i, name, _ in named:
+        if name != "grid":
+            results[i][name] = sum(g[f"{name}_{i}"] for g in groups)
+            continue
+        drawn = [(g[f"grid_{i}"], g[f"rows_{i}"]) for g in groups if g[f"rows_{i}"]]
+        values = np.concatenate([grid for grid, _ in drawn] or [[]])
+        weights = np.concatenate([np.full(len(grid), n / len(grid)) for grid, n in drawn] or [[]])
+        order = np.argsort(values)
+        results[i]["grid"] = values[order], np.cumsum(weights[order])
+    return results
 
 
 def _finish(df: DataFrame, targets: list[_Target]) -> None:
@@ -105,7 +128,8 @@ def _finish(df: DataFrame, targets: list[_Target]) -> None:
     kept = []
     for i, target in enumerate(targets):
         values = present(F.col(quoted(target.column)))
-        kept.append(F.struct(F.lit(i).alias("i"), F.when(target.inside(values), values).alias("value")))
+        inner = F.when(target.inside(values), values).alias("value")
+        kept.append(F.struct(F.lit(i).alias("i"), inner))
     counted = (
         df.select(F.inline(F.array(*kept)))
         .where(F.col("value").isNotNull())
@@ -122,18 +146,6 @@ def _finish(df: DataFrame, targets: list[_Target]) -> None:
                 break
 
 
-def _resolve(df: DataFrame, targets: list[_Target]) -> None:
-    """Narrow every target by passes over the table until its value is known."""
-    while True:
-        wide = [t for t in targets if t.value is None and not t.countable]
-        if not wide:
-            break
-        row = df.agg(*[c for i, t in enumerate(wide) for c in _pass_columns(t, i)]).first()
-        for i, target in enumerate(wide):
-            target.narrow(row, i)
-    _finish(df, [t for t in targets if t.value is None])
-
-
 def exact_medians(
     df: DataFrame, columns: Sequence[str], midpoint: bool = False
 ) -> dict[str, float | None]:
@@ -145,21 +157,24 @@ def exact_medians(
     Every pass is one aggregation: it counts around the last bounds and draws a quantile grid of
     what lies between them, which keeps about 1/250 of those rows. Bounds are exclusive, so a value
     that fills much of the column cannot stall the narrowing. Only counts, grids and the last
-    ``FINAL_ROWS`` values of a rank reach the driver. The passes share a held copy of just these columns.
+    ``FINAL_ROWS`` values of a rank reach the driver. The passes share a held copy of just these
+    columns.
     """
     narrow = df.select(*[quoted(c) for c in columns]).persist()
     try:
-        first = [_Target(c) for c in columns]
-        row = narrow.agg(*[c for i, t in enumerate(first) for c in _pass_columns(t, i)]).first()
         targets = []
-        for i, target in enumerate(first):
-            n = row[f"rows_{i}"]
-            ranks = [(n + 1) // 2] + ([n // 2 + 1] if midpoint and n % 2 == 0 else []) if n else []
+        for c, found in zip(columns, _pass(narrow, [_Target(c) for c in columns])):
+            n = found["rows"]
+            ranks = [(n + 1) // 2] if n else []
+            if n and midpoint and n % 2 == 0:
+                ranks.append(n // 2 + 1)
             for rank in ranks:
-                found = _Target(target.column, rank)
-                found.narrow(row, i)
-                targets.append(found)
-        _resolve(narrow, targets)
+                targets.append(_Target(c, rank))
+                targets[-1].narrow(found)
+        while wide := [t for t in targets if t.value is None and not t.countable]:
+            for target, found in zip(wide, _pass(narrow, wide)):
+                target.narrow(found)
+        _finish(narrow, [t for t in targets if t.value is None])
     finally:
         narrow.unpersist()
     values = {c: [t.value for t in targets if t.column == c] for c in columns}

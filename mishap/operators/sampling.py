@@ -15,7 +15,7 @@ from mishap.operators.joins import join_small, pin
 KEY = "_key"
 KEY_LENGTH = 32
 PREFIX_STEP = 4
-TAIL_ROWS = 10_000
+TAIL_ROWS = 1_000_000
 
 
 def hashed_order(row_id: str, seed: int = S.SEED) -> Column:

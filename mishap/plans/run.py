@@ -17,10 +17,12 @@ from mishap.sources.tables import read_csv, write_observed, write_small, write_t
 
 
 def run_cleaning(spark: SparkSession, source: str, folder: str) -> dict:
-    """Raw CSV to the cleaned table; returns its rows, columns and remaining missing values."""
-    return write_observed(
-        clean(read_csv(spark, source)), f"{folder}/{R.CLEANED}", order_by=S.INCIDENT_ID
-    )
+    """Raw CSV to the cleaned table; returns its rows, columns and remaining missing values.
+
+    Files are sorted by id, which deduplication has already done inside each task.
+    """
+    cleaned = clean(read_csv(spark, source))
+    return write_observed(cleaned, f"{folder}/{R.CLEANED}", order_by=S.INCIDENT_ID)
 
 
 def run_engineering(spark: SparkSession, folder: str) -> dict:
@@ -51,10 +53,18 @@ def run_risk(
     run = train_risk(clustered, features=features, params=params)
     write_table(run.predictions, f"{folder}/{R.PREDICTIONS}")
     predictions = spark.read.parquet(f"{folder}/{R.PREDICTIONS}")
-    training_rows = run.train.agg(F.count(F.lit(1))).first()[0]
-    metrics = pin(evaluate(predictions, training_rows))
+    metrics = pin(evaluate(predictions, run.model.training_rows))
     write_small(metrics, f"{folder}/{R.METRICS}")
     write_small(run.importance, f"{folder}/{R.IMPORTANCE}")
     run.model.pipeline.write().overwrite().save(f"{folder}/risk_model")
     headline = metrics.where(F.col("class") == "all").collect()
     return {row["metric"]: row["value"] for row in headline}
+
+
+def export_csv(spark: SparkSession, folder: str, target: str) -> None:
+    """The tables of a run as CSV: the large ones in order of id, the small ones as one file."""
+    for name in [R.CLEANED, R.ENGINEERED, R.CLUSTERED, R.PREDICTIONS]:
+        table = spark.read.parquet(f"{folder}/{name}")
+        write_table(table, f"{target}/{name}.csv", order_by=S.INCIDENT_ID, total_order=True)
+    for name in [R.EVALUATION, R.HOTSPOTS, R.METRICS, R.IMPORTANCE]:
+        write_small(spark.read.parquet(f"{folder}/{name}"), f"{target}/{name}.csv")

@@ -89,3 +89,15 @@ def test_result_tables(spark, folder):
     row = reports.kpis(tables.clustered, tables.evaluation, tables.metrics).first()
     assert row["testing_records"] == tables.predictions.count()
     assert sum(r["Count"] for r in reports.predicted_risk(tables.predictions).collect()) == row["testing_records"]
+
+
+def test_export(spark, folder, tmp_path):
+    target = str(tmp_path / "csv")
+    run.export_csv(spark, folder[0], target)
+    tables = results.load_results(spark, folder[0])
+    clustered = read_table(spark, f"{target}/{results.CLUSTERED}.csv", S.CLUSTERED_SCHEMA)
+    assert clustered.schema.names == S.CLUSTERED_SCHEMA.names
+    assert clustered.exceptAll(tables.clustered).count() == 0
+    assert clustered.count() == tables.clustered.count()
+    scores = read_table(spark, f"{target}/{results.EVALUATION}.csv", S.EVALUATION)
+    assert scores.collect() == tables.evaluation.collect()

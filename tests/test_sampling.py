@@ -27,7 +27,7 @@ def expected_test_rows(df):
     return {i for c, v in classes.items() for _, i in sorted(v)[: len(v) - whole[c]]}
 
 
-@pytest.mark.parametrize("n,tail", [(5, 10_000), (4001, 10_000), (4001, 3), (4001, 1)])
+@pytest.mark.parametrize("n,tail", [(5, 1_000_000), (4001, 1_000_000), (4001, 3), (4001, 1)])
 def test_split_is_exact(spark, monkeypatch, n, tail):
     monkeypatch.setattr(sampling, "TAIL_ROWS", tail)
     df = labelled(spark, n)
