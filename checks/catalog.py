@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -236,8 +238,6 @@ def schema_listing(spark, sf):
 def csv_round_trip(spark, sf):
     """Orders written as sorted CSV by the executors and read back with their declared types."""
     (orders,) = tables(spark, sf, "orders")
-    import uuid
-
     path = f"{shared_folder(spark)}/mishap/round-trip-{uuid.uuid4().hex}.csv"
     zoned = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     write_table(zoned, path, order_by="o_orderkey", total_order=True)
@@ -554,11 +554,14 @@ def silhouette(spark, sf):
 def best_k(spark, sf):
     """Parts cut into k equal ranges of size: silhouette of every k, and the k that wins."""
     (parts,) = tables(spark, sf, "part")
-    cuts = F.explode(F.array(*[F.lit(k) for k in S.CLUSTER_COUNTS])).alias("k")
-    rows = parts.select("p_size", (F.col("p_retailprice") / 100).alias("price"), cuts)
-    cut = rows.withColumn("c", F.expr("(p_size - 1) * k div 50"))
-    scores = clustering.silhouette(cut, ["p_size", "price"], "c", by="k")
-    rounded = scores.withColumn("silhouette_score", F.round("silhouette_score", 6))
+    rows = parts.select("p_size", (F.col("p_retailprice") / 100).alias("price"))
+    scores = []
+    for k in S.CLUSTER_COUNTS:
+        cut = rows.withColumn("c", F.expr(f"(p_size - 1) * {k} div 50"))
+        score = clustering.silhouette(cut, ["p_size", "price"], "c")
+        scores.append(score.select(F.lit(k).alias("k"), "silhouette_score"))
+    table = pin(functools.reduce(DataFrame.unionByName, scores))
+    rounded = table.withColumn("silhouette_score", F.round("silhouette_score", 6))
     return reports.evaluation_curve(rounded)
 
 
@@ -692,11 +695,48 @@ def risk_metrics(spark, sf):
     return risk.evaluate(incident_risk(spark, sf).predictions)
 
 
+@query(
+    f"""WITH incidents AS ({standin.engineered_sql()}),
+        labelled AS (SELECT CASE "Severity" WHEN 1 THEN 'Low' WHEN 2 THEN 'Medium' ELSE 'High' END
+                     AS risk FROM incidents),
+        {QUOTA_SQL.format(label="risk", table="labelled")}
+        SELECT 'support' AS metric, label AS class, CAST(quota AS DOUBLE) AS value FROM quotas
+        UNION ALL SELECT 'testing_records', 'all', CAST(sum(quota) AS DOUBLE) FROM quotas
+        UNION ALL SELECT 'training_records', 'all', CAST((SELECT sum(n) FROM counts) - sum(quota) AS DOUBLE) FROM quotas"""
+)
+def risk_support(spark, sf):
+    """Those metrics of the fitted model that do not depend on its predictions."""
+    run = incident_risk(spark, sf)
+    table = risk.evaluate(run.predictions, run.model.training_rows)
+    totals = F.col("metric").isin("testing_records", "training_records")
+    return table.where(totals | ((F.col("metric") == "support") & F.col("class").isin(S.RISK_CLASSES)))
+
+
 @query()
 def feature_importance(spark, sf):
     return incident_risk(spark, sf).importance
 
 
+def _feature_list_sql() -> str:
+    names = [f"numerical__{c}" for c in S.RISK_NUMERIC] + [f"binary__{c}" for c in S.RISK_BINARY]
+    listed = ", ".join(f"('{n}')" for n in names)
+    categorical = " ".join(
+        f"""UNION ALL SELECT DISTINCT 'categorical__{c}_' || "{c}" FROM incidents
+            WHERE "{c}" IS NOT NULL"""
+        for c in S.RISK_CATEGORICAL
+    )
+    return f"""WITH incidents AS ({standin.engineered_sql()})
+        SELECT feature, true AS in_range
+        FROM (SELECT * FROM (VALUES {listed}) AS v(feature) {categorical}) AS f"""
+
+
+@query(_feature_list_sql())
+def feature_importance_names(spark, sf):
+    """The vector's entries by name; each has an importance from 0 to 1."""
+    importance = incident_risk(spark, sf).importance
+    return importance.select("feature", F.col("importance").between(0, 1).alias("in_range"))
+
+
 @query()
 def kpis(spark, sf):
     engineered = staged_incidents(spark, sf)

@@ -1,4 +1,4 @@
-"""Standardising, k-means over a range of k, assignment to centres and the silhouette score."""
+"""Standardising, assignment to centres, the silhouette score and k-means over a range of k."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from mishap.functions.labels import present
 from mishap.operators.hygiene import quoted
 
 MAX_CLUSTERS = 10_000
+INLINE_CLUSTERS = 32
 WEIGHT = "_weight"
 
 
@@ -109,37 +110,8 @@ def as_vectors(points: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def as_points(vectors: DataFrame, features: Sequence[str]) -> DataFrame:
     """The inverse of ``as_vectors``."""
-    parts = vector_to_array("features")
-    return vectors.select(*[parts[i].alias(f) for i, f in enumerate(features)], WEIGHT)
-
-
-def fit_centres(
-    vectors: DataFrame,
-    counts: Iterable[int] = S.CLUSTER_COUNTS,
-    seed: int = S.SEED,
-    max_iter: int = 20,
-    parallelism: int = 6,
-) -> dict[int, list[list[float]]]:
-    """Fit one k-means model per k over persisted vectors; centres come in coordinate order.
-
-    Fits are independent, so a few run side by side and share the executors.
-    """
-
-    def fit(k: int) -> list[list[float]]:
-        model = KMeans(
-            k=k,
-            seed=seed,
-            maxIter=max_iter,
-            featuresCol="features",
-            predictionCol=S.CLUSTER,
-            weightCol=WEIGHT,
-        ).fit(vectors)
-        return sorted([float(x) for x in centre] for centre in model.clusterCenters())
-
-    counts = list(counts)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        target = inheritable_thread_target(vectors.sparkSession)(fit)
-        return dict(zip(counts, pool.map(target, counts)))
+    opened = vectors.select(vector_to_array("features").alias("_x"), WEIGHT)
+    return opened.select(*[F.col("_x")[i].alias(f) for i, f in enumerate(features)], WEIGHT)
 
 
 def nearest_centre(values: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
@@ -174,88 +146,132 @@ def assign_clusters(
 
 
 def silhouette(
-    df: DataFrame,
-    features: Sequence[str],
-    cluster: str,
-    by: str | None = None,
-    weight: str | None = None,
+    df: DataFrame, features: Sequence[str], cluster: str, weight: str | None = None
 ) -> DataFrame:
-    """Mean silhouette with squared Euclidean distance, per value of ``by`` if one is given.
+    """Mean silhouette with squared Euclidean distance, as one row.
 
     The mean squared distance from a row to a cluster follows from the cluster's size, vector sum
-    and sum of squared norms, so two passes suffice: one for those sums, one to score the rows
-    against them. The sums, at most ``MAX_CLUSTERS`` small rows, reach the second pass through a
-    scalar subquery; a larger number of clusters is an error, since each row is compared with all.
+    and sum of squared norms, so two passes suffice: one for those sums, one to score the rows.
+    The sums are a row per cluster and become constants of the second pass; each row is compared
+    with every cluster, so more than ``MAX_CLUSTERS`` clusters are an error.
     """
-    values = [present(F.col(quoted(f))) for f in features]
-    w = F.col(quoted(weight)) if weight else F.lit(1.0)
-    group = F.col(quoted(by)) if by else F.lit(0)
+    w = F.col(quoted(weight)).cast("double") if weight else F.lit(1.0)
+    xs = [F.col(f"x{i}") for i in range(len(features))]
     rows = df.select(
-        group.alias("g"),
         F.col(quoted(cluster)).alias("c"),
-        w.cast("double").alias("w"),
-        *[v.alias(f"x{i}") for i, v in enumerate(values)],
+        w.alias("w"),
+        *[present(F.col(quoted(f))).alias(f"x{i}") for i, f in enumerate(features)],
     ).where(F.col("c").isNotNull())
-    xs = [F.col(f"x{i}") for i in range(len(values))]
-    norm = sum((x * x for x in xs[1:]), xs[0] * xs[0])
-
-    sums = rows.groupBy("g", "c").agg(
-        F.sum("w").alias("n"),
-        F.sum(F.col("w") * norm).alias("q"),
-        *[F.sum(F.col("w") * x).alias(f"s{i}") for i, x in enumerate(xs)],
-    )
-    gathered = sums.limit(MAX_CLUSTERS + 1).groupBy("g").agg(F.collect_list(F.struct("*")).alias("p"))
-    table = gathered.agg(
-        F.map_from_entries(F.collect_list(F.struct("g", "p"))).alias("m"), F.sum(F.size("p")).alias("k")
-    ).select(
-        F.when(F.col("k") <= MAX_CLUSTERS, F.col("m")).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_CLUSTERS} clusters"))
+    rows = rows.withColumn("norm", sum((x * x for x in xs[1:]), xs[0] * xs[0]))
+    profiles = (
+        rows.groupBy("c")
+        .agg(
+            F.sum("w").alias("n"),
+            F.sum(F.col("w") * F.col("norm")).alias("q"),
+            *[F.sum(F.col("w") * x).alias(f"s{i}") for i, x in enumerate(xs)],
         )
+        .limit(MAX_CLUSTERS + 1)
+        .collect()
+    )
+    if len(profiles) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    # Mean squared distance from a row to a cluster: norm + offset + slopes . x
+    clusters = [
+        (p["c"], p["n"], p["q"] / p["n"], [-2 * p[f"s{i}"] / p["n"] for i in range(len(xs))])
+        for p in profiles
+    ]
+    compare = _compare_inline if len(clusters) <= INLINE_CLUSTERS else _compare_folded
+    a, b, size = F.col("own") * F.col("size") / (F.col("size") - 1), F.col("other"), F.col("size")
+    score = (
+        F.when((size <= 1) | b.isNull(), 0.0)
+        .when(a < b, 1 - a / b)
+        .when(a > b, b / a - 1)
+        .otherwise(0.0)
+    )
+    scored = compare(rows, xs, clusters).select("w", score.alias("score"))
+    total = F.sum(F.col("w") * F.col("score")) / F.sum("w")
+    return scored.agg(total.alias("silhouette_score"))
+
+
+def _compare_inline(rows: DataFrame, xs: Sequence[Column], clusters: Sequence[tuple]) -> DataFrame:
+    """Add the size and distance of each row's cluster and the least distance of the others.
+
+    One plain column per cluster, which compiles to tight code while clusters are few.
+    """
+    distances = {
+        f"d{j}": sum((x * F.lit(m) for x, m in zip(xs, slopes)), F.col("norm") + F.lit(offset))
+        for j, (_, _, offset, slopes) in enumerate(clusters)
+    }
+    size = own = None
+    others = [F.lit(None).cast("double")] * 2
+    for j, (c, n, _, _) in enumerate(clusters):
+        mine, d = F.col("c") == F.lit(c), F.col(f"d{j}")
+        size = F.when(mine, n) if size is None else size.when(mine, n)
+        own = F.when(mine, d) if own is None else own.when(mine, d)
+        others.append(F.when(mine, None).otherwise(d))
+    if not clusters:
+        size = own = F.lit(None).cast("double")
+    found = {"size": size, "own": own, "other": F.least(*others)}
+    return rows.withColumns(distances).withColumns(found)
+
+
+def _compare_folded(rows: DataFrame, xs: Sequence[Column], clusters: Sequence[tuple]) -> DataFrame:
+    """The same for many clusters: one fold over a constant array."""
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("c"),
+                F.lit(float(n)).alias("n"),
+                F.lit(offset).alias("offset"),
+                *[F.lit(m).alias(f"m{i}") for i, m in enumerate(slopes)],
+            )
+            for c, n, offset, slopes in clusters
+        ]
     )
-    profiles = F.element_at(table.scalar(), F.col("g"))
 
     def step(seen: Column, p: Column) -> Column:
-        dot = sum((p[f"s{i}"] * x for i, x in enumerate(xs)), F.lit(0.0))
-        distance = F.col("norm") + p["q"] / p["n"] - 2 * dot / p["n"]
+        d = sum((x * p[f"m{i}"] for i, x in enumerate(xs)), F.col("norm") + p["offset"])
         mine = p["c"] == F.col("c")
         return F.struct(
             F.when(mine, p["n"]).otherwise(seen["size"]).alias("size"),
-            F.when(mine, distance).otherwise(seen["own"]).alias("own"),
-            F.when(mine, seen["other"]).otherwise(F.least(seen["other"], distance)).alias("other"),
+            F.when(mine, d).otherwise(seen["own"]).alias("own"),
+            F.when(mine, seen["other"]).otherwise(F.least(seen["other"], d)).alias("other"),
         )
 
     unknown = F.lit(None).cast("double")
     start = F.struct(*[unknown.alias(name) for name in ("size", "own", "other")])
-    scored = rows.withColumns({"norm": norm, "p": profiles})
-    scored = scored.withColumn("d", F.aggregate("p", start, step))
-    scored = scored.select("g", "w", "d.*").withColumns(
-        {"a": F.try_divide(F.col("own") * F.col("size"), F.col("size") - 1), "b": F.col("other")}
-    )
-    score = (
-        F.when((F.col("size") <= 1) | F.col("b").isNull(), 0.0)
-        .when(F.col("a") < F.col("b"), 1 - F.col("a") / F.col("b"))
-        .when(F.col("a") > F.col("b"), F.col("b") / F.col("a") - 1)
-        .otherwise(0.0)
-    )
-    total = scored.groupBy("g").agg((F.sum(F.col("w") * score) / F.sum("w")).alias("silhouette_score"))
-    return total.select(F.col("g").alias(by), "silhouette_score") if by else total.drop("g")
+    return rows.withColumn("_seen", F.aggregate(table, start, step)).select("*", "_seen.*")
 
 
-def sweep_scores(
-    points: DataFrame,
+def sweep(
+    vectors: DataFrame,
     features: Sequence[str],
-    centres: Mapping[int, Sequence[Sequence[float]]],
-) -> DataFrame:
-    """Silhouette of every k, as (k, silhouette_score): all models are scored in the same two passes."""
-    values = [F.col(quoted(f)) for f in features]
-    models = F.inline(
-        F.array(
-            *[
-                F.struct(F.lit(k).alias("k"), nearest_centre(values, c).alias(S.CLUSTER))
-                for k, c in centres.items()
-            ]
-        )
-    )
-    long = points.select(*values, WEIGHT, models)
-    scores = silhouette(long, features, S.CLUSTER, by="k", weight=WEIGHT)
-    return scores.orderBy("k")
+    counts: Iterable[int] = S.CLUSTER_COUNTS,
+    seed: int = S.SEED,
+    max_iter: int = 20,
+    parallelism: int = 6,
+) -> dict[int, tuple[list[list[float]], float]]:
+    """Fit and score one k-means model per k over persisted vectors: centres and silhouette.
+
+    Centres come in coordinate order. The models are independent, so a few are fitted and scored
+    side by side and share the executors.
+    """
+    points = as_points(vectors, features)
+
+    def fit(k: int) -> tuple[list[list[float]], float]:
+        model = KMeans(
+            k=k,
+            seed=seed,
+            maxIter=max_iter,
+            featuresCol="features",
+            predictionCol=S.CLUSTER,
+            weightCol=WEIGHT,
+        ).fit(vectors)
+        centres = sorted([float(x) for x in centre] for centre in model.clusterCenters())
+        assigned = assign_clusters(points, features, centres)
+        return centres, silhouette(assigned, features, S.CLUSTER, WEIGHT).first()[0]
+
+    counts = list(counts)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        target = inheritable_thread_target(vectors.sparkSession)(fit)
+        return dict(zip(counts, pool.map(target, counts)))

@@ -11,15 +11,12 @@ from mishap import schemas as S
 from mishap.operators.aggregates import best_by, hotspot_summary
 from mishap.operators.clustering import (
     Scaling,
-    as_points,
     as_vectors,
     assign_clusters,
-    fit_centres,
     fit_scaling,
     scaled_points,
-    sweep_scores,
+    sweep,
 )
-from mishap.operators.joins import pin
 
 
 @dataclass(frozen=True)
@@ -49,7 +46,7 @@ def fit_hotspots(
     max_iter: int = 20,
     parallelism: int = 6,
 ) -> Hotspots:
-    """Scale, fit every k and score all of them.
+    """Scale, then fit and score every k.
 
     Only the features are read and held, as one vector per point. The fits and the scores share
     that copy, which is released at the end.
@@ -57,11 +54,13 @@ def fit_hotspots(
     scaling = fit_scaling(df, features)
     vectors = as_vectors(scaled_points(df, features, scaling), features).persist()
     try:
-        centres = fit_centres(vectors, counts, seed, max_iter, parallelism)
-        evaluation = pin(sweep_scores(as_points(vectors, features), features, centres))
+        models = sweep(vectors, features, counts, seed, max_iter, parallelism)
     finally:
         vectors.unpersist()
+    scores = [(k, score) for k, (_, score) in models.items()]
+    evaluation = df.sparkSession.createDataFrame(scores, S.EVALUATION).orderBy("k")
     best_k = best_by(evaluation, "silhouette_score", "k").first()["k"]
+    centres = {k: found for k, (found, _) in models.items()}
     return Hotspots(features, scaling, centres, evaluation, best_k)
 
 

@@ -6,6 +6,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from mishap.operators import clustering
 from mishap.operators.aggregates import hotspot_summary
 from mishap.operators.clustering import (
     WEIGHT,
@@ -16,7 +17,7 @@ from mishap.operators.clustering import (
     scaled_points,
     silhouette,
     standardise,
-    sweep_scores,
+    sweep,
 )
 from mishap.plans.hotspots import fit_hotspots
 
@@ -64,6 +65,35 @@ def test_silhouette_of_weighted_points_equals_repeated_points(spark):
     assert merged == pytest.approx(silhouette(repeated, XY, "c").first()[0], abs=1e-12)
 
 
+@pytest.mark.parametrize("inline", [0, 32])
+def test_silhouette_of_text_clusters(spark, blobs, monkeypatch, inline):
+    """Few and many clusters are compared in different ways that must agree."""
+    mixed = blobs.withColumn("c", F.concat(F.lit("it's "), F.col("id") % 7))
+    vectors = VectorAssembler(inputCols=XY, outputCol="v").transform(
+        mixed.withColumn("i", F.col("id") % 7)
+    )
+    want = ClusteringEvaluator(featuresCol="v", predictionCol="i").evaluate(vectors)
+    monkeypatch.setattr(clustering, "INLINE_CLUSTERS", inline)
+    assert silhouette(mixed, XY, "c").first()[0] == pytest.approx(want, abs=1e-12)
+
+
+def test_too_many_clusters_are_an_error(spark, blobs, monkeypatch):
+    monkeypatch.setattr(clustering, "MAX_CLUSTERS", 2)
+    with pytest.raises(ValueError):
+        silhouette(blobs, XY, "c")
+
+
+def test_sweep_scores_match_the_library(spark, blobs):
+    scaling = fit_scaling(blobs, XY)
+    vectors = as_vectors(scaled_points(blobs, XY, scaling), XY).persist()
+    evaluator = ClusteringEvaluator(predictionCol="prediction")
+    for k, (centres, score) in sweep(vectors, XY, [2, 3]).items():
+        model = KMeans(k=k, seed=42, maxIter=20, weightCol=WEIGHT).fit(vectors)
+        assert np.allclose(sorted(c.tolist() for c in model.clusterCenters()), centres)
+        assert score == pytest.approx(evaluator.evaluate(model.transform(vectors)), abs=1e-9)
+    vectors.unpersist()
+
+
 def test_silhouette_edge_cases(spark):
     one = spark.createDataFrame([(0.0, 0.0, 0), (1.0, 1.0, 0)], "x double, y double, c int")
     assert silhouette(one, XY, "c").first()[0] == 0.0
@@ -88,10 +118,10 @@ def test_merged_points_keep_the_scores(spark, blobs):
     assert merged.count() < many.count() / 2
     assert merged.agg(F.sum(WEIGHT)).first()[0] == many.count()
     flat = many.select(*[scaling.scaled(f).alias(f) for f in XY], F.lit(1.0).alias(WEIGHT))
-    centres = {2: [[-1.0, -1.0], [1.0, 1.0]], 3: [[-1.0, 0.0], [0.0, 0.0], [1.0, 1.0]]}
-    a = {r["k"]: r["silhouette_score"] for r in sweep_scores(merged, XY, centres).collect()}
-    b = {r["k"]: r["silhouette_score"] for r in sweep_scores(flat, XY, centres).collect()}
-    assert a == pytest.approx(b, abs=1e-9) and set(a) == {2, 3}
+    centres = [[-1.0, 0.0], [0.0, 0.0], [1.0, 1.0]]
+    a = silhouette(assign_clusters(merged, XY, centres), XY, "cluster_id", WEIGHT).first()[0]
+    b = silhouette(assign_clusters(flat, XY, centres), XY, "cluster_id").first()[0]
+    assert a == pytest.approx(b, abs=1e-9)
     back = as_points(as_vectors(merged, XY), XY)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, merged.collect()))
 
