@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mishap.functions.labels import present
-from mishap.operators.hygiene import quoted
+from mishap.operators.hygiene import SKETCH_GROUPS, quoted
 
 GRID_STEPS = 1_000
 GRID_ACCURACY = 4_000
 SLACK = 2
-GROUPS = 64
 FINAL_ROWS = 10_000
 
 
@@ -106,7 +105,7 @@ def _pass(df: DataFrame, targets: list[_Target]) -> list[dict]:
     others; each group draws its own grid, and the grids add up weighted by the group's rows.
     """
     named = [(i, name, c) for i, t in enumerate(targets) for name, c in t.measures().items()]
-    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("_group")
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
     groups = df.groupBy(group).agg(*[c.alias(f"{name}_{i}") for i, name, c in named]).collect()
     results: list[dict] = [{} for _ in targets]
     for i, name, _ in named:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -93,10 +94,16 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it."""
+    """The folder every executor can reach, as the session names it.
+
+    Only a session on one machine may go without; it then gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        folder = tempfile.mkdtemp(prefix="mishap-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 

@@ -58,6 +58,21 @@ def test_medians_ignore_gaps(spark):
     assert sorted(map(str, same.collect())) == sorted(map(str, filled.collect()))
 
 
+@pytest.mark.parametrize("parts", [1, 5, 100])
+def test_medians_stay_within_the_error(spark, parts):
+    """Partitions that hold different ranges and sizes still give the middle of the whole."""
+    df = spark.range(0, 20_000, 1, parts).select(
+        (F.col("id") * 1.0).alias("a"),
+        F.when(F.col("id") < 7000, 5.0).otherwise(F.col("id")).alias("b"),
+        F.when(F.col("id") < 300, F.col("id") * 1.0).alias("c"),
+    )
+    got = medians(df, df.columns, 0.01).first()
+    for column, rows in [("a", 20_000), ("b", 20_000), ("c", 300)]:
+        below = df.where(F.col(column) < got[column]).count()
+        upto = df.where(F.col(column) <= got[column]).count()
+        assert below <= 0.51 * rows + 1 and upto >= 0.49 * rows - 1
+
+
 def test_integer_column_takes_truncated_fill(spark):
     df = spark.createDataFrame([(None,), (4,)], "n int")
     assert {r[0] for r in fill_numbers(df, ["n"], {"n": 2.7}).collect()} == {2, 4}
@@ -86,7 +101,8 @@ def test_clean_reads_and_shuffles_the_input_once(spark, sf):
     )
     keyed = raw.withColumn("ID", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     cleaned = clean(keyed)
-    assert "ReusedExchange" in plan_of(cleaned)
+    final = plan_of(cleaned)
+    assert "ReusedExchange" in final and "ReusedSubquery" in final
     assert cleaned.count() == keyed.select("ID").distinct().count()
 
 
