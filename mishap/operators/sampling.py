@@ -64,7 +64,7 @@ def key_cutoffs(
             .where(F.substring(KEY, 1, length) == F.col("_prefix"))
             .drop("_prefix")
         )
-        if (edge.agg(F.max("_n")).first()[0] or 0) <= TAIL_ROWS:
+        if edge.where(F.col("_n") > TAIL_ROWS).isEmpty():
             rank = F.row_number().over(by_stratum.orderBy(KEY))
             ranked = rest.withColumn("_rank", rank).join(needed, strata).where("_rank = _need")
             return ranked.select(*strata, F.col(KEY).alias("_cutoff"))
