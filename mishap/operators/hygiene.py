@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,8 +13,6 @@ from pyspark.sql import types as T
 from mishap import schemas as S
 from mishap.functions.labels import present
 
-SKETCH_GROUPS = 64
-
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -42,34 +39,16 @@ def medians(df: DataFrame, columns: Sequence[str], relative_error: float = 0.01)
     """One row with the approximate median of every column, found in one pass.
 
     A median is a value of the column; missing values and NaN do not count, and a column without
-    values has a null median. Tasks report to a fixed number of groups, so that no single task
-    merges the sketches of all others. Each group draws a quantile grid, and the median is taken
-    over the grids weighted by the rows behind them; sketch and grid share the allowed error.
+    values has a null median. What tasks report is a sketch whose size depends on the error, not
+    on their rows.
     """
-    steps = max(1, math.ceil(2 / relative_error))
-    grid = F.lit(np.linspace(0.0, 1.0, steps + 1))
-    values = [present(F.col(quoted(c))) for c in columns]
-    drawn = df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")).agg(
-        *[F.percentile_approx(v, grid, steps).alias(f"grid_{i}") for i, v in enumerate(values)],
-        *[F.count(v).alias(f"n_{i}") for i, v in enumerate(values)],
-    )
-    grids = F.array(
+    accuracy = max(1, math.ceil(1 / relative_error))
+    return df.agg(
         *[
-            F.struct(F.lit(i).alias("i"), F.col(f"grid_{i}").alias("grid"), F.col(f"n_{i}").alias("n"))
-            for i in range(len(columns))
+            F.percentile_approx(present(F.col(quoted(c))), F.lit(0.5), F.lit(accuracy)).alias(c)
+            for c in columns
         ]
     )
-    points = drawn.select(F.inline(grids)).select("i", "n", F.explode("grid").alias("value"))
-    by_column = W.partitionBy("i")
-    middle = points.select(
-        "i",
-        "value",
-        F.sum("n").over(by_column.orderBy("value")).alias("upto"),
-        F.sum("n").over(by_column).alias("total"),
-    ).where("2 * upto >= total")
-    return middle.agg(
-        *[F.min(F.when(F.col("i") == i, F.col("value"))).alias(c) for i, c in enumerate(columns)]
-    )
 
 
 def fill_numbers(

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mishap.functions.labels import present
-from mishap.operators.hygiene import SKETCH_GROUPS, quoted
+from mishap.operators.hygiene import quoted
 
 GRID_STEPS = 1_000
 GRID_ACCURACY = 4_000
 SLACK = 2
+SKETCH_GROUPS = 64
 FINAL_ROWS = 10_000
 
 
