@@ -19,6 +19,7 @@ from mishap.operators.hygiene import quoted
 
 MAX_CLUSTERS = 10_000
 INLINE_CLUSTERS = 32
+MERGED_PER_PARTITION = 10_000
 WEIGHT = "_weight"
 
 
@@ -97,7 +98,8 @@ def scaled_points(
         F.count(F.lit(1)).cast("double").alias(WEIGHT)
     )
     names = [quoted(f) for f in features]
-    parts = partitions or max(1, min(df.sparkSession.sparkContext.defaultParallelism, scaling.distinct_rows // 10_000))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = partitions or max(1, min(cores, scaling.distinct_rows // MERGED_PER_PARTITION))
     ordered = merged.repartition(parts, *names).sortWithinPartitions(*names)
     return ordered.select(*[scaling.scaled(f).alias(f) for f in features], WEIGHT)
 

@@ -62,7 +62,11 @@ def class_scores(matrix: DataFrame) -> DataFrame:
         "n",
         F.explode(
             F.array(
-                F.struct(F.lit("truth").alias("side"), F.col("truth").alias("class"), F.col("true_order").alias("ord")),
+                F.struct(
+                    F.lit("truth").alias("side"),
+                    F.col("truth").alias("class"),
+                    F.col("true_order").alias("ord"),
+                ),
                 F.struct(
                     F.lit("predicted").alias("side"),
                     F.col("predicted").alias("class"),

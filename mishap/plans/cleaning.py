@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from mishap import schemas as S
-from mishap.operators.hygiene import dedup, fill_constant, fill_numbers, medians
+from mishap.operators.hygiene import dedup, fill_constant, fill_numbers, medians, stage_profile
 
 
 def _listed(df: DataFrame, names: list[str]) -> list[str]:
@@ -38,11 +37,4 @@ def clean(
 
 def profile(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows and columns before and after cleaning."""
-    stages = [("raw", raw), ("cleaned", cleaned)]
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("stage"), "rows", F.lit(len(df.columns)).alias("cols")
-        )
-        for name, df in stages
-    ]
-    return counts[0].unionByName(counts[1])
+    return stage_profile(raw, "raw").unionByName(stage_profile(cleaned, "cleaned"))
