@@ -19,7 +19,8 @@ from mishap.operators.hygiene import quoted
 
 MAX_CLUSTERS = 10_000
 INLINE_CLUSTERS = 32
-MERGED_PER_PARTITION = 10_000
+# Least and most merged points per task; between the two, one task per core.
+MERGED_PER_PARTITION = 10_000, 1_000_000
 WEIGHT = "_weight"
 
 
@@ -99,7 +100,8 @@ def scaled_points(
     )
     names = [quoted(f) for f in features]
     cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = partitions or max(1, min(cores, scaling.distinct_rows // MERGED_PER_PARTITION))
+    few, many = (scaling.distinct_rows // n for n in MERGED_PER_PARTITION)
+    parts = partitions or max(1, min(cores, few), many)
     ordered = merged.repartition(parts, *names).sortWithinPartitions(*names)
     return ordered.select(*[scaling.scaled(f).alias(f) for f in features], WEIGHT)
 
