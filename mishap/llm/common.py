@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import filterfalse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,7 +111,7 @@ class UnitCache:
             self.found = dict(self.seed)
         missing: set[bytes] = set()
         for part in units:
-            missing.update(set(part) - self.found.keys())
+            missing.update(filterfalse(self.found.__contains__, part))
         if missing:
             parts = list(missing)
             self.found.update(zip(parts, self.compute(parts)))

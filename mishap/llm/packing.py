@@ -65,10 +65,6 @@ class _WordEncoder:
                 [vocab[letters[b] + end] for b in range(256)],
             )
 
-    def _ends_alike(self, token: bytes) -> bool:
-        """The suffix belongs to the last character, so that must be a single byte here."""
-        return token[-1] < 0x80
-
     def __call__(self, words: list[bytes]) -> list[bytes]:
         found: dict[bytes, bytes] = {}
         split: dict[bytes, list[bytes]] = {}
@@ -76,10 +72,8 @@ class _WordEncoder:
             text = word.decode()
             special = any(s[:2] in word for s in self.special)
             if self.rules is not None and not special and _PLAIN.fullmatch(text):
-                tokens = [t.encode() for t in self.pattern.findall(text.lower())]
-                if all(map(self._ends_alike, tokens)):
-                    split[word] = tokens
-                    continue
+                split[word] = [t.encode() for t in self.pattern.findall(text.lower())]
+                continue
             ids = self.library.encode(text, add_special_tokens=False).ids
             found[word] = np.array(ids, self.dtype).tobytes()
         tokens = list({token for parts in split.values() for token in parts})
