@@ -20,7 +20,7 @@ PUNCTUATION = b".,!?;:\"'()[]"
 # A window is a word with its mirror image, which doubles what a match saves, behind blanks: they
 # give the coder something to save, without which it stores short input as it is.
 BLANKS = b" " * 32
-LEVEL = 16
+LEVEL = 13
 _CACHES: dict[str, UnitCache] = {}
 
 
@@ -70,7 +70,9 @@ class _Gain:
             LEVEL,
             format=zstandard.FORMAT_ZSTD1_MAGICLESS,
             min_match=3,
-            window_log=16,
+            window_log=17,
+            hash_log=14,
+            chain_log=15,
             write_content_size=False,
             write_checksum=False,
             write_dict_id=False,
