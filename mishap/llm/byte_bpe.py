@@ -52,33 +52,34 @@ class _Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.pairs = BytePairs.from_ranks(ranks)
+        self.tokens = UnitCache(self._merge, limit=300_000)
+
+    def _merge(self, tokens: list[bytes]) -> list[bytes]:
+        """Ids of single pre-tokens; one that is a token itself is taken as it is."""
+        unknown = [token for token in tokens if token not in self.ranks]
+        ids, counts = self.pairs.encode(unknown)
+        data, ends = ids.astype(np.int32).tobytes(), (np.cumsum(counts) * 4).tolist()
+        merged = dict(zip(unknown, map(data.__getitem__, map(slice, [0, *ends], ends))))
+        return [
+            merged[token] if token in merged else np.int32(self.ranks[token]).tobytes()
+            for token in tokens
+        ]
 
     def __call__(self, parts: list[bytes]) -> list[bytes]:
         find = self.pattern.findall
         split = [
             [m.encode() for m in find((p[1:] if p[:1] == b" " else b" " + p).decode())] for p in parts
         ]
-        known: dict[bytes, bytes] = {}
-        unknown = []
-        for token in {token for tokens in split for token in tokens}:
-            rank = self.ranks.get(token)
-            if rank is None:
-                unknown.append(token)
-            else:
-                known[token] = np.int32(rank).tobytes()
-        ids, counts = self.pairs.encode(unknown)
-        data, ends = ids.astype(np.int32).tobytes(), np.cumsum(counts) * 4
-        starts = ends - counts * 4
-        for token, start, end in zip(unknown, starts.tolist(), ends.tolist()):
-            known[token] = data[start:end]
-        return [b"".join([known[token] for token in tokens]) for tokens in split]
+        self.tokens.prepare(split)
+        known = self.tokens.found.__getitem__
+        return [b"".join(map(known, tokens)) for tokens in split]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dict]:
     key, data, source = shared.value
     if key not in _CACHES:
         _CACHES.clear()
-        _CACHES[key] = UnitCache(_Encoder(read_ranks(data), source))
+        _CACHES[key] = UnitCache(_Encoder(read_ranks(data), source), limit=300_000)
     cache, pattern = _CACHES[key], regex.compile(source)
     for batch in batches:
         rows = [text or b"" for text in batch.column("text").to_pylist()]

@@ -42,6 +42,7 @@ class _WordEncoder:
         content = json.loads(source)
         model, vocab = content["model"], content["model"]["vocab"]
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
+        self.tokens = UnitCache(self._merge, limit=300_000)
         self.special = [t["content"].encode() for t in content["added_tokens"]]
         steps = [s["type"] for s in (content["normalizer"] or {}).get("normalizers", [])]
         splits = (content["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -65,6 +66,12 @@ class _WordEncoder:
                 [vocab[letters[b] + end] for b in range(256)],
             )
 
+    def _merge(self, tokens: list[bytes]) -> list[bytes]:
+        ids, counts = self.rules.encode(tokens)
+        data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+        ends = (np.cumsum(counts) * width).tolist()
+        return list(map(data.__getitem__, map(slice, [0, *ends], ends)))
+
     def __call__(self, words: list[bytes]) -> list[bytes]:
         found: dict[bytes, bytes] = {}
         split: dict[bytes, list[bytes]] = {}
@@ -76,14 +83,11 @@ class _WordEncoder:
                 continue
             ids = self.library.encode(text, add_special_tokens=False).ids
             found[word] = np.array(ids, self.dtype).tobytes()
-        tokens = list({token for parts in split.values() for token in parts})
-        if tokens:
-            ids, counts = self.rules.encode(tokens)
-            data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-            ends = (np.cumsum(counts) * width).tolist()
-            known = dict(zip(tokens, map(data.__getitem__, map(slice, [0, *ends], ends))))
-            for word, parts in split.items():
-                found[word] = b"".join([known[token] for token in parts])
+        # The same token stands in many words, with other punctuation.
+        self.tokens.prepare(split.values())
+        known = self.tokens.found.__getitem__
+        for word, parts in split.items():
+            found[word] = b"".join(map(known, parts))
         return [found[word] for word in words]
 
 
@@ -96,7 +100,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) ->
     key, source = shared.value
     if key not in _CACHES:
         _CACHES.clear()
-        _CACHES[key] = UnitCache(_WordEncoder(source))
+        _CACHES[key] = UnitCache(_WordEncoder(source), limit=300_000)
     cache = _CACHES[key]
     dtype = cache.compute.dtype
     part, before, last = TaskContext.get().partitionId(), 0, np.array([end], dtype).tobytes()
