@@ -6,13 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mishap.llm import byte_bpe, embeddings, packing, sharding, token_counts, toxicity
+from mishap.llm import (
+    byte_bpe,
+    embeddings,
+    fingerprints,
+    ngrams,
+    packing,
+    pii,
+    sharding,
+    substrings,
+    token_counts,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.digest(substrings.remove_repeats(docs, 50))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model)
@@ -25,6 +41,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), tokenizer))
@@ -35,21 +55,34 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), 8)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.report(pii.detect(docs, pii.fit(docs)))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.jaccard_components(table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
+    "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
