@@ -106,10 +106,12 @@ def _cache(shared: Broadcast) -> UnitCache:
     return _CACHES[key]
 
 
-def _gains(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dict]:
+def _gains(
+    batches: Iterator[pa.RecordBatch], shared: Broadcast, names: list[str]
+) -> Iterator[dict]:
     cache = _cache(shared)
     for batch in batches:
-        rows = [text or b"" for text in batch.column("text").to_pylist()]
+        rows = [text or b"" for text in batch.column("_text").to_pylist()]
         cache.prepare(_words(part) for text in rows for part in slices(text))
         gain = cache.found.__getitem__
         best = [
@@ -119,7 +121,7 @@ def _gains(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dic
             )
             for text in rows
         ]
-        yield {"doc_id": batch.column("doc_id"), "gain": [max(0, g) for g in best]}
+        yield {name: batch.column(name) for name in names} | {"_gain": [max(0, g) for g in best]}
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], toxic: set[int]) -> Iterator[dict]:
@@ -218,10 +220,9 @@ def fit(
     good = [word for r in common if (word := bytes(r["word"])) not in set(bad)]
     contents = [_content(bad, params.toxic_bytes), _content(good, params.ordinary_bytes)]
 
-    gains = score_gains(judge, contents[0], contents[1], "doc_id", "text")
-    judged = gains.join(F.broadcast(sample.where("number % 4 = 0")), F.col("doc_id") == F.col("id"))
-    table = judged.groupBy("gain").agg(F.sum("y").alias("t"), F.count("y").alias("n")).collect()
-    steps, shares = _fit_steps({r["gain"]: (r["t"], r["n"]) for r in table})
+    gains = _with_gain(judge.select("text", "y"), *contents, "text")
+    table = gains.groupBy("_gain").agg(F.sum("y").alias("t"), F.count("y").alias("n")).collect()
+    steps, shares = _fit_steps({r["_gain"]: (r["t"], r["n"]) for r in table})
     return Model(contents[0], contents[1], steps, shares)
 
 
@@ -236,28 +237,36 @@ def _content(words: list[bytes], size: int) -> bytes:
     return b"".join(map(mirrored, reversed(chosen)))
 
 
-def score_gains(docs: DataFrame, toxic: bytes, ordinary: bytes, row_id: str, text: str) -> DataFrame:
-    """Per row (doc_id, gain): the largest gain of the toxic dictionary over the text's windows."""
-    rows = texts(docs, row_id, text)
+def _with_gain(docs: DataFrame, toxic: bytes, ordinary: bytes, text: str) -> DataFrame:
+    """Add ``_gain``: the largest gain of the toxic dictionary over the text's windows."""
+    names = [c for c in docs.columns if c not in ("_text", "_gain")]
+    rows = docs.select(*map(quoted, names), F.col(quoted(text)).cast("binary").alias("_text"))
     key = hashlib.sha256(toxic + b"\0" + ordinary).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast((key, toxic, ordinary))
-    return map_batches(rows, _gains, f"{field(rows, 'doc_id')}, gain int", shared)
+    schema = ", ".join([*(field(docs, c) for c in names), "_gain int"])
+    return map_batches(rows, _gains, schema, shared, names)
 
 
-def score(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, held_out, score in 0..1 and predicted (score >= 0.5).
+def with_score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """All rows and columns, with ``_score`` in 0..1.
 
     Every word of the whole text is a window. Windows that a worker has met before come from its
     bounded cache, nothing is shuffled, and the model is a few tens of kilobytes. Null and empty
     texts have no window and get the score of texts without any gain. Repeated rows are scored each.
     """
-    gains = score_gains(docs, model.toxic, model.ordinary, row_id, text)
+    gains = _with_gain(docs, model.toxic, model.ordinary, text)
     shares = F.lit(model.shares[0])
     for step, share in zip(model.steps[1:], model.shares[1:]):
-        shares = F.when(F.col("gain") >= step, F.lit(share)).otherwise(shares)
-    scored = gains.select(
-        F.col("doc_id").alias(row_id),
-        held_out("doc_id").alias("held_out"),
-        shares.cast("double").alias("score"),
+        shares = F.when(F.col("_gain") >= step, F.lit(share)).otherwise(shares)
+    return gains.withColumn("_score", shares.cast("double")).drop("_gain")
+
+
+def score(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id, held_out, score as in ``with_score`` and predicted (score >= 0.5)."""
+    rows = docs.select(F.col(quoted(row_id)).alias("id"), F.col(quoted(text)).alias("text"))
+    scored = with_score(rows, model).select(
+        F.col("id").alias(row_id),
+        F.coalesce(held_out("id"), F.lit(False)).alias("held_out"),
+        F.col("_score").alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
