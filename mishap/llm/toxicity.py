@@ -33,7 +33,7 @@ class Params:
     toxic_bytes: int = 16_384
     least_count: int = 8
     least_share: float = 0.002
-    least_ratio: float = 5.0
+    least_ratio: float = 8.0
     least_deviation: float = 6.0
 
 
@@ -51,7 +51,8 @@ class Model:
 
 
 def mirrored(word: bytes) -> bytes:
-    return word + b" " + word[::-1] + b" "
+    """The mirror image comes first, so that words that share a beginning share one middle part."""
+    return word[::-1] + b" " + word + b" "
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -210,7 +211,7 @@ def fit(
     typical = counts.where(
         (F.col("t") >= max(params.least_count, math.ceil(params.least_share * n1)))
         & (F.length("word") >= 4)
-        & (F.col("t") >= params.least_ratio * (expected + 1))
+        & (F.col("t") >= params.least_ratio * (expected + 0.5))
         & (F.col("t") - expected >= params.least_deviation * F.sqrt(expected + 1))
     )
     entries = params.toxic_bytes // 4
