@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -79,11 +80,31 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/mishap-{uuid.uuid4().hex}"
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
 def staged(df: DataFrame) -> DataFrame:
-    """The same rows, written as a table to the shared folder and read back: lineage ends here."""
-    path = shared_folder(df.sparkSession)
+    """The same rows, written as a table to the shared folder and read back: lineage ends here.
+
+    The table is deleted when the Python process ends, or by ``release``.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    _STAGED.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def release() -> None:
+    """Delete all staged tables; what still reads them must not be used afterwards."""
+    while _STAGED:
+        spark, path = _STAGED.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # noqa: BLE001  the session may be gone; its folder is then left as it is
+            return
 
 
 def held(df: DataFrame) -> DataFrame:
