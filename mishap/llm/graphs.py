@@ -9,31 +9,50 @@ from pyspark.sql import functions as F
 from mishap.llm.common import held
 
 
+def _roots(pointers: DataFrame) -> DataFrame:
+    """Follow pointers (a, p), each to a smaller node, to their ends; chains halve by every jump."""
+    while True:
+        further = pointers.select(F.col("a").alias("p"), F.col("p").alias("next"))
+        jumped = pointers.join(further, "p", "left").select(
+            "a", F.coalesce("next", "p").alias("p"), F.col("next").isNotNull().alias("moved")
+        )
+        jumped = held(jumped)
+        pointers = jumped.select("a", "p")
+        if jumped.where("moved").isEmpty():
+            return pointers
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b), with the least node as component.
 
-    Labels start as the least neighbour. Each round every node takes the least label around it and
-    then its label's own label, so chains shorten by jumps; rounds end when no label changes. A hub
-    with many edges is only a join key (which adaptive execution splits) and a minimum that tasks
-    combine before the shuffle. Every round is checkpointed, so lost executors cost one round.
+    In each round every node points to its least smaller neighbour, chains of pointers are followed
+    to their roots, and the edges shrink to those between different roots, so that a round leaves at
+    most half of the nodes that had edges. A hub with many edges is only a join key (which adaptive
+    execution splits) and a minimum that tasks combine before the shuffle; no round holds more rows
+    than there are edges. Rounds are checkpointed, so lost executors cost one round.
     """
-    edges = edges.where("a <> b").select("a", "b").distinct()
-    both = held(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = held(both.groupBy("a").agg(F.min("b").alias("l")).select("a", F.least("a", "l").alias("l")))
-    while True:
-        around = both.join(labels, "a").select(F.col("b").alias("a"), "l")
-        least = labels.select("a", "l", F.col("l").alias("old")).unionByName(
-            around.withColumn("old", F.lit(None).cast("long"))
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    edges = held(edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
+    rounds = []
+    while not edges.isEmpty():
+        pointers = _roots(held(edges.groupBy("a").agg(F.min("b").alias("p"))))
+        rounds.append(pointers)
+        left = edges.join(pointers, "a").select(F.col("p").alias("x"), "b")
+        right = pointers.select(F.col("a").alias("b"), F.col("p").alias("y"))
+        both = left.join(right, "b", "left").select(
+            F.col("x").alias("a"), F.coalesce("y", "b").alias("b")
         )
-        least = least.groupBy("a").agg(F.min("l").alias("l"), F.max("old").alias("old"))
-        of_label = labels.select(F.col("a").alias("l"), F.col("l").alias("next"))
-        jumped = least.join(of_label, "l", "left").select(
-            "a", F.least("l", "next").alias("l"), "old"
-        )
-        jumped = held(jumped)
-        labels = jumped.select("a", "l")
-        if jumped.where("l <> old").isEmpty():
-            return labels.select(F.col("a").alias("node"), F.col("l").alias("component"))
+        edges = held(both.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    found = rounds.pop()
+    while rounds:
+        earlier = rounds.pop()
+        later = found.select(F.col("a").alias("p"), F.col("p").alias("root"))
+        merged = earlier.join(later, "p", "left").select("a", F.coalesce("root", "p").alias("p"))
+        found = held(merged.unionByName(found))
+    roots = found.select(F.col("p").alias("a"), "p").distinct()
+    return found.unionByName(roots).select(F.col("a").alias("node"), F.col("p").alias("component"))
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
