@@ -32,7 +32,7 @@ from mishap.llm.graphs import components, local_roots
 from mishap.llm.rolling import DIGESTS, mix, runs
 
 TILE_GRAMS = 1 << 19
-TILE_ROWS = 1_024
+TILE_ROWS = 512
 COLUMNS_AT_ONCE = 2_048
 SET = "set_a long, set_b long"
 
@@ -132,7 +132,7 @@ def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[dict]:
         ends = np.cumsum([0, *(len(sets[i]) for i in rows)])
         values = np.concatenate([sets[i] for i in rows] or [np.zeros(0, np.uint64)])
         grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-        yield {"block": taken.column("block"), "node": taken.column("node"), "grams": grams}
+        yield {name: taken.column(name) for name in ("block", "tiles", "node")} | {"grams": grams}
 
 
 def linked_pairs(
@@ -222,12 +222,12 @@ def jaccard_components(
             F.ceil(F.sum("n") / F.lit(TILE_GRAMS)), F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS))
         ).alias("tiles")
     )
-    wanted = members.select("doc_id", "block", "node", "set_b")
-    texts_of = rows.join(wanted, "doc_id").select("text", "block", "node", "set_b")
-    full = map_batches(texts_of, _members, "block long, node long, grams array<long>", n)
-    dealt = full.join(sizes, "block").withColumn(
-        "tile", F.pmod(F.xxhash64("node"), F.col("tiles"))
-    )
+    # Block sizes meet the members before the texts do, so that no text travels by block.
+    wanted = members.join(sizes, "block").select("doc_id", "block", "tiles", "node", "set_b")
+    texts_of = rows.join(wanted, "doc_id").select("text", "block", "tiles", "node", "set_b")
+    schema = "block long, tiles long, node long, grams array<long>"
+    full = map_batches(texts_of, _members, schema, n)
+    dealt = full.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     dealt = dealt.select("block", "node", "grams", "tile", other)
     dealt = dealt.select(
