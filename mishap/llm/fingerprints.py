@@ -120,33 +120,31 @@ def with_next(docs: DataFrame, row_id: str, text: str) -> DataFrame:
     order = F.when(F.col("id").isNull(), 1).otherwise(-F.col("_number").cast("int"))
     dealt = dealt.select("id", "text", order.alias("_range"))
 
+    # Only the range of the least ids and that of null ids can be empty.
     tie = F.xxhash64("text")
     edges = dealt.groupBy("_range").agg(F.max("id").alias("id")).collect()
-    edges.sort(key=lambda r: r["_range"])
-    heads = edges[1:] + edges[:1]
-    pairs = [x["_range"] for pair in zip(edges, heads) for x in pair]
-    known = [x for r in edges if r["id"] is not None for x in (r["_range"], r["id"])]
-    leads = dealt
-    if known:
-        first = F.try_element_at(F.create_map(*map(F.lit, known)), F.col("_range"))
-        leads = dealt.where(F.col("id").eqNullSafe(first))
+    ranges = sorted(r["_range"] for r in edges) or [0]
+    place = F.col("_range")
+    ahead = F.when(place == ranges[0], ranges[-1]).otherwise(place - 1)
+    if 0 not in ranges:
+        ahead = F.when(place == 1, -1 if len(ranges) > 1 else 1).otherwise(ahead)
+    leading = F.col("id").isin([r["id"] for r in edges if r["id"] is not None])
     # Rows that share the id of a boundary: the first in order.
-    leads = leads.groupBy(F.col("_range").alias("_head")).agg(
-        F.min_by("text", F.struct(tie.alias("t"), "text")).alias("_head_text")
+    leads = (
+        dealt.where(leading | F.col("id").isNull())
+        .groupBy("_range")
+        .agg(F.min_by("text", F.struct(tie.alias("t"), "text")).alias("_head"))
+        .select(ahead.alias("_range"), "_head")
     )
     within = W.partitionBy("_range").orderBy(F.col("id").desc_nulls_last(), tie, "text")
-    dealt = dealt.withColumns(
+    ordered = dealt.withColumns(
         {
             "_next": F.lead("text").over(within),
             "_inner": F.lead(F.lit(True)).over(within).isNotNull(),
         }
     )
-    head = F.lit(None).cast("int")
-    if pairs:
-        head = F.try_element_at(F.create_map(*map(F.lit, pairs)), F.col("_range"))
-    dealt = dealt.withColumn("_head", F.when(~F.col("_inner"), head))
-    joined = dealt.join(leads, "_head", "left")
-    following = F.when(F.col("_inner"), F.col("_next")).otherwise(F.col("_head_text"))
+    joined = ordered.join(leads, "_range", "left")
+    following = F.when(F.col("_inner"), F.col("_next")).otherwise(F.col("_head"))
     return joined.select("id", "text", following.alias("next_text"))
 
 
