@@ -6,6 +6,8 @@ import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +21,13 @@ from mishap.operators import aggregates, clustering, encoding, forest, hygiene,
 from mishap.operators.joins import pin
 from mishap.operators.quantiles import exact_medians
 from mishap.plans import cleaning, engineering, hotspots, reports, risk
-from mishap.sources.tables import read_csv, shared_folder, stage, write_table
+from mishap.sources.tables import read_table, shared_folder, stage, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Small forest for checks; the library default is 200 deeper trees.
+# Small forest for checks of what hardly depends on it; ``risk_model_holds`` fits the default one.
 CHECK_FOREST = forest.ForestParams(trees=20, max_depth=5, max_bins=32)
 
 
@@ -234,14 +236,27 @@ def schema_listing(spark, sf):
     return hygiene.schema_listing(*tables(spark, sf, "orders"))
 
 
-@query("SELECT * FROM orders")
+@query(
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+              o_orderdate + to_microseconds(o_orderkey * 997 % 1000000) AS o_orderdate,
+              CASE WHEN o_orderkey % 5 <> 0
+                   THEN ' "' || o_orderstatus || '",' || chr(10) || o_orderpriority || '  ' END AS note
+       FROM orders"""
+)
 def csv_round_trip(spark, sf):
-    """Orders written as sorted CSV by the executors and read back with their declared types."""
+    """Orders with microseconds, padding, quotes and line breaks, as sorted CSV and read back."""
     (orders,) = tables(spark, sf, "orders")
     path = f"{shared_folder(spark)}/mishap/round-trip-{uuid.uuid4().hex}.csv"
-    zoned = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-    write_table(zoned, path, order_by="o_orderkey", total_order=True)
-    return plain_times(read_csv(spark, path, zoned.schema))
+    moment = F.expr("timestampadd(MICROSECOND, o_orderkey * 997 % 1000000, o_orderdate)")
+    note = F.concat(F.lit(' "'), "o_orderstatus", F.lit('",\n'), "o_orderpriority", F.lit("  "))
+    changed = orders.withColumns(
+        {
+            "o_orderdate": moment.cast("timestamp"),
+            "note": F.when(F.col("o_orderkey") % 5 != 0, note),
+        }
+    )
+    write_table(changed, path, order_by="o_orderkey", total_order=True)
+    return plain_times(read_table(spark, path, changed.schema))
 
 
 # --- Aggregations, sorts, samples ----------------------------------------------------------------
@@ -424,6 +439,22 @@ def stratified_split(spark, sf):
     return sampling.stratified_split(rows, "o_orderkey", "o_orderpriority")
 
 
+@query(
+    f"""WITH {QUOTA_SQL.format(label="l_returnflag", table="lineitem")}
+        SELECT label AS l_returnflag, CAST(any_value(n) AS BIGINT) AS rows,
+               CAST(any_value(quota) AS BIGINT) AS test_rows
+        FROM counts JOIN quotas USING (label) GROUP BY 1"""
+)
+def stratified_split_of_repeated_ids(spark, sf):
+    """Ids that repeat or are missing: the test rows of every class are exact all the same."""
+    (lines,) = tables(spark, sf, "lineitem")
+    key = F.when(F.col("l_linenumber") > 1, F.col("l_orderkey") % 50).alias("key")
+    split = sampling.stratified_split(lines.select("*", key), "key", "l_returnflag")
+    return split.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("split") == "test").alias("test_rows")
+    )
+
+
 @query(
     """SELECT o_orderpriority, count(*) AS rows,
               round((SELECT count(*) FROM orders) / ((SELECT count(DISTINCT o_orderpriority)
@@ -572,6 +603,38 @@ def kmeans_sweep(spark, sf):
     return hotspots.fit_hotspots(parts, ["p_size", "p_retailprice"]).evaluation
 
 
+@query(
+    """SELECT CAST(k AS INTEGER) AS k, count(*) AS rows, k AS clusters, true AS score_holds
+       FROM part, (SELECT unnest(range(3, 9)) AS k) GROUP BY k"""
+)
+def kmeans_sweep_holds(spark, sf):
+    """Every k of the sweep: all rows are placed, no cluster is empty, and the library's own
+    evaluator gives the score."""
+    (parts,) = tables(spark, sf, "part")
+    names = ["p_size", "p_retailprice"]
+    found = hotspots.fit_hotspots(parts, names)
+    scores = found.evaluation
+    results = []
+    for k, centres in found.centres.items():
+        placed = clustering.assign_clusters(parts, names, centres, found.scaling)
+        vectors = VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(
+            placed.select(
+                *[found.scaling.scaled(n).alias(a) for n, a in zip(names, "xy")],
+                F.col(S.CLUSTER).cast("double").alias("c"),
+            )
+        )
+        want = ClusteringEvaluator(featuresCol="v", predictionCol="c").evaluate(vectors)
+        score = scores.where(F.col("k") == k).select("silhouette_score").scalar()
+        results.append(
+            placed.agg(
+                F.lit(k).alias("k"),
+                F.count(S.CLUSTER).alias("rows"),
+                F.count_distinct(S.CLUSTER).alias("clusters"),
+            ).withColumn("score_holds", F.abs(score - want) < 1e-9)
+        )
+    return functools.reduce(DataFrame.unionByName, results)
+
+
 def staged_incidents(spark, sf) -> DataFrame:
     raw = standin.incidents(spark, sf)
     return stage(engineering.engineer(cleaning.clean(raw)), "engineered")
@@ -594,7 +657,7 @@ def hotspots_of_incidents(spark, sf):
 def hotspots_cover(spark, sf):
     """Every incident is in one hotspot, and no centre is nearer than that of its hotspot."""
     engineered = staged_incidents(spark, sf)
-    found = hotspots.fit_hotspots(engineered, counts=(3, 5, 8))
+    found = hotspots.fit_hotspots(engineered)
     placed = found.assign(engineered)
     centres = found.centres[found.best_k]
     values = [found.scaling.scaled(f) for f in found.features]
@@ -712,6 +775,47 @@ def risk_support(spark, sf):
     return table.where(totals | ((F.col("metric") == "support") & F.col("class").isin(S.RISK_CLASSES)))
 
 
+@query(
+    f"""WITH incidents AS ({standin.engineered_sql()}),
+        labelled AS (SELECT CASE "Severity" WHEN 1 THEN 'Low' WHEN 2 THEN 'Medium' ELSE 'High' END
+                     AS risk FROM incidents),
+        {QUOTA_SQL.format(label="risk", table="labelled")}
+        SELECT CAST(sum(quota) AS BIGINT) AS rows, 0::BIGINT AS not_the_likeliest, true AS learned,
+               true AS accuracy_holds, true AS balanced_holds, true AS importances_add_up
+        FROM quotas"""
+)
+def risk_model_holds(spark, sf):
+    """The forest of the default size: every class is the likeliest one, the metrics are those of
+    the predictions, importances add up to 1, and it beats chance by far."""
+    run = risk.train_risk(staged_incidents(spark, sf))
+    predictions = stage(run.predictions, "predictions")
+    chances = [(c, F.col(f"Probability_{c}")) for c in sorted(S.RISK_CLASSES)]
+    best = F.greatest(*[chance for _, chance in chances])
+    own = F.coalesce(*[F.when(F.col(S.PREDICTED_RISK) == c, chance) for c, chance in chances])
+    hit = (F.col(S.PREDICTED_RISK) == F.col(S.RISK)).cast("double")
+    recalls = predictions.groupBy(S.RISK).agg(F.avg(hit).alias("recall"))
+    balanced = recalls.agg(F.avg("recall")).scalar()
+    table = pin(risk.evaluate(predictions, run.model.training_rows))
+
+    def metric(name: str):
+        return table.where((F.col("metric") == name) & (F.col("class") == "all")).select("value").scalar()
+
+    total = run.importance.agg(F.sum("importance")).scalar()
+    counts = predictions.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(own < best).alias("not_the_likeliest"),
+        F.avg(hit).alias("accuracy"),
+    )
+    return counts.select(
+        "rows",
+        "not_the_likeliest",
+        (balanced > 0.6).alias("learned"),
+        (F.abs(metric("accuracy") - F.col("accuracy")) < 1e-9).alias("accuracy_holds"),
+        (F.abs(metric("balanced_accuracy") - balanced) < 1e-9).alias("balanced_holds"),
+        (F.abs(total - 1) < 1e-9).alias("importances_add_up"),
+    )
+
+
 @query()
 def feature_importance(spark, sf):
     return incident_risk(spark, sf).importance
@@ -740,7 +844,7 @@ def feature_importance_names(spark, sf):
 @query()
 def kpis(spark, sf):
     engineered = staged_incidents(spark, sf)
-    found = hotspots.fit_hotspots(engineered, counts=(3, 5, 8))
+    found = hotspots.fit_hotspots(engineered)
     run = risk.train_risk(engineered, params=CHECK_FOREST)
     return reports.kpis(found.assign(engineered), found.evaluation, pin(risk.evaluate(run.predictions)))
 

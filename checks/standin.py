@@ -15,8 +15,8 @@ from mishap import schemas as S
 # Column: expression over lineitem joined with orders.
 EXPRESSIONS = {
     "ID": "concat(l_orderkey, '-', l_linenumber)",
-    "Severity": "CASE o_orderpriority WHEN '1-URGENT' THEN 4 WHEN '2-HIGH' THEN 3"
-    " WHEN '5-LOW' THEN 1 ELSE 2 END",
+    "Severity": "CASE WHEN l_quantity > 35 THEN 4 WHEN l_quantity < 12 AND l_tax < 0.05 THEN 1"
+    " WHEN o_orderpriority = '2-HIGH' THEN 3 ELSE 2 END",
     "Start_Lat": "32e0 + l_discount * 100",
     "Start_Lng": "-124e0 + l_tax * 50",
     "End_Lat": "l_discount",

@@ -20,6 +20,9 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="mishap")
     parser.add_argument("stage", choices=[*STAGES, "all", "export"])
     parser.add_argument("--input", help="raw incidents as CSV, for the clean stage")
+    parser.add_argument(
+        "--single-line", action="store_true", help="no field of the input holds a line break"
+    )
     parser.add_argument("--folder", required=True, help="folder of the stage and result tables")
     parser.add_argument("--output", help="folder for CSV copies, for the export stage")
     args = parser.parse_args()
@@ -28,7 +31,8 @@ def main() -> None:
         run.export_csv(spark, args.folder, args.output)
         return
     for name in STAGES if args.stage == "all" else [args.stage]:
-        paths = (args.input, args.folder) if name == "clean" else (args.folder,)
+        clean = (args.input, args.folder, not args.single_line)
+        paths = clean if name == "clean" else (args.folder,)
         print(name, STAGES[name](spark, *paths))
 
 

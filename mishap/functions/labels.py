@@ -30,11 +30,6 @@ def feature_title(feature: Column) -> Column:
     return F.replace(feature, F.lit("_"), F.lit(" "))
 
 
-def flag(column: Column) -> Column:
-    """Boolean as 0/1; a missing flag stays missing."""
-    return column.cast("int")
-
-
 def present(column: Column) -> Column:
     """Number as double with NaN treated as missing."""
     return F.nullif(column.cast("double"), F.lit(float("nan")))

@@ -17,10 +17,8 @@ from mishap import schemas as S
 from mishap.functions.labels import present
 from mishap.operators.hygiene import quoted
 
-MAX_CLUSTERS = 10_000
-INLINE_CLUSTERS = 32
-# Least and most merged points per task; between the two, one task per core.
-MERGED_PER_PARTITION = 10_000, 1_000_000
+# Merged points per task.
+POINTS_PER_PARTITION = 20_000
 WEIGHT = "_weight"
 
 
@@ -80,28 +78,22 @@ def standardise(df: DataFrame, features: Sequence[str], scaling: Scaling | None
     return df.withColumns({f: scaling.scaled(f) for f in features})
 
 
-def scaled_points(
-    df: DataFrame, features: Sequence[str], scaling: Scaling, partitions: int | None = None
-) -> DataFrame:
-    """The standardised features of the complete rows, with a weight.
+def scaled_points(df: DataFrame, features: Sequence[str], scaling: Scaling) -> DataFrame:
+    """The standardised features of the complete rows, equal points merged, with their weight.
 
-    Where most rows repeat a point, equal points are merged and weighted by their number. That
-    leaves the clustering problem unchanged, shrinks every later pass, and partial counts absorb a
-    point that holds a large share of the rows. Merged points get a fixed order, which a seeded
-    start depends on. Otherwise rows stay where the scan put them.
+    Merging leaves the clustering problem unchanged, shrinks every later pass, and partial counts
+    absorb a point that holds a large share of the rows. A seeded start depends on how points are
+    dealt to tasks, so that follows from the points alone: their partitions are a function of their
+    (estimated) number and their values, sorted within, whatever the input's files, the size of the
+    table or the cores of the cluster.
     """
-    kept = df.where(complete(features))
-    if scaling.distinct_rows * 2 > scaling.complete_rows:
-        return kept.select(
-            *[scaling.scaled(f).alias(f) for f in features], F.lit(1.0).alias(WEIGHT)
-        )
-    merged = kept.groupBy(*[present(F.col(quoted(f))).alias(f) for f in features]).agg(
-        F.count(F.lit(1)).cast("double").alias(WEIGHT)
+    merged = (
+        df.where(complete(features))
+        .groupBy(*[present(F.col(quoted(f))).alias(f) for f in features])
+        .agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
     )
     names = [quoted(f) for f in features]
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few, many = (scaling.distinct_rows // n for n in MERGED_PER_PARTITION)
-    parts = partitions or max(1, min(cores, few), many)
+    parts = max(1, -(-scaling.distinct_rows // POINTS_PER_PARTITION))
     ordered = merged.repartition(parts, *names).sortWithinPartitions(*names)
     return ordered.select(*[scaling.scaled(f).alias(f) for f in features], WEIGHT)
 
@@ -155,9 +147,8 @@ def silhouette(
     """Mean silhouette with squared Euclidean distance, as one row.
 
     The mean squared distance from a row to a cluster follows from the cluster's size, vector sum
-    and sum of squared norms, so two passes suffice: one for those sums, one to score the rows.
-    The sums are a row per cluster and become constants of the second pass; each row is compared
-    with every cluster, so more than ``MAX_CLUSTERS`` clusters are an error.
+    and sum of squared norms, so two passes suffice: one for those sums, one to score the rows. The
+    sums, a row per cluster, become one array that the second pass reads as a scalar subquery.
     """
     w = F.col(quoted(weight)).cast("double") if weight else F.lit(1.0)
     xs = [F.col(f"x{i}") for i in range(len(features))]
@@ -167,71 +158,19 @@ def silhouette(
         *[present(F.col(quoted(f))).alias(f"x{i}") for i, f in enumerate(features)],
     ).where(F.col("c").isNotNull())
     rows = rows.withColumn("norm", sum((x * x for x in xs[1:]), xs[0] * xs[0]))
-    profiles = (
-        rows.groupBy("c")
-        .agg(
-            F.sum("w").alias("n"),
-            F.sum(F.col("w") * F.col("norm")).alias("q"),
-            *[F.sum(F.col("w") * x).alias(f"s{i}") for i, x in enumerate(xs)],
-        )
-        .limit(MAX_CLUSTERS + 1)
-        .collect()
+    sums = rows.groupBy("c").agg(
+        F.sum("w").alias("n"),
+        F.sum(F.col("w") * F.col("norm")).alias("q"),
+        *[F.sum(F.col("w") * x).alias(f"s{i}") for i, x in enumerate(xs)],
     )
-    if len(profiles) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
     # Mean squared distance from a row to a cluster: norm + offset + slopes . x
-    clusters = [
-        (p["c"], p["n"], p["q"] / p["n"], [-2 * p[f"s{i}"] / p["n"] for i in range(len(xs))])
-        for p in profiles
-    ]
-    compare = _compare_inline if len(clusters) <= INLINE_CLUSTERS else _compare_folded
-    a, b, size = F.col("own") * F.col("size") / (F.col("size") - 1), F.col("other"), F.col("size")
-    score = (
-        F.when((size <= 1) | b.isNull(), 0.0)
-        .when(a < b, 1 - a / b)
-        .when(a > b, b / a - 1)
-        .otherwise(0.0)
-    )
-    scored = compare(rows, xs, clusters).select("w", score.alias("score"))
-    total = F.sum(F.col("w") * F.col("score")) / F.sum("w")
-    return scored.agg(total.alias("silhouette_score"))
-
-
-def _compare_inline(rows: DataFrame, xs: Sequence[Column], clusters: Sequence[tuple]) -> DataFrame:
-    """Add the size and distance of each row's cluster and the least distance of the others.
-
-    One plain column per cluster, which compiles to tight code while clusters are few.
-    """
-    distances = {
-        f"d{j}": sum((x * F.lit(m) for x, m in zip(xs, slopes)), F.col("norm") + F.lit(offset))
-        for j, (_, _, offset, slopes) in enumerate(clusters)
-    }
-    size = own = None
-    others = [F.lit(None).cast("double")] * 2
-    for j, (c, n, _, _) in enumerate(clusters):
-        mine, d = F.col("c") == F.lit(c), F.col(f"d{j}")
-        size = F.when(mine, n) if size is None else size.when(mine, n)
-        own = F.when(mine, d) if own is None else own.when(mine, d)
-        others.append(F.when(mine, None).otherwise(d))
-    if not clusters:
-        size = own = F.lit(None).cast("double")
-    found = {"size": size, "own": own, "other": F.least(*others)}
-    return rows.withColumns(distances).withColumns(found)
-
-
-def _compare_folded(rows: DataFrame, xs: Sequence[Column], clusters: Sequence[tuple]) -> DataFrame:
-    """The same for many clusters: one fold over a constant array."""
-    table = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("c"),
-                F.lit(float(n)).alias("n"),
-                F.lit(offset).alias("offset"),
-                *[F.lit(m).alias(f"m{i}") for i, m in enumerate(slopes)],
-            )
-            for c, n, offset, slopes in clusters
-        ]
+    profile = F.struct(
+        "c",
+        F.col("n").cast("double").alias("n"),
+        (F.col("q") / F.col("n")).alias("offset"),
+        *[(F.col(f"s{i}") * -2 / F.col("n")).alias(f"m{i}") for i in range(len(xs))],
     )
+    profiles = sums.agg(F.sort_array(F.collect_list(profile)).alias("p")).scalar()
 
     def step(seen: Column, p: Column) -> Column:
         d = sum((x * p[f"m{i}"] for i, x in enumerate(xs)), F.col("norm") + p["offset"])
@@ -244,7 +183,19 @@ def _compare_folded(rows: DataFrame, xs: Sequence[Column], clusters: Sequence[tu
 
     unknown = F.lit(None).cast("double")
     start = F.struct(*[unknown.alias(name) for name in ("size", "own", "other")])
-    return rows.withColumn("_seen", F.aggregate(table, start, step)).select("*", "_seen.*")
+    compared = rows.withColumn("_profiles", profiles)
+    found = F.aggregate(F.col("_profiles"), start, step)
+    seen = compared.withColumn("_seen", found).select("w", "_seen.*")
+    a, b, size = F.col("own") * F.col("size") / (F.col("size") - 1), F.col("other"), F.col("size")
+    score = (
+        F.when((size <= 1) | b.isNull(), 0.0)
+        .when(a < b, 1 - a / b)
+        .when(a > b, b / a - 1)
+        .otherwise(0.0)
+    )
+    scored = seen.select("w", score.alias("score"))
+    total = F.sum(F.col("w") * F.col("score")) / F.sum("w")
+    return scored.agg(total.alias("silhouette_score"))
 
 
 def sweep(

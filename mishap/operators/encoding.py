@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from mishap.operators.hygiene import quoted
 
-MAX_CATEGORIES = 100_000
-
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per (column, value) of several columns in one pass; missing values are not counted."""
@@ -30,10 +28,11 @@ def modes(counts: DataFrame) -> DataFrame:
 
 
 def categories(counts: DataFrame) -> dict[str, dict[str, int]]:
-    """Values and their counts per column, in value order, as the model's metadata."""
-    rows = counts.orderBy("column", "value").limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to encode")
+    """Values and their counts per column, in value order.
+
+    They are the model's own metadata: an encoder has an entry of the vector for each of them.
+    """
+    rows = counts.orderBy("column", "value").collect()
     found: dict[str, dict[str, int]] = {}
     for column, value, n in rows:
         found.setdefault(column, {})[value] = n

@@ -5,25 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-SMALL_ROWS = 10_000
+from mishap.sources.tables import stage
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """The result of a small aggregate, held so that later uses do not compute it again.
+    """The result of a small aggregate, written so that later uses do not compute it again.
 
-    Up to ``SMALL_ROWS`` rows become literal rows of the plan, marked for broadcast; a larger
-    result is checkpointed and joins by shuffle.
+    A written table has a known size, by which Spark chooses between broadcast and shuffle.
     """
-    rows = df.limit(SMALL_ROWS + 1).collect()
-    if len(rows) > SMALL_ROWS:
-        return df.checkpoint()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return stage(df.coalesce(1), "pinned")
 
 
 def join_small(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join that broadcasts ``small`` only after counting its rows."""
+    """Join that broadcasts ``small`` if its written size allows."""
     return big.join(pin(small), list(on), how)

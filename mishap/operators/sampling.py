@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from mishap import schemas as S
 from mishap.operators.hygiene import quoted
-from mishap.operators.joins import join_small, pin
+from mishap.operators.joins import pin
 
 KEY = "_key"
 KEY_LENGTH = 32
+ROW_KEY_LENGTH = 16
 PREFIX_STEP = 4
 TAIL_ROWS = 1_000_000
 
@@ -24,19 +25,23 @@ def hashed_order(row_id: str, seed: int = S.SEED) -> Column:
 
 
 def key_cutoffs(
-    keyed: DataFrame, strata: Sequence[str], quota_of: Callable[[DataFrame], DataFrame]
+    keyed: DataFrame,
+    strata: Sequence[str],
+    quota_of: Callable[[DataFrame], DataFrame],
+    key_length: int = KEY_LENGTH,
 ) -> DataFrame:
-    """Per stratum, the key of its ``quota``-th row in key order, as (strata, _cutoff).
-
-    Rows are counted by a key prefix of four hex digits, so a stratum yields at most 65,536 counts
-    whatever its size. The sums of those counts are the stratum sizes (strata, rows) from which
-    ``quota_of`` derives (strata, quota). The prefix in which a quota falls is refined the same way
-    until few rows share it, and only those are ranked. A stratum with quota 0 has no cutoff.
+    """Per stratum, the key of its ``quota``-th row in key order: (strata, _cutoff, _n, _need).
+
+    ``_n`` rows have the cutoff key, and ``_need`` of them belong to the quota. Rows are counted by
+    a key prefix of four hex digits, so a stratum yields at most 65,536 counts whatever its size.
+    The sums of those counts are the stratum sizes (strata, rows) from which ``quota_of`` derives
+    (strata, quota). The prefix in which a quota falls is refined the same way until at most
+    ``TAIL_ROWS`` rows share it, which are counted by their whole key. A stratum with quota 0 has
+    no cutoff.
     """
     strata = list(strata)
     keyed = keyed.select(*strata, KEY)
-    by_stratum = W.partitionBy(*strata)
-    upto = F.sum("_n").over(by_stratum.orderBy("_prefix"))
+    upto = F.sum("_n").over(W.partitionBy(*strata).orderBy("_prefix"))
 
     def counted(rows: DataFrame, length: int) -> DataFrame:
         prefix = F.substring(KEY, 1, length).alias("_prefix")
@@ -49,28 +54,57 @@ def key_cutoffs(
             found.select(*strata, "_prefix", "_n", F.expr("_need - (_upto - _n)").alias("_need"))
         )
 
-    counts = counted(keyed, PREFIX_STEP).persist()
-    try:
-        sizes = counts.groupBy(*strata).agg(F.sum("_n").alias("rows"))
-        quotas = quota_of(sizes).where("quota > 0")
-        edge = edges(counts, pin(quotas.select(*strata, F.col("quota").alias("_need"))))
-    finally:
-        counts.unpersist()
-
-    for length in range(PREFIX_STEP, KEY_LENGTH, PREFIX_STEP):
-        needed = edge.select(*strata, "_need")
+    counts = pin(counted(keyed, PREFIX_STEP))
+    sizes = counts.groupBy(*strata).agg(F.sum("_n").alias("rows"))
+    quotas = quota_of(sizes).where("quota > 0")
+    edge = edges(counts, quotas.select(*strata, F.col("quota").alias("_need")))
+    length = PREFIX_STEP
+    while length < key_length:
+        few = edge.where(F.col("_n") > TAIL_ROWS).isEmpty()
         rest = (
             keyed.join(edge.select(*strata, "_prefix"), strata)
             .where(F.substring(KEY, 1, length) == F.col("_prefix"))
             .drop("_prefix")
         )
-        if edge.where(F.col("_n") > TAIL_ROWS).isEmpty():
-            rank = F.row_number().over(by_stratum.orderBy(KEY))
-            ranked = rest.withColumn("_rank", rank).join(needed, strata).where("_rank = _need")
-            return ranked.select(*strata, F.col(KEY).alias("_cutoff"))
-        edge = edges(counted(rest, length + PREFIX_STEP), needed)
-    # Whole keys: the rows that remain are copies of one id.
-    return edge.select(*strata, F.col("_prefix").alias("_cutoff"))
+        length = key_length if few else length + PREFIX_STEP
+        edge = edges(counted(rest, length), edge.select(*strata, "_need"))
+    return edge.select(*strata, F.col("_prefix").alias("_cutoff"), "_n", "_need")
+
+
+def mark_first(
+    df: DataFrame,
+    strata: Sequence[str],
+    row_id: str,
+    quota_of: Callable[[DataFrame], DataFrame],
+    seed: int = S.SEED,
+) -> DataFrame:
+    """Add ``_picked``: true for exactly the quota of each stratum, the first rows in hashed order.
+
+    Rows that share the id at the cutoff are ordered by a hash of all their columns, and of equal
+    rows as many are picked as the quota still needs; only those tied rows are ever ranked.
+    """
+    strata = list(strata)
+    names = [c for c in df.columns if c not in (KEY, "_picked")]
+    keyed = df.select(*map(quoted, names), hashed_order(row_id, seed).alias(KEY))
+    cut = pin(key_cutoffs(keyed, strata, quota_of))
+    marked = keyed.join(cut, strata, "left")
+    below = F.coalesce(F.col(KEY) <= F.col("_cutoff"), F.lit(False))
+    if cut.where("_n > _need").isEmpty():
+        return marked.select(*map(quoted, names), below.alias("_picked"))
+
+    tied = F.coalesce((F.col(KEY) == F.col("_cutoff")) & (F.col("_n") > F.col("_need")), F.lit(False))
+    clear = marked.where(~tied).select(*map(quoted, names), below.alias("_picked"))
+    row_hash = F.lpad(F.hex(F.xxhash64(*map(quoted, names))), ROW_KEY_LENGTH, "0")
+    ties = marked.where(tied).select(*map(quoted, names), row_hash.alias(KEY))
+    needs = cut.where("_n > _need").select(*strata, F.col("_need").alias("quota"))
+    edge = pin(key_cutoffs(ties, strata, lambda sizes: sizes.join(needs, strata), ROW_KEY_LENGTH))
+    ties = ties.join(edge, strata, "left")
+    equal = F.col(KEY) == F.col("_cutoff")
+    place = F.row_number().over(W.partitionBy(*strata, KEY).orderBy(F.lit(0)))
+    ranked = ties.where(equal).withColumn("_picked", place <= F.col("_need"))
+    rest = ties.where(~equal).withColumn("_picked", F.col(KEY) < F.col("_cutoff"))
+    columns = [*map(quoted, names), "_picked"]
+    return clear.unionByName(rest.select(*columns)).unionByName(ranked.select(*columns))
 
 
 def split_quotas(sizes: DataFrame, label: str, test_fraction: float = 0.2) -> DataFrame:
@@ -106,27 +140,22 @@ def stratified_split(
     """Add ``split``: 'test' for the exact quota of each class in hashed order, else 'train'.
 
     The class quotas and cutoffs are a few rows found in narrow passes over id and label; marking
-    the rows is then a broadcast lookup, so the wide table is not shuffled. Ids are taken to be
-    unique, and rows without a label to be filtered out.
+    the rows is then a lookup, so the wide table is not shuffled. Ids may repeat or be missing: the
+    quotas are exact for any rows. Rows without a label are taken to be filtered out.
     """
-    keyed = df.select(quoted(label), hashed_order(row_id, seed).alias(KEY))
-    cutoffs = key_cutoffs(keyed, [label], lambda sizes: split_quotas(sizes, label, test_fraction))
-    marked = join_small(df, cutoffs, [label], "left")
-    in_test = hashed_order(row_id, seed) <= F.col("_cutoff")
-    split = F.when(in_test, "test").otherwise("train")
-    return marked.withColumn("split", split).select(*df.columns, "split")
+    marked = mark_first(
+        df, [label], row_id, lambda sizes: split_quotas(sizes, label, test_fraction), seed
+    )
+    split = F.when(F.col("_picked"), "test").otherwise("train")
+    return marked.withColumn("split", split).select(*map(quoted, df.columns), "split")
 
 
 def exact_sample(df: DataFrame, row_id: str, limit: int, seed: int = S.SEED) -> DataFrame:
-    """``min(limit, rows)`` rows without replacement: the first in hashed order.
+    """``min(limit, rows)`` rows without replacement: the first in hashed order, in no order.
 
-    The cutoff key is found from prefix counts first, so that each task passes on only rows of the
-    sample instead of its own best ``limit`` rows.
+    The cutoff key is found from prefix counts, so the sample is a filter of the scan.
     """
-    keyed = df.select(F.lit(1).alias("_all"), hashed_order(row_id, seed).alias(KEY))
     quota = F.least(F.col("rows"), F.lit(limit)).alias("quota")
-    cutoff = key_cutoffs(keyed, ["_all"], lambda sizes: sizes.select("_all", quota)).first()
-    if cutoff is None:
-        return df.limit(0)
-    key = hashed_order(row_id, seed)
-    return df.where(key <= cutoff["_cutoff"]).orderBy(key).limit(limit)
+    whole = df.withColumn("_all", F.lit(1))
+    marked = mark_first(whole, ["_all"], row_id, lambda sizes: sizes.select("_all", quota), seed)
+    return marked.where("_picked").select(*map(quoted, df.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,30 +21,39 @@ from mishap.operators.hygiene import quoted
 from mishap.operators.sampling import exact_sample
 
 ALL = "All"
-SAMPLE_LIMITS = (1000, 2500, 5000, 10000)
+HEADLINE = ("balanced_accuracy", "accuracy", "testing_records")
 
 
-def metrics_or_defaults(metrics: DataFrame | None, like: DataFrame) -> DataFrame:
-    """Headline metrics (metric, value); a metric that is absent shows its default."""
-    spark = like.sparkSession
-    defaults = spark.createDataFrame(list(S.DEFAULT_METRICS.items()), "metric string, fallback double")
+def headline_metrics(
+    metrics: DataFrame | None, like: DataFrame, defaults: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Headline metrics (metric, value); one that is absent shows its default, null if none is given."""
+    given = defaults or {}
+    rows = [(name, given.get(name)) for name in HEADLINE]
+    wanted = like.sparkSession.createDataFrame(rows, "metric string, fallback double")
     if metrics is None:
-        return defaults.withColumnRenamed("fallback", "value")
-    found = metrics.where(
-        (F.col("class") == "all") & F.col("metric").isin(list(S.DEFAULT_METRICS))
-    ).select("metric", "value")
-    joined = defaults.join(found, "metric", "left")
+        return wanted.withColumnRenamed("fallback", "value")
+    found = metrics.where((F.col("class") == "all") & F.col("metric").isin(list(HEADLINE)))
+    joined = wanted.join(found.select("metric", "value"), "metric", "left")
     return joined.select("metric", F.coalesce("value", "fallback").alias("value"))
 
 
-def kpis(clustered: DataFrame, evaluation: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
-    """One row: incidents, hotspots, best k with its silhouette, and the model's accuracies."""
+def kpis(
+    clustered: DataFrame,
+    evaluation: DataFrame,
+    metrics: DataFrame | None = None,
+    defaults: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """One row: incidents, hotspots, best k with its silhouette, and the model's accuracies.
+
+    Without metrics the accuracies are those of ``defaults``, or null.
+    """
     counts = clustered.agg(
         F.count(F.lit(1)).alias("analyzed_incidents"),
         F.count_distinct(S.CLUSTER).alias("identified_hotspots"),
     )
     best = best_by(evaluation, "silhouette_score", "k").select(F.struct("k", "silhouette_score")).scalar()
-    headline = metrics_or_defaults(metrics, clustered)
+    headline = headline_metrics(metrics, clustered, defaults)
 
     def value(name: str):
         return headline.where(F.col("metric") == name).select("value").scalar()

@@ -16,12 +16,14 @@ from mishap.sources import results as R
 from mishap.sources.tables import read_csv, write_observed, write_small, write_table
 
 
-def run_cleaning(spark: SparkSession, source: str, folder: str) -> dict:
+def run_cleaning(
+    spark: SparkSession, source: str, folder: str, multiline: bool = True
+) -> dict:
     """Raw CSV to the cleaned table; returns its rows, columns and remaining missing values.
 
     Files are sorted by id, which deduplication has already done inside each task.
     """
-    cleaned = clean(read_csv(spark, source))
+    cleaned = clean(read_csv(spark, source, multiline=multiline))
     return write_observed(cleaned, f"{folder}/{R.CLEANED}", order_by=S.INCIDENT_ID)
 
 

@@ -112,14 +112,6 @@ PREDICTION_DISPLAY = PREDICTION_CONTEXT + [
     "Probability_Low",
 ]
 
-# Figures shown while no model has been evaluated yet.
-DEFAULT_METRICS = {
-    "balanced_accuracy": 0.5167,
-    "accuracy": 0.77,
-    "training_records": 80000.0,
-    "testing_records": 20000.0,
-}
-
 # --- Schemas ----------------------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,20 +12,35 @@ from pyspark.sql import types as T
 from mishap import schemas as S
 from mishap.operators.hygiene import quoted
 
+CSV_DIALECT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# What a quoted empty field reads as, to tell it from a missing one.
+EMPTY = "\ue000"
+# Times keep their microseconds.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = S.RAW, multiline: bool = False
+    spark: SparkSession, path: str, schema: T.StructType = S.RAW, multiline: bool = True
 ) -> DataFrame:
     """CSV with a header, typed by column name.
 
     Declared columns get their type wherever they stand in the file, and text that does not fit
-    becomes null; other columns stay text. Quotes inside a field are doubled. ``multiline`` allows
-    line breaks inside fields, at the price of reading each file in one task.
+    becomes null; other columns stay text. Quotes inside a field are doubled, blanks around a field
+    belong to it. Fields may hold line breaks, at the price of reading each file in one task;
+    ``multiline=False`` splits large files that are known to have none.
     """
-    text = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
+    text = spark.read.csv(path, header=True, multiLine=multiline, emptyValue=EMPTY, **CSV_DIALECT)
     columns = []
     for name in text.columns:
-        column = F.col(quoted(name))
+        column = F.replace(F.col(quoted(name)), F.lit(EMPTY), F.lit(""))
         if name in schema.names:
             dtype = schema[name].dataType
             if isinstance(dtype, T.TimestampType):
@@ -88,31 +103,43 @@ def write_small(df: DataFrame, path: str) -> None:
 def _write(df: DataFrame, path: str) -> None:
     writer = df.write.mode("overwrite")
     if path.rstrip("/").endswith(".csv"):
-        writer.csv(path, header=True, quote='"', escape='"')
+        writer.options(**CSV_TIMES).csv(path, header=True, **CSV_DIALECT)
     else:
         writer.parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a session on one machine may go without; it then gets a temporary folder.
-    """
+    """The folder every executor can reach: as the session names it, else in its warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        folder = tempfile.mkdtemp(prefix="mishap-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This ends the lineage: what follows survives lost executors without repeating the work before
-    it, and reads only the columns it needs.
+    it, and reads only the columns it needs. The table is deleted by ``release``, at the latest when
+    the Python process ends.
     """
     path = f"{shared_folder(df.sparkSession)}/mishap/{name}-{uuid.uuid4().hex}"
+    _STAGED.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@atexit.register
+def release() -> None:
+    """Delete all staged tables; what still reads them must not be used afterwards."""
+    while _STAGED:
+        spark, path = _STAGED.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # noqa: BLE001  the session may be gone; its folder is then left as it is
+            return

@@ -6,7 +6,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from mishap.operators import clustering
 from mishap.operators.aggregates import hotspot_summary
 from mishap.operators.clustering import (
     WEIGHT,
@@ -65,22 +64,29 @@ def test_silhouette_of_weighted_points_equals_repeated_points(spark):
     assert merged == pytest.approx(silhouette(repeated, XY, "c").first()[0], abs=1e-12)
 
 
-@pytest.mark.parametrize("inline", [0, 32])
-def test_silhouette_of_text_clusters(spark, blobs, monkeypatch, inline):
-    """Few and many clusters are compared in different ways that must agree."""
+def test_silhouette_of_text_clusters(spark, blobs):
     mixed = blobs.withColumn("c", F.concat(F.lit("it's "), F.col("id") % 7))
     vectors = VectorAssembler(inputCols=XY, outputCol="v").transform(
         mixed.withColumn("i", F.col("id") % 7)
     )
     want = ClusteringEvaluator(featuresCol="v", predictionCol="i").evaluate(vectors)
-    monkeypatch.setattr(clustering, "INLINE_CLUSTERS", inline)
     assert silhouette(mixed, XY, "c").first()[0] == pytest.approx(want, abs=1e-12)
 
 
-def test_too_many_clusters_are_an_error(spark, blobs, monkeypatch):
-    monkeypatch.setattr(clustering, "MAX_CLUSTERS", 2)
-    with pytest.raises(ValueError):
-        silhouette(blobs, XY, "c")
+def test_many_clusters(spark):
+    """As many clusters as half of the rows: pairs at distance 1, clusters far apart."""
+    df = spark.range(4000).select(
+        (F.col("id") % 2000 * 100 + F.floor(F.col("id") / 2000)).cast("double").alias("x"),
+        F.lit(0.0).alias("y"),
+        (F.col("id") % 2000).alias("c"),
+    )
+    assert silhouette(df, XY, "c").first()[0] == pytest.approx(0.9999, abs=1e-4)
+
+
+def test_clusters_do_not_depend_on_how_the_input_is_dealt(spark, blobs):
+    found = [fit_hotspots(blobs.repartition(n), XY, counts=[3, 5]) for n in (1, 7)]
+    for k in (3, 5):
+        assert np.allclose(found[0].centres[k], found[1].centres[k], atol=1e-12)
 
 
 def test_sweep_scores_match_the_library(spark, blobs):

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from mishap import schemas as S
 from mishap.operators.forest import ForestParams
 from mishap.plans import reports, run
 from mishap.sources import results
-from mishap.sources.tables import read_csv, read_table, stage, write_observed, write_table
+from mishap.sources.tables import read_csv, read_table, release, stage, write_observed, write_table
 
 
 def test_csv_is_typed_by_name(spark, tmp_path):
@@ -25,11 +27,19 @@ def test_csv_is_typed_by_name(spark, tmp_path):
     assert bad["Start_Lat"] is None and bad["Stop"] is None
 
 
-def test_csv_keeps_line_breaks_when_asked(spark, tmp_path):
-    df = spark.createDataFrame([("a", 'two\nlines "quoted", done'), ("b", None)], "ID string, Street string")
+def test_csv_loses_nothing(spark, tmp_path):
+    rows = [
+        ("a", 'two\nlines "quoted", done', "2024-01-01 01:02:03.456789"),
+        ("b", None, None),
+        ("c", " pad ", "2024-12-31 23:59:59.000001"),
+        ("d", "", "2024-01-01 00:00:00"),
+        ("e", 'back\\slash"', "2024-01-01 00:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "ID string, Street string, Start_Time string")
+    df = df.withColumn("Start_Time", F.col("Start_Time").cast("timestamp"))
     path = str(tmp_path / "out.csv")
     write_table(df, path, order_by="ID", total_order=True)
-    assert sorted(read_csv(spark, path, multiline=True).collect()) == sorted(df.collect())
+    assert sorted(read_table(spark, path, df.schema).collect()) == sorted(df.collect())
 
 
 def test_observed_write(spark, tmp_path):
@@ -44,6 +54,10 @@ def test_observed_write(spark, tmp_path):
 def test_stage_ends_the_lineage(spark):
     staged = stage(spark.range(5), "numbers")
     assert staged.count() == 5 and len(staged.inputFiles()) > 0
+    place = staged.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(place)
+    release()
+    assert not os.path.exists(place)
 
 
 @pytest.fixture(scope="module")

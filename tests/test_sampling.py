@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from mishap.operators import joins, sampling
+from mishap.operators import sampling
 from mishap.operators.sampling import exact_sample, hashed_order, stratified_split
 
 
@@ -36,11 +36,26 @@ def test_split_is_exact(spark, monkeypatch, n, tail):
     assert {r["id"] for r in split if r["split"] == "test"} == expected_test_rows(df)
 
 
-def test_split_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "SMALL_ROWS", 1)
-    df = labelled(spark, 3000)
-    split = stratified_split(df, "id", "label").where("split = 'test'").collect()
-    assert {r["id"] for r in split} == expected_test_rows(df)
+def test_split_is_exact_for_repeated_and_missing_ids(spark):
+    """1,000 rows of one class give 200 test rows, whatever their ids."""
+    rows = spark.range(1000).withColumn("label", F.lit("a"))
+    for ids in (F.col("id") % 3, F.lit(None).cast("long"), F.lit(7)):
+        for other in (F.col("id"), F.lit(0)):
+            df = rows.select(ids.alias("key"), other.alias("other"), "label")
+            split = stratified_split(df, "key", "label")
+            assert split.where("split = 'test'").count() == 200
+            assert split.drop("split").exceptAll(df).isEmpty() and split.count() == 1000
+
+
+def test_split_with_a_shuffled_lookup(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = labelled(spark, 3000)
+        split = stratified_split(df, "id", "label").where("split = 'test'").collect()
+        assert {r["id"] for r in split} == expected_test_rows(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_split_does_not_depend_on_partitions(spark):
@@ -57,7 +72,7 @@ def test_sample_is_first_in_hashed_order(spark, limit):
     df = spark.range(3000)
     got = [r["id"] for r in exact_sample(df, "id", limit).collect()]
     want = [r["id"] for r in df.orderBy(hashed_order("id")).limit(limit).collect()]
-    assert got == want and len(got) == min(limit, 3000)
+    assert sorted(got) == sorted(want) and len(got) == min(limit, 3000)
 
 
 def test_sample_with_one_repeated_id(spark, monkeypatch):
