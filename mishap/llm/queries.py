@@ -14,6 +14,7 @@ from mishap.llm import (
     packing,
     pii,
     sharding,
+    sql,
     substrings,
     token_counts,
     toxicity,
@@ -86,4 +87,8 @@ QUERIES = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_substring_dedup": sql.SUBSTRING_SQL,
+    "op9_ngram_jaccard_join": sql.JACCARD_SQL,
+    "op10_embedding_near_dedup": sql.VECTORS_SQL,
+}
