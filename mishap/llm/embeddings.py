@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mishap.llm.common import field, quoted, staged
+from mishap.llm.common import quoted, staged
 from mishap.llm.graphs import components, local_roots
 
 TILE_VALUES = 1 << 17

@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mishap.llm.common import UnitCache, field, map_batches, quoted, slices, texts
+from mishap.llm.common import UnitCache, field, map_batches, slices, texts
 
 TABLE_ENTRIES = 32_768
 SUMMARY_ENTRIES = 4_096
