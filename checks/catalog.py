@@ -462,8 +462,9 @@ def stratified_split_of_repeated_ids(spark, sf):
 )
 def class_weights(spark, sf):
     (orders,) = tables(spark, sf, "orders")
-    weights = encoding.class_weights(orders, "o_orderpriority")
-    return weights.withColumn("weight", F.round("weight", 9))
+    weights = encoding.class_weights(encoding.category_counts(orders, ["o_orderpriority"]))
+    rounded = weights.withColumn("weight", F.round("weight", 9))
+    return rounded.withColumnRenamed("value", "o_orderpriority")
 
 
 @query(

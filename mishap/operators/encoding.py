@@ -39,16 +39,8 @@ def categories(counts: DataFrame) -> dict[str, dict[str, int]]:
     return found
 
 
-def balanced_weight(rows, classes, class_rows):
-    """Weight that gives every class the same total: rows / (classes * class rows)."""
-    return rows / (classes * class_rows)
-
-
-def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Size and balanced weight of each class."""
-    counts = df.where(F.col(quoted(label)).isNotNull()).groupBy(quoted(label)).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    overall = counts.agg(F.struct(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    weight = balanced_weight(overall["n"], overall["k"], F.col("rows"))
-    return counts.select(quoted(label), "rows", weight.alias("weight"))
+def class_weights(counts: DataFrame) -> DataFrame:
+    """Size and balanced weight of each class, from its count: every class gets the same total."""
+    overall = counts.agg(F.struct(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    weight = overall["n"] / (overall["k"] * F.col("n"))
+    return counts.select("value", F.col("n").alias("rows"), weight.alias("weight"))

@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mishap import schemas as S
-from mishap.operators.encoding import balanced_weight, categories, category_counts
+from mishap.operators.encoding import categories, category_counts, class_weights, modes
 from mishap.operators.hygiene import medians, quoted
+from mishap.operators.joins import pin
 from mishap.operators.quantiles import exact_medians
 
 LABEL = "_label"
@@ -65,23 +66,19 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _mode(counts: dict[str, int]) -> str:
-    return min(counts, key=lambda value: (-counts[value], value))
-
-
-def training_counts(train: DataFrame, features: FeatureSet, *others: str) -> dict[str, dict[str, int]]:
+def training_counts(train: DataFrame, features: FeatureSet, *others: str) -> DataFrame:
     """Rows per value of the categorical, binary and other named columns, in one pass."""
     columns = [F.col(quoted(c)) for c in [*features.categorical, *others]]
     columns += [F.col(quoted(c)).cast("int").alias(c) for c in features.binary]
     named = train.select(*columns)
-    return categories(category_counts(named, named.columns))
+    return pin(category_counts(named, named.columns))
 
 
 def preprocessor(
     train: DataFrame,
     features: FeatureSet,
     params: ForestParams,
-    seen: dict[str, dict[str, int]],
+    counts: DataFrame,
 ) -> tuple[PipelineModel, list[str]]:
     """Impute, one-hot encode and assemble, learned from the training rows and their value counts.
 
@@ -89,6 +86,8 @@ def preprocessor(
     of their own; the medians take one. A category that training did not see encodes to zeros; a
     column without training values is left out of the vector.
     """
+    seen = categories(counts)
+    best = {row["column"]: row["value"] for row in modes(counts).collect()}
     if not features.numeric:
         median = {}
     elif params.exact_medians:
@@ -106,10 +105,10 @@ def preprocessor(
         filled.append(f"coalesce({number}, {float(median[c])!r}D) AS {quoted('numerical__' + c)}")
     for c in categorical:
         value = f"cast({quoted(c)} as string)"
-        filled.append(f"coalesce({value}, {_text(_mode(seen[c]))}) AS {quoted('categorical__' + c)}")
+        filled.append(f"coalesce({value}, {_text(best[c])}) AS {quoted('categorical__' + c)}")
     for c in binary:
         value = f"cast(cast({quoted(c)} as int) as double)"
-        filled.append(f"coalesce({value}, {_mode(seen[c])}D) AS {quoted('binary__' + c)}")
+        filled.append(f"coalesce({value}, {best[c]}D) AS {quoted('binary__' + c)}")
 
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")]
     if categorical:
@@ -152,12 +151,12 @@ def fit_forest(
     train = train.select(of_class.alias(label), *[quoted(c) for c in features.all]).where(
         of_class.isNotNull()
     )
-    seen = training_counts(train, features, label)
-    sizes = seen.pop(label)
-    rows = sum(sizes.values())
-    weights = {c: balanced_weight(rows, len(sizes), n) for c, n in sizes.items()}
+    counts = training_counts(train, features, label)
+    sizes = class_weights(counts.where(F.col("column") == label)).collect()
+    rows = sum(row["rows"] for row in sizes)
+    weights = {row["value"]: row["weight"] for row in sizes}
     classes = sorted(weights)
-    prepare, names = preprocessor(train, features, params, seen)
+    prepare, names = preprocessor(train, features, params, counts)
 
     def lookup(values: dict) -> Column:
         pairs = [F.lit(x) for item in values.items() for x in item]

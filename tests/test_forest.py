@@ -37,7 +37,8 @@ def test_modes_prefer_the_least_of_equals(spark):
 
 def test_class_weights(spark):
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] + [(None,)], "label string")
-    got = {r["label"]: r["weight"] for r in class_weights(df, "label").collect()}
+    counts = category_counts(df, ["label"])
+    got = {r["value"]: r["weight"] for r in class_weights(counts).collect()}
     assert got == {"a": 4 / (2 * 3), "b": 4 / (2 * 1)}
 
 
