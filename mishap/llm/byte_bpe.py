@@ -21,6 +21,8 @@ from mishap.llm.common import UnitCache, field, map_batches, quoted, slices, tex
 _UNEVEN = re.compile(
     rb"[\s\x1c-\x1f]{2}|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
+# Rows whose ids are put together at a time.
+ROWS_AT_ONCE = 1_000
 _CACHES: dict[str, UnitCache] = {}
 _DECODERS: dict[str, TokenBytes] = {}
 
@@ -85,14 +87,15 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[di
         rows = [text or b"" for text in batch.column("text").to_pylist()]
         cache.prepare(units for text in rows for units in _text_units(text, pattern))
         ids_of = cache.found.__getitem__
-        encoded = [
-            b"".join([b"".join(map(ids_of, units)) for units in _text_units(text, pattern)])
-            for text in rows
-        ]
-        offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in encoded])])
-        values = np.frombuffer(b"".join(encoded), np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-        yield {"doc_id": batch.column("doc_id"), "ids": ids}
+        for start in range(0, len(rows), ROWS_AT_ONCE):
+            encoded = [
+                b"".join([b"".join(map(ids_of, units)) for units in _text_units(text, pattern)])
+                for text in rows[start : start + ROWS_AT_ONCE]
+            ]
+            offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in encoded])])
+            values = np.frombuffer(b"".join(encoded), np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+            yield {"doc_id": batch.column("doc_id").slice(start, ROWS_AT_ONCE), "ids": ids}
 
 
 def encode(
@@ -120,7 +123,8 @@ def _decode(batches: Iterator[pa.RecordBatch], shared: Broadcast, names: list[st
         _DECODERS.clear()
         _DECODERS[key] = TokenBytes(read_ranks(data))
     table = _DECODERS[key]
-    for batch in batches:
+    parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
+    for batch in parts:
         column = batch.column("ids")
         ends = np.cumsum([0, *[n or 0 for n in pa.compute.list_value_length(column).to_pylist()]])
         decoded, lengths = table.decode(column.flatten().to_numpy(zero_copy_only=False))

@@ -20,6 +20,8 @@ from mishap.llm.common import UnitCache, field, map_batches, slices, staged, tex
 
 # Words whose normalisation is plain lower case: printable ASCII and Latin letters with accents.
 _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]*")
+# Rows whose ids are put together at a time.
+ROWS_AT_ONCE = 1_000
 _CACHES: dict[str, UnitCache] = {}
 
 
@@ -108,21 +110,22 @@ def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) ->
         rows = [text or b"" for text in batch.column("text").to_pylist()]
         cache.prepare(_words(part) for text in rows for part in slices(text))
         ids_of = cache.found.__getitem__
-        encoded = [
-            b"".join([*[b"".join(map(ids_of, _words(p))) for p in slices(text)], last])
-            for text in rows
-        ]
-        counts = np.array([len(ids) // dtype.itemsize for ids in encoded], np.int64)
-        places = before + np.cumsum(counts) - counts
-        before += int(counts.sum())
-        yield {
-            "doc_id": batch.column("doc_id"),
-            "part": [part] * len(rows),
-            "before": places,
-            "n": counts,
-            "width": [dtype.itemsize] * len(rows),
-            "ids": encoded,
-        }
+        for start in range(0, len(rows), ROWS_AT_ONCE):
+            encoded = [
+                b"".join([*[b"".join(map(ids_of, _words(p))) for p in slices(text)], last])
+                for text in rows[start : start + ROWS_AT_ONCE]
+            ]
+            counts = np.array([len(ids) // dtype.itemsize for ids in encoded], np.int64)
+            places = before + np.cumsum(counts) - counts
+            before += int(counts.sum())
+            yield {
+                "doc_id": batch.column("doc_id").slice(start, ROWS_AT_ONCE),
+                "part": [part] * len(encoded),
+                "before": places,
+                "n": counts,
+                "width": [dtype.itemsize] * len(encoded),
+                "ids": encoded,
+            }
 
 
 def tokenise(
@@ -139,7 +142,8 @@ def tokenise(
 
 
 def _cut(batches: Iterator[pa.RecordBatch], base: Mapping[int, int], length: int) -> Iterator[dict]:
-    for batch in batches:
+    parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
+    for batch in parts:
         out: dict[str, list] = {name: [] for name in ("start", "length", "sequence_id", "offset", "ids")}
         rows = []
         columns = [batch.column(c).to_pylist() for c in ("part", "before", "n", "width", "ids")]
