@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mishap.llm.bpe import BytePairs, TokenBytes, read_ranks
-from mishap.llm.common import UnitCache, field, map_batches, quoted, slices, texts
+from mishap.llm.common import UnitCache, field, map_batches, quoted, slices, texts, worker_cache
 
 # White space next to white space, or white space beyond ASCII.
 _UNEVEN = re.compile(
@@ -23,7 +23,6 @@ _UNEVEN = re.compile(
 )
 # Rows whose ids are put together at a time.
 ROWS_AT_ONCE = 1_000
-_CACHES: dict[str, UnitCache] = {}
 _DECODERS: dict[str, TokenBytes] = {}
 
 
@@ -79,10 +78,10 @@ class _Encoder:
 
 def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dict]:
     key, data, source = shared.value
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = UnitCache(_Encoder(read_ranks(data), source), limit=300_000)
-    cache, pattern = _CACHES[key], regex.compile(source)
+    cache = worker_cache(
+        ("byte BPE", key), lambda: UnitCache(_Encoder(read_ranks(data), source), limit=300_000)
+    )
+    pattern = regex.compile(source)
     for batch in batches:
         rows = [text or b"" for text in batch.column("text").to_pylist()]
         cache.prepare(units for text in rows for units in _text_units(text, pattern))

@@ -138,6 +138,17 @@ class UnitCache:
             self.found.update(zip(parts, self.compute(parts)))
 
 
+_ACTIVE: dict[tuple, UnitCache] = {}
+
+
+def worker_cache(key: tuple, make: Callable[[], UnitCache]) -> UnitCache:
+    """The cache of this Python worker for ``key``; a worker keeps that of one operator at a time."""
+    if key not in _ACTIVE:
+        _ACTIVE.clear()
+        _ACTIVE[key] = make()
+    return _ACTIVE[key]
+
+
 def buckets(rows: int, per_bucket: int) -> int:
     return max(1, -(-rows // per_bucket))
 

@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mishap.llm.bpe import BytePairs
-from mishap.llm.common import UnitCache, field, map_batches, slices, staged, texts
+from mishap.llm.common import UnitCache, field, map_batches, slices, staged, texts, worker_cache
 
 # Words whose normalisation is plain lower case: printable ASCII and Latin letters with accents.
 _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]*")
 # Rows whose ids are put together at a time.
 ROWS_AT_ONCE = 1_000
-_CACHES: dict[str, UnitCache] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -100,10 +99,9 @@ def _words(text: bytes) -> list[bytes]:
 
 def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) -> Iterator[dict]:
     key, source = shared.value
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = UnitCache(_WordEncoder(source), limit=300_000)
-    cache = _CACHES[key]
+    cache = worker_cache(
+        ("words", key), lambda: UnitCache(_WordEncoder(source), limit=300_000)
+    )
     dtype = cache.compute.dtype
     part, before, last = TaskContext.get().partitionId(), 0, np.array([end], dtype).tobytes()
     for batch in batches:

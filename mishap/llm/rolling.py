@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 _MULTIPLIERS = (
     np.uint64(0x9E3779B97F4A7C15),
     np.uint64(0xC2B2AE3D27D4EB4F),

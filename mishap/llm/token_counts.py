@@ -14,14 +14,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mishap.llm.common import UnitCache, field, map_batches, slices, texts
+from mishap.llm.common import UnitCache, field, map_batches, slices, texts, worker_cache
 
 TABLE_ENTRIES = 32_768
 SUMMARY_ENTRIES = 4_096
 COUNTER_ENTRIES = 200_000
 SPACE = "▁"
 _RUN = re.compile(rb" +[^ ]*")
-_CACHES: dict[str, UnitCache] = {}
 
 
 def pretokens(text: bytes) -> list[bytes]:
@@ -72,12 +71,13 @@ def frequent_pretokens(docs: DataFrame, entries: int = TABLE_ENTRIES) -> list[by
 
 def _cache(shared: Broadcast) -> UnitCache:
     key, proto, words, lengths = shared.value
-    if key not in _CACHES:
+
+    def make() -> UnitCache:
         model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         table = dict(zip(words.split(b" "), lengths.tolist())) if len(lengths) else {}
-        _CACHES.clear()
-        _CACHES[key] = UnitCache(lambda parts: _lengths(model, parts), table)
-    return _CACHES[key]
+        return UnitCache(lambda parts: _lengths(model, parts), table)
+
+    return worker_cache(("token counts", key), make)
 
 
 def _count(batches: Iterator[pa.RecordBatch], shared: Broadcast, splits: bool) -> Iterator[dict]:

@@ -14,14 +14,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mishap.llm.common import UnitCache, field, held, map_batches, quoted, slices, texts
+from mishap.llm.common import UnitCache, field, held, map_batches, quoted, slices, texts, worker_cache
 
 PUNCTUATION = b".,!?;:\"'()[]"
 # A window is a word with its mirror image, which doubles what a match saves, behind blanks: they
 # give the coder something to save, without which it stores short input as it is.
 BLANKS = b" " * 32
 LEVEL = 13
-_CACHES: dict[str, UnitCache] = {}
 
 
 @dataclass(frozen=True)
@@ -101,10 +100,7 @@ class _Gain:
 
 def _cache(shared: Broadcast) -> UnitCache:
     key, toxic, ordinary = shared.value
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = UnitCache(_Gain(toxic, ordinary))
-    return _CACHES[key]
+    return worker_cache(("toxicity", key), lambda: UnitCache(_Gain(toxic, ordinary), limit=300_000))
 
 
 def _gains(
