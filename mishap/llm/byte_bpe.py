@@ -22,7 +22,7 @@ _UNEVEN = re.compile(
     rb"[\s\x1c-\x1f]{2}|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
 # Rows whose ids are put together at a time.
-ROWS_AT_ONCE = 1_000
+ROWS_AT_ONCE = 500
 _DECODERS: dict[str, TokenBytes] = {}
 
 
@@ -53,7 +53,7 @@ class _Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.pairs = BytePairs.from_ranks(ranks)
-        self.tokens = UnitCache(self._merge, limit=300_000)
+        self.tokens = UnitCache(self._merge, limit=200_000)
 
     def _merge(self, tokens: list[bytes]) -> list[bytes]:
         """Ids of single pre-tokens; one that is a token itself is taken as it is."""
@@ -79,7 +79,7 @@ class _Encoder:
 def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dict]:
     key, data, source = shared.value
     cache = worker_cache(
-        ("byte BPE", key), lambda: UnitCache(_Encoder(read_ranks(data), source), limit=300_000)
+        ("byte BPE", key), lambda: UnitCache(_Encoder(read_ranks(data), source), limit=200_000)
     )
     pattern = regex.compile(source)
     for batch in batches:
@@ -116,6 +116,35 @@ def encode(
     return encoded.select(F.col("doc_id").alias(row_id), "ids")
 
 
+def _round_trip(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[dict]:
+    table = TokenBytes(read_ranks(shared.value[1]))
+    for columns in _encode(batches, shared):
+        yield columns | {"decoded": _decoded(columns["ids"], table)}
+
+
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, row_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``decode`` of ``encode`` in one pass, where one Python worker does both: (id, ids, decoded)."""
+    with open(ranks_path, "rb") as file:
+        data = file.read()
+    key = hashlib.sha256(data + pattern.encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast((key, data, pattern))
+    rows = texts(docs, row_id, text)
+    schema = f"{field(rows, 'doc_id')}, ids array<int>, decoded binary"
+    found = map_batches(rows, _round_trip, schema, shared)
+    return found.select(F.col("doc_id").alias(row_id), "ids", "decoded")
+
+
+def _decoded(column: pa.ListArray, table: TokenBytes) -> list[bytes]:
+    """The bytes that each row's ids stand for."""
+    ends = np.cumsum([0, *[n or 0 for n in pa.compute.list_value_length(column).to_pylist()]])
+    decoded, lengths = table.decode(column.flatten().to_numpy(zero_copy_only=False))
+    places = np.concatenate([[0], np.cumsum(lengths)])[ends].tolist()
+    whole = decoded.tobytes()
+    return [whole[a:b] for a, b in zip(places, places[1:])]
+
+
 def _decode(batches: Iterator[pa.RecordBatch], shared: Broadcast, names: list[str]) -> Iterator[dict]:
     key, data = shared.value
     if key not in _DECODERS:
@@ -124,12 +153,7 @@ def _decode(batches: Iterator[pa.RecordBatch], shared: Broadcast, names: list[st
     table = _DECODERS[key]
     parts = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
     for batch in parts:
-        column = batch.column("ids")
-        ends = np.cumsum([0, *[n or 0 for n in pa.compute.list_value_length(column).to_pylist()]])
-        decoded, lengths = table.decode(column.flatten().to_numpy(zero_copy_only=False))
-        places = np.concatenate([[0], np.cumsum(lengths)])[ends].tolist()
-        whole = decoded.tobytes()
-        found = [whole[a:b] for a, b in zip(places, places[1:])]
+        found = _decoded(batch.column("ids"), table)
         yield {name: batch.column(name) for name in names} | {"decoded": found}
 
 

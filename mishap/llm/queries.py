@@ -38,8 +38,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
+    return byte_bpe.digests(byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,8 @@ def test_byte_bpe_round_trip(docs, texts, tik, monkeypatch, size):
         digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         want.append((i, len(ids), digest, hashlib.sha256(t.encode()).hexdigest()))
     assert sorted(map(tuple, found)) == sorted(want)
+    at_once = byte_bpe.digests(byte_bpe.round_trip(docs, RANKS, public.PATTERN))
+    assert sorted(map(tuple, at_once.collect())) == sorted(want)
 
 
 def test_packing(docs, texts):
