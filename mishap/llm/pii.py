@@ -54,13 +54,17 @@ SPAN = "array<struct<start:int,end:int,match:string>>"
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of the fit: sampled texts, trees, their depth, and the precision the threshold keeps."""
+    """Bounds of the fit: sampled texts, trees, their depth, and the precision the threshold keeps.
+
+    ``least_accepted`` is a number of calibrating candidates that a caller may ask for; there is none
+    by default, so that tables of every size are treated alike.
+    """
 
     texts: int = 4_000
     trees: int = 8
     depth: int = 3
     precision: float = 0.98
-    least_accepted: int = 50
+    least_accepted: int = 0
 
 
 @dataclass(frozen=True)
@@ -212,28 +216,23 @@ def fit(
 ) -> Model:
     """Teach the trees from at most ``params.texts`` texts that hold a digit or an at sign.
 
-    The texts are the first in hash order of id and content, whatever the size of the table. A
-    candidate is positive if a base span of its kind covers exactly it. Three quarters of the texts
-    teach, the rest calibrates: the lowest margin at which the accepted candidates keep the wanted
-    precision. Without candidates of both classes nothing is added to the base spans.
+    A quarter of the table, by hash of id and content, never teaches; of the others the first in
+    hash order do. A candidate is positive if a base span of its kind covers exactly it. All texts
+    that do not teach calibrate, in one aggregation: the threshold is the lowest margin at which the
+    accepted candidates keep the wanted precision. Without candidates of both classes nothing is
+    added to the base spans.
     """
     rows = docs.select(
         F.xxhash64(F.col(quoted(row_id)).cast("string"), F.col(quoted(text))).alias("h"),
         F.col(quoted(text)).alias("text"),
     ).where(F.col("text").rlike(r"[0-9]|@|\(at\)|\[at\]"))
-    last = rows.select("h").distinct().orderBy("h").limit(params.texts).agg(F.max("h")).first()[0]
+    may_teach = F.pmod("h", F.lit(4)) != 0
+    hashes = rows.where(may_teach).select("h").distinct()
+    last = hashes.orderBy("h").limit(params.texts).agg(F.max("h")).first()[0]
     if last is None:
         return Model()
-    sample = _spans(rows.where(F.col("h") <= last).dropDuplicates(["h"]), "text")
-    labelled = [_labelled(kind) for kind in KINDS]
-    long = sample.select("h", F.explode(F.concat(*labelled)).alias("c")).select(
-        "h", F.col("c.x").alias("x"), F.col("c.y").alias("y")
-    )
-    long = held(long)
-    sides = long.groupBy("y").count().collect()
-    if len(sides) < 2:
-        return Model()
-    teach = long.where(F.pmod("h", F.lit(4)) != 0)
+    teaches = may_teach & (F.col("h") <= last)
+    teach = held(_candidates(rows.where(teaches).dropDuplicates(["h"])))
     if teach.select("y").distinct().count() < 2:
         return Model()
     # Equal candidates become one with a weight, in a fixed order: the fit doesn't vary.
@@ -250,7 +249,7 @@ def fit(
     ).fit(vectors.select("features", "label", "weight"))
     trees = tuple(_tree(t._java_obj.rootNode()) for t in boosted.trees)
     model = Model(trees, tuple(float(w) for w in boosted.treeWeights))
-    judge = long.where(F.pmod("h", F.lit(4)) == 0)
+    judge = _candidates(rows.where(~teaches))
     scores = judge.groupBy(F.round(margin(model, F.col("x")), 3).alias("m")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")
     )
@@ -263,6 +262,13 @@ def fit(
     return Model(model.trees, model.weights, threshold)
 
 
+def _candidates(rows: DataFrame) -> DataFrame:
+    """The labelled candidates of all kinds as (h, x, y)."""
+    labelled = [_labelled(kind) for kind in KINDS]
+    long = _spans(rows, "text").select("h", F.explode(F.concat(*labelled)).alias("c"))
+    return long.select("h", F.col("c.x").alias("x"), F.col("c.y").alias("y"))
+
+
 def _labelled(kind: str) -> Column:
     base = F.col(f"_base_{kind}")
 
