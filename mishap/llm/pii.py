@@ -1,8 +1,8 @@
 """Personal data: fixed patterns with checks, and boosted trees over further candidates.
 
 Everything is DataFrame expressions. Strict patterns find the base spans. Looser patterns propose
-overlapping candidates; gradient-boosted trees, taught by the base spans, judge them by format and
-context, and those above a calibrated threshold are added. The fitted trees become expressions
+overlapping candidates; gradient-boosted trees, taught by the base spans and by candidates that fail
+a check, judge the others by form and context, and those above a calibrated threshold are added. The fitted trees become expressions
 themselves, so texts are scored where they are read, without a shuffle.
 """
 
@@ -128,35 +128,69 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.filter(found, lambda s: passes(kind, s["match"]))
 
 
+def normal(kind: str, match: Column) -> Column:
+    """A match of a loose pattern in the form that the checks read."""
+    if kind == "email":
+        at = F.regexp_replace(match, r"\x20?(?:@|\(at\)|\[at\])\x20?", "@")
+        return F.regexp_replace(at, r"\x20?(?:\.|\(dot\)|\[dot\])\x20?", ".")
+    if kind == "ip":
+        return F.regexp_replace(match, " ", "")
+    return digits(match)
+
+
+def _context(span: Column, text: Column) -> tuple[Column, Column]:
+    before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1,
+                         F.least(span["start"], F.lit(CONTEXT)))
+    return before, F.substring(text, span["end"] + 1, F.lit(CONTEXT))
+
+
+def _overlaps(spans: Column, c: Column) -> Column:
+    return F.exists(spans, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+
+# A plain dot with a blank on one side ends a sentence; a date is no number to call.
+SENTENCE = r"(?<!\x20)\.\x20|\x20\.(?!\x20)"
+ADDRESS = r"^[^@]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,63}$"
+DATE = r"^(?:19|20)[0-9]{2}([./-])[0-9]{1,2}\1[0-9]{1,2}|^[0-9]{1,2}([./-])[0-9]{1,2}\2(?:19|20)[0-9]{2}"
+
+
+def plausible(kind: str, span: Column, text: Column, others: Column) -> Column:
+    """The check of a candidate: on its normal form, on its neighbours, against the other kinds."""
+    match, form = span["match"], normal(kind, span["match"])
+    if kind == "email":
+        return form.rlike(ADDRESS) & ~match.rlike(SENTENCE)
+    before, after = _context(span, text)
+    alone = ~before.rlike(r"[\p{L}0-9]$") & ~after.rlike(r"^[\p{L}0-9]")
+    good = passes(kind, form) & alone & ~_overlaps(others, span)
+    return good & ~match.rlike(DATE) if kind == "phone" else good
+
+
 FEATURES = (
-    "kind", "length", "digits", "letters", "blanks", "dots", "dashes", "plus", "parens", "at",
-    "first_run", "last_run", "before_letter", "after_letter", "cue_before", "cue_after",
+    "kind", "length", "digits", "letters", "groups", "first_run", "last_run", "check",
+    "before_letter", "after_letter", "cue_before", "cue_after",
 )
 
 
 def features(kind: str, span: Column, text: Column) -> Column:
-    """Format and context of a candidate as an array of doubles in the order of ``FEATURES``."""
-    match = span["match"]
-    before = F.substring(text, F.greatest(span["start"] - CONTEXT, F.lit(0)) + 1,
-                         F.least(span["start"], F.lit(CONTEXT)))
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT))
+    """Form and context of a candidate as an array of doubles in the order of ``FEATURES``.
+
+    Counts are those of the normal form: signs that make a base span one are not among them.
+    """
+    match, form = span["match"], normal(kind, span["match"])
+    before, after = _context(span, text)
 
     def count(pattern: str) -> Column:
-        return F.length(match) - F.length(F.regexp_replace(match, pattern, ""))
+        return F.length(form) - F.length(F.regexp_replace(form, pattern, ""))
 
     values = (
         F.lit(KINDS.index(kind)),
-        F.length(match),
+        F.length(form),
         count("[0-9]"),
         count("[A-Za-z]"),
-        count(r"\s"),
-        count(r"\."),
-        count("-"),
-        count(r"\+"),
-        count("[()]"),
-        count("@"),
+        F.size(F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0))),
         F.length(F.regexp_extract(match, "[0-9]+", 0)),
         F.length(F.regexp_extract(match, "[0-9]*$", 0)),
+        passes(kind, form).cast("int"),
         before.rlike(r"[\p{L}0-9]$").cast("int"),
         after.rlike(r"^[\p{L}0-9]").cast("int"),
         before.rlike(CUES[kind]).cast("int"),
@@ -165,12 +199,13 @@ def features(kind: str, span: Column, text: Column) -> Column:
     return F.array(*[F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
 
 
-def candidates(text: Column, kind: str) -> Column:
-    """Spans of the loose pattern with their features."""
+def candidates(text: Column, kind: str, others: Column) -> Column:
+    """Spans of the loose pattern with their features, and whether they pass the check."""
     return F.transform(
         matches(text, LOOSE[kind], NEEDS[kind]),
         lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), features(kind, s, text).alias("x")
+            s["start"].alias("start"), s["end"].alias("end"), features(kind, s, text).alias("x"),
+            plausible(kind, s, text, others).alias("ok"),
         ),
     )
 
@@ -180,7 +215,8 @@ def _spans(docs: DataFrame, text: str) -> DataFrame:
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     docs = docs.withColumn("_body", body)
     docs = docs.withColumns({f"_base_{k}": base_spans(F.col("_body"), k) for k in KINDS})
-    return docs.withColumns({f"_more_{k}": candidates(F.col("_body"), k) for k in KINDS})
+    others = {k: F.concat(*[F.col(f"_base_{o}") for o in KINDS if o != k]) for k in KINDS}
+    return docs.withColumns({f"_more_{k}": candidates(F.col("_body"), k, others[k]) for k in KINDS})
 
 
 def _tree(node) -> tuple | float:
@@ -217,10 +253,11 @@ def fit(
     """Teach the trees from at most ``params.texts`` texts that hold a digit or an at sign.
 
     A quarter of the table, by hash of id and content, never teaches; of the others the first in
-    hash order do. A candidate is positive if a base span of its kind covers exactly it. All texts
-    that do not teach calibrate, in one aggregation: the threshold is the lowest margin at which the
-    accepted candidates keep the wanted precision. Without candidates of both classes nothing is
-    added to the base spans.
+    hash order do. A candidate is positive if a base span of its kind covers exactly it, and negative
+    if it fails its check; those that pass it without being base spans have no label. All texts that
+    do not teach calibrate, in one aggregation: the threshold is the lowest margin at which the
+    accepted labelled candidates keep the wanted precision. Without candidates of both classes
+    nothing is added to the base spans.
     """
     rows = docs.select(
         F.xxhash64(F.col(quoted(row_id)).cast("string"), F.col(quoted(text))).alias("h"),
@@ -270,21 +307,23 @@ def _candidates(rows: DataFrame) -> DataFrame:
 
 
 def _labelled(kind: str) -> Column:
+    """Positive: a base span. Negative: apart from base spans and failing the check. Others have no label."""
     base = F.col(f"_base_{kind}")
 
     def label(c: Column) -> Column:
         same = F.exists(base, lambda b: (b["start"] == c["start"]) & (b["end"] == c["end"]))
-        return F.struct(c["x"].alias("x"), same.cast("int").alias("y"))
+        y = F.when(same, 1).when(~c["ok"] & ~_overlaps(base, c), 0)
+        return F.struct(c["x"].alias("x"), y.alias("y"))
 
-    return F.transform(F.col(f"_more_{kind}"), label)
+    return F.filter(F.transform(F.col(f"_more_{kind}"), label), lambda c: c["y"].isNotNull())
 
 
 def detect(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add ``pii``: per kind, in the order of KINDS, the sorted base spans and added spans.
 
     The column is an array of (kind, start, end, base), positions in code points, end exclusive.
-    Every base span stays; a candidate is added if its margin reaches the threshold and it overlaps
-    no base span of its kind. Spans of different kinds may overlap. A null or empty text has none.
+    Every base span stays; a candidate is added if it passes its check, its margin reaches the
+    threshold and it overlaps no base span of its kind. Spans of different kinds may overlap. A null or empty text has none.
     """
     found = _spans(docs, text)
     lists = []
@@ -306,8 +345,7 @@ def _merged(kind: str, base: Column, more: Column, model: Model) -> Column:
     if model.trees and model.threshold != float("inf"):
 
         def new(c: Column) -> Column:
-            apart = ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-            return apart & (F.round(margin(model, c["x"]), 3) >= model.threshold)
+            return c["ok"] & ~_overlaps(base, c) & (F.round(margin(model, c["x"]), 3) >= model.threshold)
 
         spans = F.concat(spans, F.transform(F.filter(more, new), tagged(False)))
     return F.array_sort(spans)
