@@ -27,9 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Small forest for checks of what hardly depends on it; ``risk_model_holds`` fits the default one.
-CHECK_FOREST = forest.ForestParams(trees=20, max_depth=5, max_bins=32)
-
 
 def query(sql: str | None = None):
     def register(function: Query) -> Query:
@@ -504,7 +501,7 @@ def one_hot(spark, sf):
     # Training rows: a promo part counts with its type missing.
     train = parts.withColumn("p_type", F.expr("nullif(p_type, 'PROMO')"))
     seen = forest.training_counts(train, features)
-    prepare, names = forest.preprocessor(train, features, CHECK_FOREST, seen)
+    prepare, names = forest.preprocessor(train, features, forest.ForestParams(), seen)
     vectors = prepare.transform(parts).select(
         "p_partkey", F.posexplode(forest.vector_to_array(forest.FEATURES)).alias("position", "value")
     )
@@ -729,7 +726,7 @@ def balanced_accuracy(spark, sf):
 
 
 def incident_risk(spark, sf) -> risk.RiskRun:
-    return risk.train_risk(staged_incidents(spark, sf), params=CHECK_FOREST)
+    return risk.train_risk(staged_incidents(spark, sf))
 
 
 @query(
@@ -846,7 +843,7 @@ def feature_importance_names(spark, sf):
 def kpis(spark, sf):
     engineered = staged_incidents(spark, sf)
     found = hotspots.fit_hotspots(engineered)
-    run = risk.train_risk(engineered, params=CHECK_FOREST)
+    run = risk.train_risk(engineered)
     return reports.kpis(found.assign(engineered), found.evaluation, pin(risk.evaluate(run.predictions)))
 
 
