@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from mishap.llm import (
     byte_bpe,
+    chat,
+    divergence,
     embeddings,
     fingerprints,
+    merkle,
     ngrams,
     packing,
     pii,
@@ -73,6 +76,22 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), 30, 50)
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    rows = given.unionByName(spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string"))
+    transcripts = chat.render(chat.messages(chat.log_of_rows(rows)))
+    return chat.digests(chat.read_back(transcripts))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_counts": op2_token_counts,
@@ -84,10 +103,16 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLES = {
     "op1_substring_dedup": sql.SUBSTRING_SQL,
     "op9_ngram_jaccard_join": sql.JACCARD_SQL,
     "op10_embedding_near_dedup": sql.VECTORS_SQL,
+    "op11_merkle_manifest": sql.MERKLE_SQL,
+    "op12_source_divergence": sql.DIVERGENCE_SQL,
+    "op13_chat_formatting": sql.CHAT_SQL,
 }

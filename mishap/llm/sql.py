@@ -56,3 +56,98 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links,
        least(vec_id, coalesce(least_id, vec_id)) AS component_id,
        vec_id <= coalesce(least_id, vec_id) AS kept
 FROM embeddings LEFT JOIN found USING (vec_id) LEFT JOIN counts USING (vec_id)"""
+
+
+def _hashed(*parts: str) -> str:
+    return f"sha256({' || '.join(parts)})"
+
+
+_FIELDS = [
+    f"coalesce(strlen({c}) || ':' || {c}, '-')"
+    for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST({} AS VARCHAR)", "text")
+]
+_LEAF = _hashed(*_FIELDS).format("n_chars", "n_chars")
+_TAMPERED = _hashed(*_FIELDS).format("(n_chars + 1)", "(n_chars + 1)")
+
+# The table of crc32 follows from its polynomial; a text's bytes are then folded one by one.
+MERKLE_SQL = f"""WITH RECURSIVE crc AS (SELECT list(list_reduce([n] || range(8)::BIGINT[],
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t
+    FROM range(256) AS r(n)),
+leaves AS (SELECT doc_id, lang, {_LEAF} AS leaf,
+    CASE WHEN xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256])),
+        4294967295) % 7 = 0 AND n_chars IS NOT NULL THEN {_TAMPERED} ELSE {_LEAF} END AS seen
+    FROM documents, crc),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g FROM leaves),
+nodes(g, l, i, h, n) AS (SELECT g, 0, i, leaf, count(*) OVER (PARTITION BY g) FROM placed UNION ALL
+  SELECT g, any_value(l) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value(n + 1) // 2
+  FROM nodes WHERE n > 1 GROUP BY g, i // 2),
+subroots AS (SELECT g, l, h FROM nodes WHERE n = 1),
+tops(l, i, h, n) AS (SELECT 0, g - 1, h, count(*) OVER () FROM subroots UNION ALL
+  SELECT any_value(l) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value(n + 1) // 2
+  FROM tops WHERE n > 1 GROUP BY i // 2),
+steps AS (SELECT g, l, i, h FROM nodes WHERE n > 1 UNION ALL
+  SELECT s.g, s.l + t.l, t.i, t.h FROM tops t, subroots s WHERE t.n > 1),
+fold(doc_id, g, l, leaf, i, seen, proof) AS (SELECT doc_id, g, 0, leaf, i, seen, '' FROM placed UNION ALL
+  SELECT f.doc_id, f.g, f.l + 1, f.leaf,
+    CASE WHEN f.l + 1 = r.l THEN f.g - 1 ELSE f.i // 2 END,
+    CASE WHEN s.h IS NULL THEN sha256(f.seen) WHEN f.i % 2 = 0 THEN sha256(f.seen || s.h)
+         ELSE sha256(s.h || f.seen) END, f.proof || coalesce(s.h, '')
+  FROM fold f JOIN subroots r ON r.g = f.g LEFT JOIN steps s ON s.g = f.g AND s.l = f.l AND s.i = xor(f.i, 1)
+  WHERE f.l < r.l + (SELECT max(l) FROM tops))
+SELECT f.doc_id, f.leaf, r.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256,
+       f.seen AS folded_root, f.seen = t.h AS verified
+FROM fold f JOIN subroots r ON r.g = f.g JOIN tops t ON t.n = 1 WHERE f.l = r.l + t.l"""
+
+DIVERGENCE_SQL = """WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang,
+    coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+uses AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term FROM uses GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+sized AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM uses JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+langs AS (SELECT lang, sum(c) AS n FROM counts GROUP BY ALL),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+    1 + (1000000000 * (coalesce(c.c, 0) + 5)::HUGEINT) // (coalesce(t.n, 0) + 5 * v) AS p
+  FROM groups g JOIN kept k USING (lang) JOIN sized USING (lang)
+  LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+wholes AS (SELECT lang, term, 1 + (1000000000 * (sum(c) + 5)::HUGEINT) // (any_value(n) + 5 * any_value(v)) AS q
+  FROM counts JOIN langs USING (lang) JOIN sized USING (lang) GROUP BY lang, term),
+pairs AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN shares x ON x.lang = g.lang AND x.source = g.source
+  LEFT JOIN shares y ON y.lang = h.lang AND y.source = h.source AND y.term = x.term GROUP BY ALL),
+words AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+  FROM shares JOIN wholes USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (FROM pairs UNION ALL FROM words))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+_CONTROLS = [
+    "<|im_start|>", "<|im_sep|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
+    "<|endoftext|>",
+]
+
+
+def _escapes(text: str) -> str:
+    """How many backslashes escaping adds: one per backslash and per control string (none overlap)."""
+    found = [f"(length({text}) - length(replace({text}, '{c}', ''))) // {len(c)}" for c in ["\\", *_CONTROLS]]
+    return " + ".join(found)
+
+
+CHAT_SQL = f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+    (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(role) + length(text) + {sum(map(len, _CONTROLS[:3]))} + {_escapes("role")} + {_escapes("text")})
+       AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
