@@ -8,9 +8,10 @@ An event belongs to a turn of a conversation and has a place in the conversation
 - ``regenerate`` opens the turn anew, with its text, and discards all later turns opened before.
 
 A turn that was never opened, or discarded and not opened since, has no message; edits and deltas
-don't open turns. Everything is column expressions. Events are first folded per turn, so the events
-of a very long conversation spread over tasks; only its final messages meet in the one row that
-holds its transcript.
+don't open turns. Everything is column expressions. Logs are dealt by conversation once; folding per
+turn, dropping discarded turns and joining the transcript all work on that partitioning. A transcript
+is one row with one digest, so the events of one conversation meet in one task in any plan; they are
+sorted there with spilling, and what the fold adds to the transcript itself is what it supersedes.
 """
 
 from __future__ import annotations
@@ -84,7 +85,8 @@ def log_of_rows(
     """Rows of a conversation table as events: a message with the first part, then streamed deltas.
 
     Every row is a turn. Rows that share a turn number, and rows without one (which come first),
-    are ordered by role and text; repeated rows are repeated turns. Null roles and texts are empty.
+    are ordered by role, then by the md5 of the text; repeated rows are repeated turns, told apart by
+    their place in the table. Null roles and texts are empty.
     """
     named = rows.select(
         F.col(quoted(conversation)).alias("conversation"),
@@ -92,8 +94,7 @@ def log_of_rows(
         F.coalesce(F.col(quoted(role)), F.lit("")).alias("role"),
         F.coalesce(F.col(quoted(text)), F.lit("")).alias("text"),
     )
-    order = W.partitionBy("conversation", "number").orderBy("role", "text")
-    named = named.withColumn("copy", F.row_number().over(order))
+    named = named.withColumn("copy", F.struct("role", F.md5("text"), F.monotonically_increasing_id()))
     parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{part}}}"), F.lit(0))
     streamed = named.select("conversation", "number", "copy", "role", F.posexplode_outer(parts))
     place = F.coalesce("pos", F.lit(0))
@@ -124,7 +125,7 @@ def messages(events: DataFrame) -> DataFrame:
         F.struct(F.col("seq"), rank.alias("rank"), F.coalesce("text", F.lit("")).alias("text")).alias("at"),
     )
     opens = F.col("kind").isin("message", "regenerate")
-    turns = known.groupBy("conversation", "turn").agg(
+    turns = known.repartition("conversation").groupBy("conversation", "turn").agg(
         F.max(F.when(opens, F.col("at"))).alias("opened"),
         F.max(F.when(F.col("kind") != "delta", F.col("at"))).alias("reset"),
         F.max(F.when(F.col("kind") == "regenerate", F.col("at"))).alias("again"),

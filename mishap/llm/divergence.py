@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby, repeat
 from operator import itemgetter
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -30,10 +31,21 @@ from pyspark.sql import functions as F
 from mishap.llm.common import SLICE, map_batches, quoted, staged
 
 SCALE, PRIOR = 1_000_000_000, 5
-# A block is spilled at so many postings, terms or bytes of terms; a chunk of a run has so many terms.
-POSTINGS, TERMS, TERM_BYTES, CHUNK = 2_000_000, 300_000, 1 << 25, 256
-# Sources of a tile, and terms of a block, for pair corrections.
-TILE, BLOCK = 256, 4_096
+
+class Limits(NamedTuple):
+    """Bounds of memory; none changes the result.
+
+    A block is spilled at so many postings, terms or bytes of terms; a chunk of a run has so many
+    terms; corrections are computed for pairs of tiles of sources and blocks of terms (on average).
+    """
+
+    postings: int = 2_000_000
+    terms: int = 300_000
+    term_bytes: int = 1 << 25
+    chunk: int = 256
+    tile: int = 256
+    block: int = 4_096
+
 
 _CHUNK_SCHEMA = "shard int, lang binary, first binary, terms binary, docs binary, sizes binary, sources array<binary>, codes binary, counts binary"
 # Bytes of terms stay, in lower case for A-Z; all others become spaces.
@@ -55,7 +67,8 @@ def term_counts(text: bytes) -> Counter:
 class _Block:
     """Postings of the documents since the last spill: (term, group, occurrences) per document."""
 
-    def __init__(self) -> None:
+    def __init__(self, limits: Limits) -> None:
+        self.limits = limits
         self.terms: list[tuple[bytes, bytes]] = []
         self.ids: dict[bytes, dict[bytes, int]] = {}
         self.groups: dict[tuple[bytes, bytes], int] = {}
@@ -76,7 +89,10 @@ class _Block:
 
     @property
     def full(self) -> bool:
-        return len(self.term) >= POSTINGS or len(self.terms) >= TERMS or self.bytes >= TERM_BYTES
+        most = self.limits
+        return (
+            len(self.term) >= most.postings or len(self.terms) >= most.terms or self.bytes >= most.term_bytes
+        )
 
     def run(self, shards: int) -> Iterator[tuple]:
         """The block's chunks: per shard and language in order of term."""
@@ -100,8 +116,8 @@ class _Block:
         position = 0
         for (number, lang), part in groupby(order, lambda i: (shard[i], self.terms[i][0])):
             terms = [self.terms[i][1] for i in part]
-            for cut in range(0, len(terms), CHUNK):
-                some = terms[cut : cut + CHUNK]
+            for cut in range(0, len(terms), self.limits.chunk):
+                some = terms[cut : cut + self.limits.chunk]
                 low, high = position + cut, position + cut + len(some)
                 inner = slice(ends[low], ends[high])
                 used, local = np.unique(code[inner], return_inverse=True)
@@ -117,9 +133,9 @@ def _columns(rows: list[tuple], names: list[str]) -> dict:
     return dict(zip(names, zip(*rows)))
 
 
-def _spill(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[dict]:
+def _spill(batches: Iterator[pa.RecordBatch], shards: int, limits: Limits) -> Iterator[dict]:
     names = [c.split()[0] for c in _CHUNK_SCHEMA.split(", ")]
-    block, rows = _Block(), []
+    block, rows = _Block(limits), []
 
     def spilled() -> Iterator[dict]:
         rows.clear()
@@ -136,7 +152,7 @@ def _spill(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[dict]:
             block.add(lang.as_py(), source.as_py(), term_counts(text.as_py()))
             if block.full:
                 yield from spilled()
-                block = _Block()
+                block = _Block(limits)
     yield from spilled()
 
 
@@ -207,7 +223,7 @@ def _merge(batches: Iterator[pa.RecordBatch], least_docs: int) -> Iterator[dict]
 
 def frequencies(
     docs: DataFrame, least_docs: int, text: str = "text", lang: str = "lang", source: str = "source",
-    shards: int | None = None,
+    shards: int | None = None, limits: Limits = Limits(),
 ) -> DataFrame:
     """(lang, term, sources, counts) of the terms in at least ``least_docs`` documents of a language.
 
@@ -219,7 +235,7 @@ def frequencies(
         F.coalesce(F.col(quoted(c)), F.lit("")).cast("binary").alias(name)
         for c, name in ((text, "text"), (lang, "lang"), (source, "source"))
     ])
-    runs = map_batches(named, _spill, _CHUNK_SCHEMA, shards)
+    runs = map_batches(named, _spill, _CHUNK_SCHEMA, shards, limits)
     dealt = runs.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "lang", "first")
     found = map_batches(
         dealt, _merge, "lang binary, term binary, sources array<binary>, counts array<bigint>", least_docs
@@ -271,10 +287,10 @@ _PAIRS = pa.schema(
 )
 
 
-def _pair_changes(entries: DataFrame, stats: DataFrame) -> DataFrame:
+def _pair_changes(entries: DataFrame, stats: DataFrame, limits: Limits) -> DataFrame:
     """(lang, source, item, change): corrections summed over all blocks of terms."""
-    tiles_of = F.ceil(F.col("n_sources") / TILE).cast("int")
-    blocks_of = F.ceil(F.col("v") / BLOCK).cast("int")
+    tiles_of = F.ceil(F.col("n_sources") / limits.tile).cast("int")
+    blocks_of = F.ceil(F.col("v") / limits.block).cast("int")
 
     def paired(df: DataFrame) -> DataFrame:
         """Each row once per tile that its own is compared with."""
@@ -297,7 +313,7 @@ def _pair_changes(entries: DataFrame, stats: DataFrame) -> DataFrame:
 
 def divergence(
     docs: DataFrame, least_docs: int = 30, top_terms: int = 50,
-    text: str = "text", lang: str = "lang", source: str = "source",
+    text: str = "text", lang: str = "lang", source: str = "source", limits: Limits = Limits(),
 ) -> DataFrame:
     """(lang, source, part, item, value, rank) for every source of every language.
 
@@ -307,7 +323,7 @@ def divergence(
     are empty strings, repeated rows count each, an empty table gives no rows, and columns besides
     the three named ones play no part.
     """
-    kept = staged(frequencies(docs, least_docs, text, lang, source))
+    kept = staged(frequencies(docs, least_docs, text, lang, source, limits=limits))
     named = [F.coalesce(F.col(quoted(c)), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))]
     groups = docs.select(*named).groupBy("lang", "source").agg(F.lit(1).alias("_one")).drop("_one")
     used = kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("e"))
@@ -337,7 +353,7 @@ def divergence(
     base = F.coalesce(F.col("v") * F.abs(F.col("zero") - F.col("other_zero")), F.lit(0).cast("long"))
     pairs = (
         stats.join(other, "lang").where("source <> item")
-        .join(_pair_changes(entries, stats), ["lang", "source", "item"], "left")
+        .join(_pair_changes(entries, stats, limits), ["lang", "source", "item"], "left")
         .select("lang", "source", F.lit("pair").alias("part"), "item",
                 (base + F.coalesce("change", F.lit(0).cast("long"))).alias("value"))
         .withColumn("rank", F.row_number().over(by_value))

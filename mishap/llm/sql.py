@@ -145,9 +145,9 @@ CHAT_SQL = f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role,
     FROM conversations UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
     (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length(role) + length(text) + {sum(map(len, _CONTROLS[:3]))} + {_escapes("role")} + {_escapes("text")})
        AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""
