@@ -19,9 +19,10 @@ from mishap.functions.labels import risk_class
 from mishap.functions.temporal import duration_minutes
 from mishap.operators import aggregates, clustering, encoding, forest, hygiene, metrics, sampling
 from mishap.operators.joins import pin
+from mishap.operators.numbering import numbered
 from mishap.operators.quantiles import exact_medians
 from mishap.plans import cleaning, engineering, hotspots, reports, risk
-from mishap.sources.tables import read_table, shared_folder, stage, write_table
+from mishap.sources.tables import read_table, shared_folder, stage, write_small, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,6 +163,34 @@ def median_impute(spark, sf):
     return hygiene.fill_numbers(events, ["value"], exact_medians(events, ["value"]))
 
 
+@query(
+    f"""WITH {GAPPED_SQL} SELECT event_id, value IS NULL AS filled, coalesce(value, 0) AS value,
+        true AS within FROM gapped"""
+)
+def median_impute_by_sketch(spark, sf):
+    """The default fill: given values stay, and every gap gets one value near the middle rank."""
+    events = gapped_events(spark, sf)
+    filled = hygiene.fill_numbers(events, ["value"], hygiene.medians(events, ["value"], 0.01))
+    gap = events.select("event_id", F.col("value").isNull().alias("filled"))
+    joined = stage(filled.join(gap, "event_id"), "filled")
+    best = joined.where("filled").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    middle = best.select(F.struct("low", "high")).scalar()
+    ranks = joined.where("not filled").agg(
+        F.struct(
+            F.count("value").alias("n"),
+            F.count_if(F.col("value") < middle["low"]).alias("lower"),
+            F.count_if(F.col("value") <= middle["high"]).alias("upto"),
+        )
+    ).scalar()
+    near = (ranks["lower"] <= 0.51 * ranks["n"]) & (ranks["upto"] >= 0.49 * ranks["n"])
+    return joined.select(
+        "event_id",
+        "filled",
+        F.when(F.col("filled"), 0.0).otherwise(F.col("value")).alias("value"),
+        (near & (middle["low"] == middle["high"])).alias("within"),
+    )
+
+
 @query(
     """SELECT "column", n, true AS within FROM (
          SELECT 'l_quantity' AS "column", count(l_quantity) AS n FROM lineitem UNION ALL
@@ -402,6 +431,31 @@ def map_sample_all(spark, sf):
     return event_sample(spark, sf, reports.ALL, 5000)
 
 
+@query(
+    """WITH ranked AS (SELECT event_id, value, event_type,
+         row_number() OVER (PARTITION BY event_type ORDER BY md5('42:' || CAST(event_id AS VARCHAR))) AS place,
+         row_number() OVER (ORDER BY md5('42:' || CAST(event_id AS VARCHAR))) AS overall FROM events)
+       SELECT event_type AS choice, event_id, value FROM ranked WHERE place <= 700 AND event_type IS NOT NULL
+       UNION ALL SELECT 'All', event_id, value FROM ranked WHERE overall <= 700"""
+)
+def map_samples(spark, sf):
+    """The samples of all choices in one pass."""
+    (events,) = tables(spark, sf, "events")
+    return reports.map_samples(events, 700, S.SEED, "event_id", ["event_id", "value"], "event_type")
+
+
+@query(
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders"""
+)
+def export_order(spark, sf):
+    """Every row's place in the files of a sorted export, in the order of files and rows."""
+    (orders,) = tables(spark, sf, "orders")
+    path = f"{shared_folder(spark)}/mishap/ordered-{uuid.uuid4().hex}"
+    write_table(orders.repartition(7), path, order_by="o_orderkey", total_order=True)
+    written = read_table(spark, path).select("o_orderkey", "_metadata.file_name", "_metadata.row_index")
+    return numbered(written, ["file_name", "row_index"], "place").select("o_orderkey", "place")
+
+
 @query(
     f"""SELECT round(avg(user_id), 6) AS center_lat, round(avg(value), 6) AS center_lng
         FROM ({SAMPLE_SQL.format(where="", limit=2500)}) AS s"""
@@ -489,24 +543,122 @@ def column_modes(spark, sf):
     return encoding.modes(encoding.category_counts(parts, ["p_brand", "p_type", "p_size"]))
 
 
-@query(
-    """SELECT p_partkey, 'categorical__p_type_' || p_type AS feature, 1.0::DOUBLE AS value FROM part
+ONE_HOT_SQL = """SELECT p_partkey, 'categorical__p_type_' || p_type AS feature, 1.0::DOUBLE AS value FROM part
        WHERE p_type <> 'PROMO'
        UNION ALL SELECT p_partkey, 'categorical__p_brand_' || p_brand, 1.0::DOUBLE FROM part"""
-)
+
+
+@query(ONE_HOT_SQL)
 def one_hot(spark, sf):
     """Encoding learned without promo parts, so that their type is an unseen category."""
+    return encoded_parts(spark, sf, forest.ForestParams())
+
+
+@query(ONE_HOT_SQL)
+def one_hot_by_dictionary(spark, sf):
+    """The same with no category list on the driver: values are looked up in the written dictionary."""
+    return encoded_parts(spark, sf, forest.ForestParams(max_listed=0))
+
+
+def encoded_parts(spark, sf, params: forest.ForestParams) -> DataFrame:
     (parts,) = tables(spark, sf, "part")
     features = forest.FeatureSet(numeric=(), categorical=("p_type", "p_brand"), binary=())
     # Training rows: a promo part counts with its type missing.
     train = parts.withColumn("p_type", F.expr("nullif(p_type, 'PROMO')"))
-    seen = forest.training_counts(train, features)
-    prepare, names = forest.preprocessor(train, features, forest.ForestParams(), seen)
+    profile = forest.training_profile(train, features, params)
+    prepare, names = forest.preprocessor(train, features, params, profile)
     vectors = prepare.transform(parts).select(
         "p_partkey", F.posexplode(forest.vector_to_array(forest.FEATURES)).alias("position", "value")
     )
-    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1)
-    return vectors.where("value <> 0").select("p_partkey", named.alias("feature"), "value")
+    named = vectors.where("value <> 0").join(names, "position")
+    return named.select("p_partkey", "feature", "value")
+
+
+@query(
+    """WITH long AS (SELECT 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS value FROM lineitem UNION ALL
+         SELECT 'l_returnflag', l_returnflag FROM lineitem UNION ALL
+         SELECT 'l_orderkey', CAST(l_orderkey AS VARCHAR) FROM lineitem)
+       SELECT "column", value, count(*) AS n,
+              row_number() OVER (PARTITION BY "column" ORDER BY value) - 1 AS place
+       FROM long WHERE value IS NOT NULL GROUP BY "column", value"""
+)
+def value_dictionary(spark, sf):
+    """The numbers of a short and of two long lists of values."""
+    (lines,) = tables(spark, sf, "lineitem")
+    return encoding.dictionary(encoding.category_counts(lines, ["l_partkey", "l_returnflag", "l_orderkey"]))
+
+
+SPLIT_ORDERS_SQL = f"""{QUOTA_SQL.format(label="o_orderpriority", table="orders")},
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority
+               ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR))) AS place,
+             CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price,
+             CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_totalprice > 200000 AS INTEGER) END AS dear FROM orders),
+  parted AS (SELECT *, place > quota AS training FROM ranked JOIN quotas ON o_orderpriority = label)"""
+PRICED = forest.FeatureSet(numeric=("price",), categorical=(), binary=("dear",))
+
+
+def priced_orders(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """All orders with gaps, and those of the training part of the split."""
+    (orders,) = tables(spark, sf, "orders")
+    price = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice"))
+    dear = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice") > 200000)
+    gapped = orders.withColumns({"price": price, "dear": dear})
+    split = sampling.stratified_split(gapped, "o_orderkey", "o_orderpriority")
+    return gapped, split.where("split = 'train'").drop("split")
+
+
+@query(
+    f"""WITH {SPLIT_ORDERS_SQL}
+        SELECT o_orderkey, coalesce(price, (SELECT median(price) FROM parted WHERE training)) AS price,
+               CAST(coalesce(dear, (SELECT dear FROM parted WHERE training AND dear IS NOT NULL
+                 GROUP BY dear ORDER BY count(*) DESC, dear LIMIT 1)) AS DOUBLE) AS dear
+        FROM parted"""
+)
+def imputed_by_training_rows(spark, sf):
+    """Gaps of all rows, filled with the exact median and the mode of the training rows."""
+    gapped, train = priced_orders(spark, sf)
+    params = forest.ForestParams(exact_medians=True)
+    profile = forest.training_profile(train, PRICED, params, "o_orderpriority")
+    prepare, _ = forest.preprocessor(train, PRICED, params, profile)
+    vector = forest.vector_to_array(forest.FEATURES)
+    return prepare.transform(gapped).select("o_orderkey", vector[0].alias("price"), vector[1].alias("dear"))
+
+
+@query(
+    f"""WITH {SPLIT_ORDERS_SQL} SELECT count(*) AS rows, count(price) AS values, true AS within
+        FROM parted WHERE training"""
+)
+def training_median_rank(spark, sf):
+    """The median merged from the sketches of all classes lies within 0.001 of the middle rank."""
+    _, train = priced_orders(spark, sf)
+    params = forest.ForestParams()
+    profile = forest.training_profile(train, PRICED, params, "o_orderpriority")
+    middle = forest.training_medians(train, PRICED, params, profile)["price"]
+    ranks = train.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("price").alias("values"),
+        F.count_if(F.col("price") < middle).alias("lower"),
+        F.count_if(F.col("price") <= middle).alias("upto"),
+    )
+    within = F.expr("lower <= 0.501 * values + 1 AND upto >= 0.499 * values - 1")
+    return ranks.select("rows", "values", within.alias("within"))
+
+
+@query(
+    """WITH ranked AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority
+         ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR))) AS place FROM orders),
+       sizes AS (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)
+       SELECT o_orderkey, o_orderpriority, least(n, 150) AS drawn FROM ranked JOIN sizes USING (o_orderpriority)
+       WHERE place <= least(n, 150)"""
+)
+def drawn_training_rows(spark, sf):
+    """The bound on training rows, far below the table: equal shares of the classes in hashed order."""
+    (orders,) = tables(spark, sf, "orders")
+    rows = orders.select("o_orderkey", "o_orderpriority")
+    sizes = {r["o_orderpriority"]: r["count"] for r in rows.groupBy("o_orderpriority").count().collect()}
+    drawn, taken = forest.draw(rows, "o_orderpriority", "o_orderkey", sizes, 150 * len(sizes), S.SEED)
+    table = spark.createDataFrame(list(taken.items()), "o_orderpriority string, drawn long")
+    return drawn.join(table, "o_orderpriority")
 
 
 # --- Learning: hotspots --------------------------------------------------------------------------
@@ -725,6 +877,55 @@ def balanced_accuracy(spark, sf):
     )
 
 
+METRICS_SQL = f"""WITH {CONFUSION_SQL}, wide AS (
+          SELECT class, precision, recall, f1, support FROM full_scores UNION ALL
+          SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM full_scores UNION ALL
+          SELECT 'weighted avg', sum(precision * support) / sum(support),
+                 sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support)
+          FROM full_scores),
+        metrics AS (SELECT 'precision' AS metric, class, precision AS value FROM wide UNION ALL
+        SELECT 'recall', class, recall FROM wide UNION ALL
+        SELECT 'f1', class, f1 FROM wide UNION ALL
+        SELECT 'support', class, support FROM wide UNION ALL
+        SELECT 'accuracy', 'all', sum(hits) / sum(support) FROM full_scores UNION ALL
+        SELECT 'balanced_accuracy', 'all', avg(recall) FROM full_scores WHERE support > 0 UNION ALL
+        SELECT 'confusion ' || truth, predicted, n FROM cells UNION ALL
+        SELECT 'testing_records', 'all', sum(n) FROM cells)"""
+
+
+def written_metrics(spark, sf) -> DataFrame:
+    """All metrics of rated orders, written as one CSV file and read back."""
+    path = f"{shared_folder(spark)}/mishap/metrics-{uuid.uuid4().hex}.csv"
+    write_small(risk.evaluate(rated_orders(spark, sf)), path)
+    return read_table(spark, path, S.METRICS)
+
+
+@query(f"{METRICS_SQL} SELECT metric, class, round(value, 9) AS value FROM metrics")
+def metrics_round_trip(spark, sf):
+    return written_metrics(spark, sf).withColumn("value", F.round("value", 9))
+
+
+@query(
+    f"""{METRICS_SQL}, scores AS (SELECT CAST(l_linenumber AS INTEGER) AS k, round(avg(l_tax), 9) AS score
+          FROM lineitem GROUP BY 1)
+        SELECT count(*) AS analyzed_incidents, count(DISTINCT l_linenumber) AS identified_hotspots,
+          (SELECT max(score) FROM scores) AS best_silhouette,
+          (SELECT k FROM scores ORDER BY score DESC, k LIMIT 1) AS best_k,
+          (SELECT round(value, 9) FROM metrics WHERE metric = 'balanced_accuracy') AS balanced_accuracy,
+          (SELECT round(value, 9) FROM metrics WHERE metric = 'accuracy') AS overall_accuracy,
+          (SELECT CAST(value AS BIGINT) FROM metrics WHERE metric = 'testing_records') AS testing_records
+        FROM lineitem"""
+)
+def kpis_of_written_tables(spark, sf):
+    """The KPI row from assigned rows, a table of scores per k, and metrics read back from their file."""
+    (lines,) = tables(spark, sf, "lineitem")
+    clustered = lines.withColumn(S.CLUSTER, F.col("l_linenumber").cast("int"))
+    score = F.round(F.avg("l_tax"), 9).alias("silhouette_score")
+    evaluation = pin(clustered.groupBy(F.col(S.CLUSTER).alias("k")).agg(score))
+    row = reports.kpis(clustered, evaluation, pin(written_metrics(spark, sf)))
+    return row.withColumns({c: F.round(c, 9) for c in ("balanced_accuracy", "overall_accuracy")})
+
+
 def incident_risk(spark, sf) -> risk.RiskRun:
     return risk.train_risk(staged_incidents(spark, sf))
 

@@ -18,18 +18,21 @@ STAGES = {
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="mishap")
-    parser.add_argument("stage", choices=[*STAGES, "all", "export"])
-    parser.add_argument("--input", help="raw incidents as CSV, for the clean stage")
+    parser.add_argument("stage", choices=[*STAGES, "all", "export", "predict"])
+    parser.add_argument("--input", help="raw incidents as CSV (clean), a clustered table (predict)")
     parser.add_argument(
         "--single-line", action="store_true", help="no field of the input holds a line break"
     )
     parser.add_argument("--folder", required=True, help="folder of the stage and result tables")
-    parser.add_argument("--output", help="folder for CSV copies, for the export stage")
+    parser.add_argument("--output", help="folder for CSV copies (export) or predictions (predict)")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("mishap").getOrCreate()
     if args.stage == "export":
         run.export_csv(spark, args.folder, args.output)
         return
+    if args.stage == "predict":
+        print("predict", run.run_prediction(spark, args.folder, args.input, args.output))
+        return
     for name in STAGES if args.stage == "all" else [args.stage]:
         clean = (args.input, args.folder, not args.single_line)
         paths = clean if name == "clean" else (args.folder,)

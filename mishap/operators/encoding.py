@@ -1,4 +1,4 @@
-"""Fill values, category lists and class weights learned from training rows."""
+"""Fill values, value dictionaries and class weights learned from training rows."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mishap.operators.hygiene import quoted
+from mishap.operators.joins import pin
+from mishap.operators.numbering import numbered
+from mishap.sources.tables import stage
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -27,16 +30,17 @@ def modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(best.alias("b")).select("column", "b.value")
 
 
-def categories(counts: DataFrame) -> dict[str, dict[str, int]]:
-    """Values and their counts per column, in value order.
+def dictionary(counts: DataFrame) -> DataFrame:
+    """(column, value, n, place): every value with its number, from 0, in its column's value order.
 
-    They are the model's own metadata: an encoder has an entry of the vector for each of them.
+    Values are numbered by ranges and prefix sums, so a column may have any number of them.
     """
-    rows = counts.orderBy("column", "value").collect()
-    found: dict[str, dict[str, int]] = {}
-    for column, value, n in rows:
-        found.setdefault(column, {})[value] = n
-    return found
+    placed = numbered(counts.select("column", "value", "n"), ["column", "value"], "_at")
+    first = placed.groupBy("column").agg(F.min("_at").alias("_first"))
+    joined = placed.join(pin(first), "column")
+    return stage(
+        joined.select("column", "value", "n", (F.col("_at") - F.col("_first")).alias("place")), "dictionary"
+    )
 
 
 def class_weights(counts: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     IndexToString,
@@ -19,10 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mishap import schemas as S
-from mishap.operators.encoding import categories, category_counts, class_weights, modes
-from mishap.operators.hygiene import medians, quoted
-from mishap.operators.joins import pin
+from mishap.operators.encoding import category_counts, class_weights, dictionary, modes
+from mishap.operators.hygiene import quoted
 from mishap.operators.quantiles import exact_medians
+from mishap.operators.sampling import mark_first
+from mishap.operators.sketches import median, merge, sketches
+from mishap.sources.tables import stage
 
 LABEL = "_label"
 WEIGHT = "_weight"
@@ -42,6 +46,15 @@ class FeatureSet:
 
 @dataclass(frozen=True)
 class ForestParams:
+    """What shapes the fit.
+
+    ``max_training_rows`` bounds the rows that the trees are fitted on and so the memory of the fit:
+    beyond it, each class gives its first rows in hashed order, in shares as equal as the class sizes
+    allow, and their weights stand for the whole class. Medians, modes, categories and class sizes
+    always come from all training rows. ``max_listed`` bounds the categories of a column that are
+    held as a list; a longer column is encoded by a join with its written dictionary.
+    """
+
     trees: int = 200
     max_depth: int = 10
     max_bins: int = 64
@@ -49,60 +62,116 @@ class ForestParams:
     relative_error: float = 0.001
     exact_medians: bool = False
     max_memory_mb: int = 1024
+    max_training_rows: int = 250_000
+    max_listed: int = 1_000
 
 
 @dataclass(frozen=True)
 class RiskModel:
-    """A fitted pipeline, the names of its vector's entries and its classes in index order."""
+    """A fitted pipeline, the names of its vector's entries and its classes in index order.
+
+    ``features`` is a table (position, feature); ``fitted_rows`` of the ``training_rows`` went into
+    the trees.
+    """
 
     pipeline: PipelineModel
-    feature_names: list[str]
+    features: DataFrame
     classes: list[str]
     weights: dict[str, float]
     training_rows: int
+    fitted_rows: int
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def training_counts(train: DataFrame, features: FeatureSet, *others: str) -> DataFrame:
-    """Rows per value of the categorical, binary and other named columns, in one pass."""
-    columns = [F.col(quoted(c)) for c in [*features.categorical, *others]]
+def training_profile(
+    train: DataFrame, features: FeatureSet, params: ForestParams, label: str | None = None
+) -> DataFrame:
+    """What preprocessing learns, in one job: (column, value, n, sketch).
+
+    Rows with ``n`` count the values of the categorical, binary and label columns. Rows with a
+    ``sketch`` describe a numeric column's values within the class ``value``. Both parts read columns
+    of their own, so together they read the table once.
+    """
+    columns = [F.col(quoted(c)) for c in [*features.categorical, *([label] if label else [])]]
     columns += [F.col(quoted(c)).cast("int").alias(c) for c in features.binary]
-    named = train.select(*columns)
-    return pin(category_counts(named, named.columns))
+    empty = F.lit(None).cast("binary").alias("sketch")
+    parts = []
+    if columns:
+        named = train.select(*columns)
+        parts.append(category_counts(named, named.columns).select("*", empty))
+    if features.numeric and not params.exact_medians:
+        classed = train.withColumn("_class", F.col(quoted(label)) if label else F.lit(None).cast("string"))
+        found = sketches(classed, features.numeric, params.relative_error, ["_class"])
+        pairs = [
+            F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("sketch"))
+            for i, c in enumerate(features.numeric)
+        ]
+        each = found.select(F.col("_class").alias("value"), F.inline(F.array(*pairs)))
+        parts.append(each.select("column", "value", F.lit(None).cast("long").alias("n"), "sketch"))
+    if not parts:
+        return train.sparkSession.createDataFrame([], "column string, value string, n long, sketch binary")
+    return stage(functools.reduce(DataFrame.unionByName, parts), "profile")
+
+
+def training_medians(
+    train: DataFrame, features: FeatureSet, params: ForestParams, profile: DataFrame
+) -> dict[str, float | None]:
+    """Median per numeric column over all classes, from the profile's sketches."""
+    if not features.numeric:
+        return {}
+    if params.exact_medians:
+        return exact_medians(train, features.numeric, midpoint=True)
+    merged = profile.where("sketch is not null").groupBy("column").agg(merge(F.col("sketch")).alias("s"))
+    found = {row["column"]: row["m"] for row in merged.select("column", median(F.col("s")).alias("m")).collect()}
+    return {c: found.get(c) for c in features.numeric}
+
+
+def _category_stages(column: str, size: int, values: list[str] | None, path: str) -> Transformer:
+    """From ``categorical__c`` to ``index__c``: the value's place, or ``size`` for an unseen one."""
+    if values is not None:
+        return StringIndexerModel.from_labels(
+            values, f"categorical__{column}", f"index__{column}", handleInvalid="keep"
+        )
+    key, index = quoted(f"categorical__{column}"), quoted(f"index__{column}")
+    return SQLTransformer(
+        statement=f"SELECT t.*, CAST(coalesce(d.place, {size}) AS DOUBLE) AS {index} FROM __THIS__ t "
+        f"LEFT JOIN (SELECT value, place FROM parquet.`{path}` WHERE column = {_text(column)}) d "
+        f"ON d.value = t.{key}"
+    )
 
 
 def preprocessor(
-    train: DataFrame,
-    features: FeatureSet,
-    params: ForestParams,
-    counts: DataFrame,
-) -> tuple[PipelineModel, list[str]]:
-    """Impute, one-hot encode and assemble, learned from the training rows and their value counts.
-
-    The counts give the modes and the category lists, so the indexer and the encoder need no pass
-    of their own; the medians take one. A category that training did not see encodes to zeros; a
-    column without training values is left out of the vector.
+    train: DataFrame, features: FeatureSet, params: ForestParams, profile: DataFrame
+) -> tuple[PipelineModel, DataFrame]:
+    """Impute, one-hot encode and assemble, learned from the profile of the training rows.
+
+    Returns the pipeline and its vector's entries as a table (position, feature). A category that
+    training did not see encodes to zeros; a column without training values is left out of the
+    vector. Only the lists of columns with few categories come to the driver.
     """
-    seen = categories(counts)
+    spark = train.sparkSession
+    counts = profile.where("n is not null")
     best = {row["column"]: row["value"] for row in modes(counts).collect()}
-    if not features.numeric:
-        median = {}
-    elif params.exact_medians:
-        median = exact_medians(train, features.numeric, midpoint=True)
-    else:
-        median = medians(train, features.numeric, params.relative_error).first().asDict()
+    middle = training_medians(train, features, params, profile)
+    listed = dictionary(counts.where(F.col("column").isin(list(features.categorical))))
+    path = listed.inputFiles()[0].rsplit("/", 1)[0] if not listed.isEmpty() else ""
+    sizes = {r["column"]: r["size"] for r in listed.groupBy("column").agg(F.count("*").alias("size")).collect()}
+    short = [c for c, n in sizes.items() if n <= params.max_listed]
+    values: dict[str, list[str]] = {c: [] for c in short}
+    for row in listed.where(F.col("column").isin(short)).orderBy("column", "place").collect():
+        values[row["column"]].append(row["value"])
 
-    numeric = [c for c in features.numeric if median[c] is not None]
-    categorical = [c for c in features.categorical if c in seen]
-    binary = [c for c in features.binary if c in seen]
+    numeric = [c for c in features.numeric if middle[c] is not None]
+    categorical = [c for c in features.categorical if c in sizes]
+    binary = [c for c in features.binary if c in best]
 
     filled = []
     for c in numeric:
         number = f"nullif(cast({quoted(c)} as double), double('NaN'))"
-        filled.append(f"coalesce({number}, {float(median[c])!r}D) AS {quoted('numerical__' + c)}")
+        filled.append(f"coalesce({number}, {float(middle[c])!r}D) AS {quoted('numerical__' + c)}")
     for c in categorical:
         value = f"cast({quoted(c)} as string)"
         filled.append(f"coalesce({value}, {_text(best[c])}) AS {quoted('categorical__' + c)}")
@@ -113,17 +182,15 @@ def preprocessor(
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")]
     if categorical:
         for c in categorical:
-            indexer = StringIndexerModel.from_labels(
-                list(seen[c]), f"categorical__{c}", f"index__{c}", handleInvalid="keep"
-            )
-            stages.append(indexer)
-        stages.append(
-            OneHotEncoder(
-                inputCols=[f"index__{c}" for c in categorical],
-                outputCols=[f"onehot__{c}" for c in categorical],
-                dropLast=True,
-            )
+            stages.append(_category_stages(c, sizes[c], values.get(c), path))
+        encoder = OneHotEncoder(
+            inputCols=[f"index__{c}" for c in categorical],
+            outputCols=[f"onehot__{c}" for c in categorical],
+            dropLast=True,
         )
+        # One row with the largest index of every column tells the encoder all it needs.
+        widest = [F.lit(float(sizes[c])).alias(f"index__{c}") for c in categorical]
+        stages.append(encoder.fit(spark.range(1).select(*widest)))
     stages.append(
         VectorAssembler(
             inputCols=[f"numerical__{c}" for c in numeric]
@@ -132,12 +199,45 @@ def preprocessor(
             outputCol=FEATURES,
         )
     )
-    names = (
-        [f"numerical__{c}" for c in numeric]
-        + [f"categorical__{c}_{value}" for c in categorical for value in seen[c]]
-        + [f"binary__{c}" for c in binary]
+    fixed = [(i, f"numerical__{c}") for i, c in enumerate(numeric)]
+    starts, width = [], len(numeric)
+    for c in categorical:
+        starts.append((c, width))
+        width += sizes[c]
+    fixed += [(width + i, f"binary__{c}") for i, c in enumerate(binary)]
+    start = spark.createDataFrame(starts, "column string, start long")
+    encoded = listed.join(start, "column").select(
+        (F.col("start") + F.col("place")).alias("position"),
+        F.concat(F.lit("categorical__"), "column", F.lit("_"), "value").alias("feature"),
     )
-    return Pipeline(stages=stages).fit(train), names
+    names = spark.createDataFrame(fixed, "position long, feature string").unionByName(encoded)
+    return PipelineModel(stages), names
+
+
+def class_quotas(sizes: dict[str, int], limit: int) -> dict[str, int]:
+    """Rows to draw per class: equal shares of the limit, what a small class leaves goes to the others."""
+    quotas, left, classes = {}, limit, sorted(sizes, key=lambda c: (sizes[c], c))
+    for i, c in enumerate(classes):
+        quotas[c] = min(sizes[c], left // (len(classes) - i))
+        left -= quotas[c]
+    return quotas
+
+
+def draw(
+    train: DataFrame, label: str, row_id: str | None, sizes: dict[str, int], limit: int, seed: int
+) -> tuple[DataFrame, dict[str, int]]:
+    """At most ``limit`` labelled rows, the first of each class in hashed order, and their number per class.
+
+    Without an id, rows are ordered by the hash of all their columns.
+    """
+    if sum(sizes.values()) <= limit:
+        return train, dict(sizes)
+    quotas = class_quotas(sizes, limit)
+    spark = train.sparkSession
+    table = spark.createDataFrame(list(quotas.items()), f"{quoted(label)} string, quota long")
+    key = F.col(quoted(row_id)) if row_id else F.xxhash64(*map(quoted, train.columns))
+    marked = mark_first(train.withColumn("_draw", key), [label], "_draw", lambda s: s.join(table, label), seed)
+    return marked.where("_picked").drop("_picked", "_draw"), quotas
 
 
 def fit_forest(
@@ -145,29 +245,34 @@ def fit_forest(
     label: str = S.RISK,
     features: FeatureSet = FeatureSet(),
     params: ForestParams = ForestParams(),
+    row_id: str | None = None,
 ) -> RiskModel:
     """Fit the preprocessing and a forest with balanced class weights on the labelled rows."""
     of_class = F.col(quoted(label)).cast("string")
-    train = train.select(of_class.alias(label), *[quoted(c) for c in features.all]).where(
+    ids = [row_id] if row_id and row_id not in [*features.all, label] else []
+    train = train.select(of_class.alias(label), *[quoted(c) for c in [*features.all, *ids]]).where(
         of_class.isNotNull()
     )
-    counts = training_counts(train, features, label)
-    sizes = class_weights(counts.where(F.col("column") == label)).collect()
-    rows = sum(row["rows"] for row in sizes)
-    weights = {row["value"]: row["weight"] for row in sizes}
+    profile = training_profile(train, features, params, label)
+    found = class_weights(profile.where((F.col("column") == label) & F.col("n").isNotNull())).collect()
+    sizes = {row["value"]: row["rows"] for row in found}
+    weights = {row["value"]: row["weight"] for row in found}
     classes = sorted(weights)
-    prepare, names = preprocessor(train, features, params, counts)
+    prepare, names = preprocessor(train, features, params, profile.where(F.col("column") != label))
+    drawn, taken = draw(train, label, row_id, sizes, params.max_training_rows, params.seed)
+    # A drawn row stands for as many rows as its class has for each that was drawn.
+    shares = {c: weights[c] * sizes[c] / taken[c] for c in classes if taken[c]}
 
     def lookup(values: dict) -> Column:
         pairs = [F.lit(x) for item in values.items() for x in item]
         return F.element_at(F.create_map(*pairs), F.col(quoted(label)))
 
     vectors = (
-        prepare.transform(train)
+        prepare.transform(drawn)
         .select(
             F.col(FEATURES),
             lookup({c: float(i) for i, c in enumerate(classes)}).alias(LABEL),
-            lookup(weights).alias(WEIGHT),
+            lookup(shares).alias(WEIGHT),
         )
         .persist()
     )
@@ -187,7 +292,7 @@ def fit_forest(
         vectors.unpersist()
     to_class = IndexToString(inputCol="prediction", outputCol=S.PREDICTED_RISK, labels=classes)
     pipeline = PipelineModel([*prepare.stages, forest, to_class])
-    return RiskModel(pipeline, names, classes, weights, rows)
+    return RiskModel(pipeline, names, classes, weights, sum(sizes.values()), sum(taken.values()))
 
 
 def predict(model: RiskModel, df: DataFrame, context: Sequence[str]) -> DataFrame:
@@ -202,8 +307,56 @@ def predict(model: RiskModel, df: DataFrame, context: Sequence[str]) -> DataFram
 
 
 def feature_importance(model: RiskModel, spark: SparkSession) -> DataFrame:
-    """Gini importance of every vector entry, highest first; the number of rows is the vector's width."""
+    """Gini importance of every vector entry, highest first; the number of rows is the vector's width.
+
+    Scores other than zero are as many as the trees have splits at most.
+    """
     forest = next(s for s in model.pipeline.stages if hasattr(s, "featureImportances"))
-    scores = forest.featureImportances.toArray()
-    rows = [(name, float(score)) for name, score in zip(model.feature_names, scores, strict=True)]
-    return spark.createDataFrame(rows, S.IMPORTANCE).orderBy(F.desc("importance"), "feature")
+    scores = forest.featureImportances
+    pairs = list(zip(map(int, scores.indices), map(float, scores.values)))
+    used = spark.createDataFrame(pairs, "position long, score double")
+    joined = model.features.join(used, "position", "left")
+    importance = joined.select("feature", F.coalesce("score", F.lit(0.0)).alias("importance"))
+    return importance.orderBy(F.desc("importance"), "feature")
+
+
+_DICTIONARY = re.compile(r"parquet\.`[^`]*`")
+
+
+def _dictionary_stages(pipeline: PipelineModel) -> list[SQLTransformer]:
+    joins = [s for s in pipeline.stages if isinstance(s, SQLTransformer)]
+    return [s for s in joins if _DICTIONARY.search(s.getStatement())]
+
+
+def save_model(model: RiskModel, path: str) -> None:
+    """Write the model as one folder: pipeline, dictionaries of long columns, and a manifest as tables."""
+    spark = model.features.sparkSession
+    joins = _dictionary_stages(model.pipeline)
+    if joins:
+        source = _DICTIONARY.search(joins[0].getStatement())[0][len("parquet.`") : -1]
+        spark.read.parquet(source).write.mode("overwrite").parquet(f"{path}/dictionary")
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    model.features.write.mode("overwrite").parquet(f"{path}/features")
+    classes = [(i, c, model.weights[c]) for i, c in enumerate(model.classes)]
+    table = spark.createDataFrame(classes, "position int, class string, weight double")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/classes")
+    rows = spark.createDataFrame([(model.training_rows, model.fitted_rows)], "training long, fitted long")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/rows")
+
+
+def load_model(spark: SparkSession, path: str) -> RiskModel:
+    """A saved model, wherever its folder now lies."""
+    pipeline = PipelineModel.load(f"{path}/pipeline")
+    for join in _dictionary_stages(pipeline):
+        moved = f"parquet.`{path.rstrip('/')}/dictionary`"
+        join.setStatement(_DICTIONARY.sub(lambda _: moved, join.getStatement()))
+    classes = spark.read.parquet(f"{path}/classes").orderBy("position").collect()
+    rows = spark.read.parquet(f"{path}/rows").first()
+    return RiskModel(
+        pipeline,
+        spark.read.parquet(f"{path}/features"),
+        [row["class"] for row in classes],
+        {row["class"]: row["weight"] for row in classes},
+        rows["training"],
+        rows["fitted"],
+    )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mishap import schemas as S
-from mishap.functions.labels import present
+from mishap.operators.sketches import median, sketches
 
 
 def quoted(name: str) -> str:
@@ -40,15 +39,11 @@ def medians(df: DataFrame, columns: Sequence[str], relative_error: float = 0.01)
 
     A median is a value of the column; missing values and NaN do not count, and a column without
     values has a null median. What tasks report is a sketch whose size depends on the error, not
-    on their rows.
+    on their rows, and is merged in two stages. Up to some hundred values (thousands for small
+    errors) the sketch holds all of them; beyond, it samples, so two runs may differ within the error.
     """
-    accuracy = max(1, math.ceil(1 / relative_error))
-    return df.agg(
-        *[
-            F.percentile_approx(present(F.col(quoted(c))), F.lit(0.5), F.lit(accuracy)).alias(c)
-            for c in columns
-        ]
-    )
+    found = sketches(df, columns, relative_error)
+    return found.select(*[median(F.col(f"s{i}")).alias(c) for i, c in enumerate(columns)])
 
 
 def fill_numbers(

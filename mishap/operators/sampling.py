@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from mishap import schemas as S
 from mishap.operators.hygiene import quoted
 from mishap.operators.joins import pin
+from mishap.sources.tables import stage
 
 KEY = "_key"
 KEY_LENGTH = 32
 ROW_KEY_LENGTH = 16
 PREFIX_STEP = 4
 TAIL_ROWS = 1_000_000
+SALTS = 256
 
 
 def hashed_order(row_id: str, seed: int = S.SEED) -> Column:
@@ -24,6 +26,10 @@ def hashed_order(row_id: str, seed: int = S.SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(quoted(row_id)).cast("string")))
 
 
+def _row_key(columns: Sequence[str]) -> Column:
+    return F.lpad(F.hex(F.xxhash64(*columns)), ROW_KEY_LENGTH, "0")
+
+
 def key_cutoffs(
     keyed: DataFrame,
     strata: Sequence[str],
@@ -81,7 +87,9 @@ def mark_first(
     """Add ``_picked``: true for exactly the quota of each stratum, the first rows in hashed order.
 
     Rows that share the id at the cutoff are ordered by a hash of all their columns, and of equal
-    rows as many are picked as the quota still needs; only those tied rows are ever ranked.
+    rows as many are picked as the quota still needs. Equal rows are counted per salt, the quota is
+    handed to the salts by a prefix sum, and rows are numbered within their salt, so a group of
+    equal rows of any size spreads over all tasks.
     """
     strata = list(strata)
     names = [c for c in df.columns if c not in (KEY, "_picked")]
@@ -94,19 +102,36 @@ def mark_first(
 
     tied = F.coalesce((F.col(KEY) == F.col("_cutoff")) & (F.col("_n") > F.col("_need")), F.lit(False))
     clear = marked.where(~tied).select(*map(quoted, names), below.alias("_picked"))
-    row_hash = F.lpad(F.hex(F.xxhash64(*map(quoted, names))), ROW_KEY_LENGTH, "0")
-    ties = marked.where(tied).select(*map(quoted, names), row_hash.alias(KEY))
+    ties = marked.where(tied).select(*map(quoted, names), _row_key([*map(quoted, names)]).alias(KEY))
     needs = cut.where("_n > _need").select(*strata, F.col("_need").alias("quota"))
     edge = pin(key_cutoffs(ties, strata, lambda sizes: sizes.join(needs, strata), ROW_KEY_LENGTH))
     ties = ties.join(edge, strata, "left")
     equal = F.col(KEY) == F.col("_cutoff")
-    place = F.row_number().over(W.partitionBy(*strata, KEY).orderBy(F.lit(0)))
-    ranked = ties.where(equal).withColumn("_picked", place <= F.col("_need"))
     rest = ties.where(~equal).withColumn("_picked", F.col(KEY) < F.col("_cutoff"))
     columns = [*map(quoted, names), "_picked"]
+    ranked = pick_equal(ties.where(equal).select(*map(quoted, names), "_need"), strata)
     return clear.unionByName(rest.select(*columns)).unionByName(ranked.select(*columns))
 
 
+def pick_equal(rows: DataFrame, strata: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Mark ``_need`` rows of each stratum, any of them: all rows of a stratum are equal.
+
+    The salt is the row's place in its task, so the rows are written once; salts of a stratum hold
+    almost equally many rows.
+    """
+    salted = stage(rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))), "ties")
+    by_salt = W.partitionBy(*strata).orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
+    counts = salted.groupBy(*strata, "_salt").agg(F.count(F.lit(1)).alias("_in"), F.first("_need").alias("_n"))
+    before = F.coalesce(F.sum("_in").over(by_salt), F.lit(0))
+    share = F.least(F.col("_in"), F.greatest(F.col("_n") - before, F.lit(0)))
+    shares = pin(counts.withColumn("_share", share).select(*strata, "_salt", "_share"))
+    place = F.row_number().over(W.partitionBy(*strata, "_salt").orderBy(F.lit(0)))
+    joined = salted.withColumn("_place", place).join(shares, [*strata, "_salt"])
+    return joined.withColumn("_picked", F.col("_place") <= F.col("_share")).drop(
+        "_salt", "_share", "_place", "_need"
+    )
+
+
 def split_quotas(sizes: DataFrame, label: str, test_fraction: float = 0.2) -> DataFrame:
     """Test rows per class, from the class sizes: a fixed total shared out by largest remainder.
 
@@ -159,3 +184,23 @@ def exact_sample(df: DataFrame, row_id: str, limit: int, seed: int = S.SEED) ->
     whole = df.withColumn("_all", F.lit(1))
     marked = mark_first(whole, ["_all"], row_id, lambda sizes: sizes.select("_all", quota), seed)
     return marked.where("_picked").select(*map(quoted, df.columns))
+
+
+def least_hashed(
+    df: DataFrame, row_id: str, group: str | None, limit: int, seed: int = S.SEED, salts: int = 64
+) -> DataFrame:
+    """The ``limit`` rows of every group that come first in hashed order, for all groups in one pass.
+
+    Each task keeps its first ``limit`` rows per group, ``salts`` sets of tasks merge theirs, then
+    those are merged: what the last merge of a group reads depends on the limit alone. Without a
+    group the whole table is one. Rows that share an id go by the hash of all columns; of equal rows
+    any are taken. A null group is a group of its own.
+    """
+    names = [quoted(c) for c in df.columns]
+    groups = [] if group is None else [quoted(group)]
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
+    keyed = df.select(*names, hashed_order(row_id, seed).alias(KEY), _row_key(names).alias("_tie"), salt)
+    for by in ([*groups, "_salt"], groups or [F.lit(0)]):
+        first = F.row_number().over(W.partitionBy(*by).orderBy(KEY, "_tie"))
+        keyed = keyed.withColumn("_place", first).where(F.col("_place") <= limit)
+    return keyed.select(*names)

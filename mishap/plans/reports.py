@@ -18,7 +18,8 @@ from mishap.operators.aggregates import (
     value_counts,
 )
 from mishap.operators.hygiene import quoted
-from mishap.operators.sampling import exact_sample
+from mishap.operators.sampling import exact_sample, least_hashed
+from mishap.sources.tables import stage
 
 ALL = "All"
 HEADLINE = ("balanced_accuracy", "accuracy", "testing_records")
@@ -134,5 +135,29 @@ def map_sample(
     return exact_sample(chosen, row_id, limit, seed).select(*[quoted(c) for c in columns])
 
 
+def map_samples(
+    clustered: DataFrame,
+    limit: int = 5000,
+    seed: int = S.SEED,
+    row_id: str = S.INCIDENT_ID,
+    columns: Sequence[str] = ("Start_Lat", "Start_Lng", "ID", "Severity", "cluster_id"),
+    cluster: str = S.CLUSTER,
+) -> DataFrame:
+    """The marker rows of every choice of a map, in one pass: ``choice`` is a cluster's name or "All".
+
+    Each choice has the rows that ``map_sample`` gives where ids are unique. The first rows of the whole table are among
+    those of its clusters, so they come from the clusters' samples.
+    """
+    wanted = list(dict.fromkeys([*columns, row_id, cluster]))
+    each = stage(least_hashed(clustered.select(*map(quoted, wanted)), row_id, cluster, limit, seed), "markers")
+    whole = least_hashed(each, row_id, None, limit, seed)
+    names = [quoted(c) for c in columns]
+    return (
+        each.where(F.col(quoted(cluster)).isNotNull())
+        .select(F.col(quoted(cluster)).cast("string").alias("choice"), *names)
+        .unionByName(whole.select(F.lit(ALL).alias("choice"), *names))
+    )
+
+
 def map_center(markers: DataFrame, lat: str = "Start_Lat", lng: str = "Start_Lng") -> DataFrame:
     return mean_point(markers, lat, lng)

@@ -53,17 +53,20 @@ def train_risk(
     split = stratified_split(labelled, row_id, S.RISK, test_fraction, params.seed)
     train = split.where(F.col("split") == "train").drop("split")
     test = split.where(F.col("split") == "test").drop("split")
-    model = fit_forest(train, S.RISK, features, params)
+    model = fit_forest(train, S.RISK, features, params, row_id)
     context = [row_id if c == S.INCIDENT_ID else c for c in S.PREDICTION_CONTEXT]
     predictions = predict(model, test, context)
     importance = feature_importance(model, df.sparkSession)
     return RiskRun(model, train, test, predictions, importance)
 
 
-def evaluate(predictions: DataFrame, training_rows: int | None = None) -> DataFrame:
+def evaluate(
+    predictions: DataFrame, training_rows: int | None = None, fitted_rows: int | None = None
+) -> DataFrame:
     """All metrics of a prediction table in long form (metric, class, value).
 
-    The table is read once, for the counts behind the confusion matrix.
+    The table is read once, for the counts behind the confusion matrix. Given the rows that the
+    model was trained on, and how many of them went into the trees, the table has them too.
     """
     matrix = pin(confusion_matrix(predictions))
     parts = [
@@ -82,10 +85,10 @@ def evaluate(predictions: DataFrame, training_rows: int | None = None) -> DataFr
             F.lit("testing_records").alias("metric"), F.lit("all").alias("class"), "value"
         ),
     ]
-    if training_rows is not None:
-        spark = predictions.sparkSession
-        row = [("training_records", "all", float(training_rows))]
-        parts.append(spark.createDataFrame(row, S.METRICS))
+    given = {"training_records": training_rows, "fitted_records": fitted_rows}
+    rows = [(name, "all", float(n)) for name, n in given.items() if n is not None]
+    if rows:
+        parts.append(predictions.sparkSession.createDataFrame(rows, S.METRICS))
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)

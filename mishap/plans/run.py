@@ -6,12 +6,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from mishap import schemas as S
-from mishap.operators.forest import FeatureSet, ForestParams
+from mishap.operators.forest import FeatureSet, ForestParams, load_model, predict, save_model
 from mishap.operators.joins import pin
 from mishap.plans.cleaning import clean
 from mishap.plans.engineering import engineer
 from mishap.plans.hotspots import fit_hotspots, summarise
-from mishap.plans.risk import evaluate, train_risk
+from mishap.plans.risk import evaluate, train_risk, with_risk
 from mishap.sources import results as R
 from mishap.sources.tables import read_csv, write_observed, write_small, write_table
 
@@ -55,14 +55,22 @@ def run_risk(
     run = train_risk(clustered, features=features, params=params)
     write_table(run.predictions, f"{folder}/{R.PREDICTIONS}")
     predictions = spark.read.parquet(f"{folder}/{R.PREDICTIONS}")
-    metrics = pin(evaluate(predictions, run.model.training_rows))
+    metrics = pin(evaluate(predictions, run.model.training_rows, run.model.fitted_rows))
     write_small(metrics, f"{folder}/{R.METRICS}")
     write_small(run.importance, f"{folder}/{R.IMPORTANCE}")
-    run.model.pipeline.write().overwrite().save(f"{folder}/risk_model")
+    save_model(run.model, f"{folder}/{R.MODEL}")
     headline = metrics.where(F.col("class") == "all").collect()
     return {row["metric"]: row["value"] for row in headline}
 
 
+def run_prediction(spark: SparkSession, folder: str, source: str, target: str) -> dict:
+    """Predict the rows of a clustered table with a folder's saved model, labelled or not."""
+    clustered = spark.read.parquet(source)
+    labelled = with_risk(clustered)
+    model = load_model(spark, f"{folder}/{R.MODEL}")
+    return write_observed(predict(model, labelled, S.PREDICTION_CONTEXT), target)
+
+
 def export_csv(spark: SparkSession, folder: str, target: str) -> None:
     """The tables of a run as CSV: the large ones in order of id, the small ones as one file."""
     for name in [R.CLEANED, R.ENGINEERED, R.CLUSTERED, R.PREDICTIONS]:

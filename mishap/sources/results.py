@@ -14,6 +14,7 @@ EVALUATION = "kmeans_evaluation"
 IMPORTANCE = "random_forest_feature_importance"
 PREDICTIONS = "risk_predictions"
 METRICS = "random_forest_metrics"
+MODEL = "risk_model"
 
 
 class Results(NamedTuple):

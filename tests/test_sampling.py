@@ -83,3 +83,29 @@ def test_sample_with_one_repeated_id(spark, monkeypatch):
 
 def test_sample_of_nothing(spark):
     assert exact_sample(spark.range(0), "id", 10).count() == 0
+
+
+@pytest.mark.parametrize("salts", [1, 7, 256])
+def test_equal_rows_are_shared_out_to_salts(spark, salts):
+    rows = spark.range(0, 3000, 1, 11).select(
+        (F.col("id") % 3).alias("g"), F.lit("x").alias("v"), (F.col("id") % 3 * 400).alias("_need")
+    )
+    got = sampling.pick_equal(rows, ["g"], salts).groupBy("g").agg(F.count_if("_picked").alias("n"), F.count("*").alias("all"))
+    assert {tuple(r) for r in got.collect()} == {(0, 0, 1000), (1, 400, 1000), (2, 800, 1000)}
+
+
+def test_least_hashed_of_every_group(spark):
+    df = spark.range(0, 4000, 1, 13).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("g"))
+    got = sampling.least_hashed(df, "id", "g", 60).collect()
+    for group in (None, 1, 2, 3, 4):
+        rows = df.where(F.col("g").eqNullSafe(F.lit(group))).orderBy(hashed_order("id")).limit(60).collect()
+        assert sorted(r["id"] for r in got if r["g"] == group) == sorted(r["id"] for r in rows)
+    whole = sampling.least_hashed(df, "id", None, 100).collect()
+    assert sorted(whole) == sorted(df.orderBy(hashed_order("id")).limit(100).collect())
+
+
+def test_least_hashed_of_repeated_rows(spark):
+    df = spark.range(0, 900, 1, 7).select(F.lit(1).alias("id"), F.lit("a").alias("g"))
+    assert sampling.least_hashed(df, "id", "g", 50).count() == 50
+    assert sampling.least_hashed(df, "id", "g", 5000).count() == 900
+    assert sampling.least_hashed(df.limit(0), "id", "g", 50).count() == 0
