@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +21,34 @@ from mishap.llm.common import UnitCache, field, map_batches, slices, staged, tex
 
 # Words whose normalisation is plain lower case: printable ASCII and Latin letters with accents.
 _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]*")
+# How byte-level files of this family split words: the shape of most words is known without it.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Rows whose ids are put together at a time.
 ROWS_AT_ONCE = 1_000
 
 
+class Generations(UnitCache):
+    """A cache that, when full, goes on with what it is asked for again of the entries so far.
+
+    Half of the words of a batch stand in the batch before. Two generations are held, each of at
+    most ``limit`` entries and those of one batch.
+    """
+
+    older: dict = {}
+
+    def prepare(self, units: Iterable[Sequence]) -> None:
+        if len(self.found) > self.limit:
+            self.older, self.found = self.found, {}
+        missing: set = set()
+        for part in units:
+            missing.update(filterfalse(self.found.__contains__, part))
+        again = missing.intersection(self.older)
+        self.found.update(zip(again, map(self.older.__getitem__, again)))
+        parts = list(missing.difference(again))
+        if parts:
+            self.found.update(zip(parts, self.compute(parts)))
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable character that stands for each byte value in byte-level vocabularies."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -43,7 +68,7 @@ class _WordEncoder:
         content = json.loads(source)
         model, vocab = content["model"], content["model"]["vocab"]
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
-        self.tokens = UnitCache(self._merge, limit=300_000)
+        self.tokens = Generations(self._merge, limit=100_000)
         self.special = [t["content"].encode() for t in content["added_tokens"]]
         steps = [s["type"] for s in (content["normalizer"] or {}).get("normalizers", [])]
         splits = (content["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -56,6 +81,7 @@ class _WordEncoder:
             and not model["ignore_merges"]
         ):
             self.pattern = regex.compile(splits[0]["pattern"]["Regex"])
+            self.simple = self.pattern.pattern == _PATTERN
             letters, end = _byte_letters(), model["end_of_word_suffix"]
             merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
             self.rules = BytePairs(
@@ -67,29 +93,41 @@ class _WordEncoder:
                 [vocab[letters[b] + end] for b in range(256)],
             )
 
-    def _merge(self, tokens: list[bytes]) -> list[bytes]:
-        ids, counts = self.rules.encode(tokens)
+    def _merge(self, tokens: list[str]) -> list[bytes]:
+        ids, counts = self.rules.encode([token.encode() for token in tokens])
         data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
         ends = (np.cumsum(counts) * width).tolist()
         return list(map(data.__getitem__, map(slice, [0, *ends], ends)))
 
+    def _parts(self, text: str) -> list[str]:
+        """The tokens of a plain word in lower case. Letters with a closing mark need no pattern."""
+        if self.simple:
+            body = text.rstrip(".,;:!?")
+            if body.isalpha():
+                return [body] if len(body) == len(text) else [body, text[len(body) :]]
+        return self.pattern.findall(text)
+
     def __call__(self, words: list[bytes]) -> list[bytes]:
-        found: dict[bytes, bytes] = {}
-        split: dict[bytes, list[bytes]] = {}
-        for word in words:
-            text = word.decode()
-            special = any(s[:2] in word for s in self.special)
-            if self.rules is not None and not special and _PLAIN.fullmatch(text):
-                split[word] = [t.encode() for t in self.pattern.findall(text.lower())]
-                continue
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            found[word] = np.array(ids, self.dtype).tobytes()
+        # Words hold no white space, so all of them are decoded at once.
+        joined = b"\n".join(words)
+        marks = [mark for mark in {s[:2] for s in self.special} if mark in joined]
+        found: list[bytes] = [b""] * len(words)
+        places, tokens, ends = [], [], [0]
+        for place, text in enumerate(joined.decode().split("\n") if words else ()):
+            special = marks and any(mark in words[place] for mark in marks)
+            if self.rules is None or special or not (text.isascii() or _PLAIN.fullmatch(text)):
+                ids = self.library.encode(text, add_special_tokens=False).ids
+                found[place] = np.array(ids, self.dtype).tobytes()
+            else:
+                tokens += self._parts(text.lower())
+                places.append(place)
+                ends.append(len(tokens))
         # The same token stands in many words, with other punctuation.
-        self.tokens.prepare(split.values())
-        known = self.tokens.found.__getitem__
-        for word, parts in split.items():
-            found[word] = b"".join(map(known, parts))
-        return [found[word] for word in words]
+        self.tokens.prepare([tokens])
+        known = list(map(self.tokens.found.__getitem__, tokens))
+        for place, start, end in zip(places, ends, ends[1:]):
+            found[place] = known[start] if end == start + 1 else b"".join(known[start:end])
+        return found
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -100,7 +138,7 @@ def _words(text: bytes) -> list[bytes]:
 def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) -> Iterator[dict]:
     key, source = shared.value
     cache = worker_cache(
-        ("words", key), lambda: UnitCache(_WordEncoder(source), limit=300_000)
+        ("words", key), lambda: Generations(_WordEncoder(source), limit=100_000)
     )
     dtype = cache.compute.dtype
     part, before, last = TaskContext.get().partitionId(), 0, np.array([end], dtype).tobytes()
