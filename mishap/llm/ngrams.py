@@ -6,10 +6,15 @@ reach the threshold differ in at most (a + b)(1 - t)/(1 + t) n-grams) both selec
 discards pairs:
 
 * Sizes fall into classes whose ends differ by the threshold, so linked sets share a size class tag.
-  For a tag the bound allows at most d differing n-grams, so of d + 1 hash ranges of n-grams at
-  least one holds the same n-grams in both sets. A document yields one signature per range and tag.
-  Documents connected by equal signatures form a candidate block: a superset of the links, in which
-  chance hardly plays a part, as a signature stands for ten n-grams or so.
+  For a tag the bound allows at most d differing n-grams, so of d + 1 + k hash ranges of n-grams at
+  least k + 1 hold the same n-grams in both sets. A document yields one signature per tag and range
+  that isn't empty: a set with at most k empty ranges agrees with every linked one in a filled range.
+  The few sets with more are dealt anew by another hash, so that emptiness, which unrelated sets
+  have in common, is no signature until the last of several rounds.
+  Documents connected by equal signatures form a candidate block, a superset of the links.
+* Documents that share a passage can meet by a range that holds nothing else. So the members of a
+  block beyond one tile are connected anew, by the rarest n-grams of each: of a set of size s, the
+  s - ceil(t s) + 1 n-grams that are rarest in the block include one of any linked set's.
 * Blocks are dealt in tiles of bounded size; every pair of tiles is one product, column block by
   column block. Columns that one row alone has cannot add overlap and are left out.
 * A pair is linked if 100 * overlap >= percent * union, in integers. Tiles return one tie per
@@ -18,6 +23,7 @@ discards pairs:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +40,9 @@ from mishap.llm.rolling import DIGESTS, mix, runs
 TILE_GRAMS = 1 << 19
 TILE_ROWS = 512
 COLUMNS_AT_ONCE = 2_048
+# Rounds of hash ranges, and the share of sets that may go on to the next one.
+ROUNDS = 12
+NEXT_ROUND = 0.2
 SET = "set_a long, set_b long"
 
 
@@ -65,27 +74,51 @@ def size_class(size: int, percent: int) -> tuple[int, int]:
         number, low = number + 1, high + 1
 
 
+def hash_ranges(high: int, percent: int) -> tuple[int, int]:
+    """Number of hash ranges for a size class tag, by its largest size, and how many may be empty.
+
+    The sets of a tag belong to its class or the one below; the smallest have the most empty ranges.
+    """
+    differing = 2 * high * (100 - percent) // (100 + percent)
+    if not differing:
+        return 1, 0
+    size, spare = max(1, high * percent * percent // 10_000), 0
+    while True:
+        ranges = differing + 1 + spare
+        empty = ranges * math.exp(-size / ranges)
+        within = sum(math.exp(i * math.log(empty) - empty - math.lgamma(i + 1)) for i in range(spare + 1))
+        if 1 - within < NEXT_ROUND or spare > size:
+            return ranges, spare
+        spare += 1
+
+
 def signatures(grams: np.ndarray, percent: int, classes: dict) -> np.ndarray:
-    """One hash per n-gram range for the set's own class and for the next: linked sets share one."""
+    """Hashes of n-gram ranges for the set's own class and for the next: linked sets share one."""
     size = len(grams)
-    if size not in classes:
-        number, high = size_class(size, percent)
-        classes[size] = (number, high), (number + 1, (high + 1) * 100 // percent)
+    number, high = size_class(size, percent)
+    if number not in classes:
+        after = (high + 1) * 100 // percent
+        classes[number] = (number, *hash_ranges(high, percent)), (number + 1, *hash_ranges(after, percent))
     found = []
     scrambled = mix(grams)
-    for tag, high in classes[size]:
-        differing = 2 * high * (100 - percent) // (100 + percent)
-        ranges = differing + 1
+    for tag, ranges, spare in classes[number]:
         if ranges == 1:
             continue
-        place = (grams >> np.uint64(20)) % np.uint64(ranges)
-        order = np.argsort(place, kind="stable")
-        counts = np.bincount(place.astype(np.int64), minlength=ranges)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scrambled[order])])
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        held = sums[ends[1:]] - sums[ends[:-1]]
-        salt = np.arange(ranges, dtype=np.uint64) + np.uint64(tag << 32)
-        found.append(mix(held ^ mix(salt + np.uint64(1))))
+        for turn in range(ROUNDS):
+            dealt = grams if turn == 0 else mix(grams + np.uint64(turn))
+            place = ((dealt >> np.uint64(20)) % np.uint64(ranges)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            counts = np.bincount(place, minlength=ranges)
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scrambled[order])])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            held = sums[ends[1:]] - sums[ends[:-1]]
+            salt = np.arange(ranges, dtype=np.uint64) + np.uint64((tag << 36) + (turn << 32))
+            signed = mix(held ^ mix(salt + np.uint64(1)))
+            filled = counts > 0
+            last = ranges - int(filled.sum()) <= spare
+            found.append(signed[filled] if last or turn + 1 < ROUNDS else signed)
+            if last:
+                break
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
@@ -132,7 +165,8 @@ def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[dict]:
         ends = np.cumsum([0, *(len(sets[i]) for i in rows)])
         values = np.concatenate([sets[i] for i in rows] or [np.zeros(0, np.uint64)])
         grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-        yield {name: taken.column(name) for name in ("block", "tiles", "node")} | {"grams": grams}
+        names = [name for name in batch.schema.names if name not in ("text", "set_b")]
+        yield {name: taken.column(name) for name in names} | {"grams": grams}
 
 
 def linked_pairs(
@@ -184,6 +218,27 @@ def _tile(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"node": pa.array(nodes[tied], pa.int64()), "root": pa.array(root[tied], pa.int64())})
 
 
+def rare_neighbours(members: DataFrame, percent: int) -> DataFrame:
+    """(node, least) ties between members (block, node, grams) of a block that share a rare n-gram.
+
+    N-grams are ordered by how many members have them. Linked sets share one of the first
+    ``s - ceil(t s) + 1`` of each set's s n-grams in that order; those of one member alone tie
+    nothing and are not shuffled further.
+    """
+    each = members.select("block", "node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    counts = each.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ordered = F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("shared")
+    shared = each.join(counts, ["block", "gram"]).groupBy("block", "node", "n").agg(ordered)
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
+    alone = F.col("n") - F.size("shared")
+    taken = F.greatest(F.lit(0), F.least(F.size("shared"), prefix - alone)).cast("int")
+    signed = shared.select("block", "node", F.explode(F.slice("shared", F.lit(1), taken)).alias("rare"))
+    least = F.min("node").over(
+        W.partitionBy("block", "rare.gram").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
+    )
+    return staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
+
+
 def jaccard_components(
     docs: DataFrame,
     n: int = 3,
@@ -208,25 +263,36 @@ def jaccard_components(
     least = F.min("node").over(
         W.partitionBy("signature").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
     )
-    near = signed.select("node", least.alias("least")).where("node <> least").distinct()
-    near = staged(near)
+    near = staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
     blocks = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
     blocks = staged(blocks.withColumnRenamed("component", "block"))
 
     classes = sets.where("n > 0").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
     )
-    members = classes.join(blocks, F.col("set_a") == F.col("node"))
-    sizes = members.groupBy("block").agg(
-        F.greatest(
-            F.ceil(F.sum("n") / F.lit(TILE_GRAMS)), F.ceil(F.count(F.lit(1)) / F.lit(TILE_ROWS))
-        ).alias("tiles")
-    )
-    # Block sizes meet the members before the texts do, so that no text travels by block.
-    wanted = members.join(sizes, "block").select("doc_id", "block", "tiles", "node", "set_b")
-    texts_of = rows.join(wanted, "doc_id").select("text", "block", "tiles", "node", "set_b")
-    schema = "block long, tiles long, node long, grams array<long>"
-    full = map_batches(texts_of, _members, schema, n)
+
+    def members_of(found: DataFrame) -> DataFrame:
+        members = classes.join(found, F.col("set_a") == F.col("node"))
+        sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams_of"))
+        # Block sizes meet the members before the texts do, so that no text travels by block.
+        return staged(
+            members.join(sizes, "block").select("doc_id", "block", "members", "grams_of", "node", "set_b", "n")
+        )
+
+    def with_grams(members: DataFrame, schema: str) -> DataFrame:
+        return map_batches(rows.join(members, "doc_id").drop("doc_id"), _members, schema, n)
+
+    members = members_of(blocks)
+    large = members.where(F.col("members") > TILE_ROWS)
+    if not large.isEmpty():
+        sparse = staged(with_grams(large.select("doc_id", "block", "node", "set_b"), "block long, node long, grams array<long>"))
+        near = rare_neighbours(sparse, percent)
+        again = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
+        kept = members.where(F.col("members") <= TILE_ROWS).select("node", "block")
+        members = members_of(kept.unionByName(again.withColumnRenamed("component", "block")))
+    tiles = F.greatest(F.ceil(F.col("grams_of") / F.lit(TILE_GRAMS)), F.ceil(F.col("members") / F.lit(TILE_ROWS)))
+    wanted = members.select("doc_id", "block", tiles.alias("tiles"), "node", "set_b")
+    full = with_grams(wanted, "block long, tiles long, node long, grams array<long>")
     dealt = full.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     dealt = dealt.select("block", "node", "grams", "tile", other)

@@ -88,11 +88,11 @@ def test_repeated_passages_of_odd_tables(odd, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
-def _shingles(text):
+def _shingles(text, n=3):
     words = text.encode().lower().split()
     if not words:
         return set()
-    return {tuple(words)} if len(words) < 3 else set(zip(words, words[1:], words[2:]))
+    return {tuple(words)} if len(words) < n else set(zip(*(words[i:] for i in range(n))))
 
 
 def _near(spark, docs):
@@ -104,17 +104,23 @@ def _near(spark, docs):
         for _ in range(random.randint(0, 9)):
             words[random.randrange(400)] = f"e{random.randrange(10**6)}"
         rows.append((3000 + k, " ".join(words[: random.randint(355, 400)] if k % 3 else words)))
+    # Texts of their own around one passage, and around one passage with small changes.
+    for k in range(60):
+        own = " ".join(f"o{k}_{i}" for i in range(30 + k))
+        rows.append((5000 + k, f"{own} {PASSAGE}"))
+        rows.append((5100 + k, f"{PASSAGE} x{k}" if k % 2 else f"{PASSAGE} {own[:40]}"))
     for m in (8, 9, 10, 11, 19, 20, 21, 31):
         head = " ".join(f"q{m}_{i}" for i in range(m + 2))
         rows += [(4000 + 10 * m, head), (4001 + 10 * m, head + " z"), (4002 + 10 * m, head + " z z y")]
     return docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
-@pytest.mark.parametrize("tile", [ngrams.TILE_ROWS, 8])
-def test_jaccard_join(spark, docs, monkeypatch, tile):
+@pytest.mark.parametrize("n, percent, tile", [(3, 90, ngrams.TILE_ROWS), (3, 90, 8), (5, 80, ngrams.TILE_ROWS), (5, 80, 8)])
+def test_jaccard_join(spark, docs, monkeypatch, n, percent, tile):
+    """Blocks beyond a tile are connected anew by rare n-grams; no link is lost."""
     monkeypatch.setattr(ngrams, "TILE_ROWS", tile)
     table = _near(spark, docs)
-    sets = {r.doc_id: _shingles(r.text or "") for r in table.collect()}
+    sets = {r.doc_id: _shingles(r.text or "", n) for r in table.collect()}
     shared = collections.Counter()
     places = collections.defaultdict(list)
     for i, grams in sets.items():
@@ -124,11 +130,11 @@ def test_jaccard_join(spark, docs, monkeypatch, tile):
         shared.update((a, b) for a in ids for b in ids if a < b)
     links = [
         (a, b)
-        for (a, b), n in shared.items()
-        if 100 * n >= 90 * (len(sets[a]) + len(sets[b]) - n)
+        for (a, b), both in shared.items()
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)
     ]
     group = _groups(sets, links)
-    found = ngrams.jaccard_components(table).collect()
+    found = ngrams.jaccard_components(table, n, percent).collect()
     assert len(found) == table.count()
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in found} == {
         (i, len(s), group[i]) for i, s in sets.items()
@@ -141,6 +147,42 @@ def test_jaccard_join_of_odd_tables(odd, none):
     assert ngrams.jaccard_components(none).count() == 0
 
 
+@pytest.mark.parametrize("percent", [90, 80])
+def test_unrelated_short_sets_share_no_signature(percent):
+    """Empty ranges, which unrelated sets have in common, make no signature."""
+    rng = np.random.default_rng(5)
+    classes: dict = {}
+    seen = collections.Counter()
+    for _ in range(20_000):
+        grams = np.unique(rng.integers(0, 1 << 63, rng.integers(5, 25)).astype(np.uint64))
+        seen.update(set(ngrams.signatures(grams, percent, classes).tolist()))
+    assert sum(n for n in seen.values() if n > 1) <= 2
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_linked_sets_share_a_signature(percent):
+    rng = np.random.default_rng(6)
+    classes: dict = {}
+    for size in [*range(5, 60), 100, 333, 1200]:
+        for _ in range(60 if size < 60 else 20):
+            grams = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            # As far apart as links go: some n-grams exchanged, then some left out.
+            apart = len(grams) * (100 - percent) // 100
+            out = int(rng.integers(0, apart + 1))
+            other = grams[out:]
+            while True:
+                swap = int(rng.integers(0, apart - out + 1))
+                fresh = rng.integers(0, 1 << 63, swap).astype(np.uint64)
+                near = np.unique(np.concatenate([other[swap:], fresh]))
+                both = len(np.intersect1d(grams, near))
+                if 100 * both >= percent * (len(grams) + len(near) - both):
+                    break
+            if np.array_equal(near, grams):
+                continue
+            mine, theirs = (set(ngrams.signatures(g, percent, classes).tolist()) for g in (grams, near))
+            assert mine & theirs, (size, out, swap)
+
+
 def test_size_classes_meet():
     for low in range(1, 400):
         for high in range(low, low * 100 // 90 + 1):
