@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mishap.llm import ngrams, packing, pii, substrings, toxicity
-from mishap.llm.common import staged
+from mishap.llm.common import quoted, staged
+
+KEY = "_near_copy_key"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,14 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the least id stays.
+    """Of every group of documents linked by five-word shingles at 0.8, one stays: that with the least id.
 
-    Rows that repeat its id are copies too; rows without id stay, as nothing can refer to them.
+    Rows are told apart by id and text, so rows of one id with different texts are judged each on its
+    own, and rows without id take part, after those that have one. Rows that repeat both id and text
+    are one document. Documents without words are linked with nothing and stay.
     """
-    linked = ngrams.jaccard_components(docs.where("doc_id is not null"))
-    first = linked.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+    keyed = docs.withColumn(KEY, key)
+    linked = ngrams.jaccard_components(keyed, n=5, percent=80, row_id=KEY)
+    first = linked.where(F.col(KEY) == F.col("component_id")).select(KEY).distinct()
+    return keyed.join(first, KEY, "left_semi").dropDuplicates([KEY]).select(*map(quoted, docs.columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
