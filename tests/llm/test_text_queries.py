@@ -1,4 +1,7 @@
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import connect, normal, oracle
@@ -28,7 +31,7 @@ def test_pipeline(spark, sf):
     assert mild.exceptAll(raw).isEmpty() and single.exceptAll(mild).isEmpty()
 
     words = [(r.doc_id, r.text.encode().lower().split()) for r in mild.orderBy("doc_id").collect()]
-    sets = {i: set(zip(w, w[1:], w[2:])) if len(w) > 2 else {tuple(w)} for i, w in words if w}
+    sets = {i: set(zip(*(w[k:] for k in range(5)))) if len(w) > 4 else {tuple(w)} for i, w in words if w}
     group = {i: i for i, _ in words}
 
     def find(i):
@@ -39,9 +42,9 @@ def test_pipeline(spark, sf):
     ids = sorted(sets)
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
-            if 0.9 <= len(sets[a]) / len(sets[b]) <= 1 / 0.9:
+            if 0.8 <= len(sets[a]) / len(sets[b]) <= 1 / 0.8:
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
                     x, y = find(a), find(b)
                     group[max(x, y)] = min(x, y)
     assert {r.doc_id for r in single.collect()} == {i for i in group if find(i) == i}
@@ -69,6 +72,32 @@ def test_pipeline(spark, sf):
     assert pieces.select("doc_id").distinct().count() == masked.count()
 
 
+def test_near_copies_with_repeated_and_missing_ids(spark, sf):
+    """No text goes that isn't linked with one that stays."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (7, "alpha beta gamma delta epsilon zeta"),
+        (7, "something else entirely in here now"),
+        (7, "something else entirely in here now"),
+        (8, "alpha beta gamma delta epsilon zeta"),
+        (9, long),
+        (9, long + " x"),
+        (None, long + " y z"),
+        (None, "a text without any id at all"),
+        (None, None),
+        (3, ""),
+        (4, None),
+        (5, " "),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("clash"))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    least = min([long, long + " x"], key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert found == sorted([*rows[:2], (9, least), *rows[7:]], key=str)
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), sf).collect() == []
+
+
 def test_pipeline_runs_with_odd_rows(spark, sf, odd):
     rows = odd.withColumn("n_chars", odd.doc_id)
     for name, stage in corpus_pipeline.STAGES[:-1]:
