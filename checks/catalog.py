@@ -201,7 +201,7 @@ def approx_median_rank(spark, sf):
     """The one-pass approximate median lies within the allowed distance from the middle rank."""
     (lines,) = tables(spark, sf, "lineitem")
     columns = ["l_quantity", "l_extendedprice", "l_discount"]
-    row = hygiene.medians(lines, columns, 0.01).select(F.struct("*")).scalar()
+    row = pin(hygiene.medians(lines, columns, 0.01)).select(F.struct("*")).scalar()
     ranks = lines.agg(
         *[
             F.struct(
@@ -906,11 +906,11 @@ def metrics_round_trip(spark, sf):
 
 
 @query(
-    f"""{METRICS_SQL}, scores AS (SELECT CAST(l_linenumber AS INTEGER) AS k, round(avg(l_tax), 9) AS score
+    f"""{METRICS_SQL}, curve AS (SELECT CAST(l_linenumber AS INTEGER) AS k, round(avg(l_tax), 9) AS score
           FROM lineitem GROUP BY 1)
         SELECT count(*) AS analyzed_incidents, count(DISTINCT l_linenumber) AS identified_hotspots,
-          (SELECT max(score) FROM scores) AS best_silhouette,
-          (SELECT k FROM scores ORDER BY score DESC, k LIMIT 1) AS best_k,
+          (SELECT max(score) FROM curve) AS best_silhouette,
+          (SELECT k FROM curve ORDER BY score DESC, k LIMIT 1) AS best_k,
           (SELECT round(value, 9) FROM metrics WHERE metric = 'balanced_accuracy') AS balanced_accuracy,
           (SELECT round(value, 9) FROM metrics WHERE metric = 'accuracy') AS overall_accuracy,
           (SELECT CAST(value AS BIGINT) FROM metrics WHERE metric = 'testing_records') AS testing_records

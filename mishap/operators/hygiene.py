@@ -41,6 +41,8 @@ def medians(df: DataFrame, columns: Sequence[str], relative_error: float = 0.01)
     values has a null median. What tasks report is a sketch whose size depends on the error, not
     on their rows, and is merged in two stages. Up to some hundred values (thousands for small
     errors) the sketch holds all of them; beyond, it samples, so two runs may differ within the error.
+    As the first merge goes by groups of tasks, Spark takes the result for nondeterministic: write it
+    (``joins.pin``) before using it inside an aggregate.
     """
     found = sketches(df, columns, relative_error)
     return found.select(*[median(F.col(f"s{i}")).alias(c) for i, c in enumerate(columns)])
