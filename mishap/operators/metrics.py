@@ -93,24 +93,33 @@ def class_scores(matrix: DataFrame) -> DataFrame:
 
 
 def classification_report(matrix: DataFrame) -> DataFrame:
-    """Long form (metric, class, value): the per-class scores, accuracy, macro and weighted means."""
-    scores = class_scores(matrix)
+    """Long form (metric, class, value): the per-class scores, accuracy, macro and weighted means.
+
+    The matrix is used once: one aggregation gives the class rows and all that is summed over them.
+    """
     measures = ["precision", "recall", "f1"]
-    per_class = scores.select("class", *measures, F.col("support").cast("double").alias("support"))
-    support = F.sum("support").cast("double")
-    macro = scores.agg(*[F.avg(m).alias(m) for m in measures], support.alias("support"))
-    weighted = scores.agg(
-        *[_ratio(F.sum(F.col(m) * F.col("support")), support).alias(m) for m in measures],
-        support.alias("support"),
-    )
-    table = per_class.unionByName(macro.withColumn("class", F.lit("macro avg"))).unionByName(
-        weighted.withColumn("class", F.lit("weighted avg"))
-    )
-    long = table.unpivot("class", [*measures, "support"], "metric", "value")
-    accuracy = scores.agg(_ratio(F.sum("hits"), F.sum("support")).alias("value")).select(
-        F.lit("all").alias("class"), F.lit("accuracy").alias("metric"), "value"
+    support = F.sum("support").cast("double").alias("support")
+    own = [*measures, F.col("support").cast("double").alias("support")]
+    means = [F.avg(m).alias(m) for m in measures]
+    weighted = [_ratio(F.sum(F.col(m) * F.col("support")), support).alias(m) for m in measures]
+    summary = class_scores(matrix).agg(
+        F.collect_list(F.struct("class", *own)).alias("classes"),
+        F.struct(F.lit("macro avg").alias("class"), *means, support).alias("macro"),
+        F.struct(F.lit("weighted avg").alias("class"), *weighted, support).alias("weighted"),
+        _ratio(F.sum("hits"), F.sum("support")).alias("accuracy"),
     )
-    return long.unionByName(accuracy).select("metric", "class", "value")
+
+    def entries(row: Column) -> Column:
+        names = [*measures, "support"]
+        return F.array(*[_entry(F.lit(m), row["class"], row[m]) for m in names])
+
+    rows = F.concat("classes", F.array("macro"), F.array("weighted"))
+    accuracy = F.array(_entry(F.lit("accuracy"), F.lit("all"), F.col("accuracy")))
+    return summary.select(F.inline(F.concat(F.flatten(F.transform(rows, entries)), accuracy)))
+
+
+def _entry(metric: Column, name: Column, value: Column) -> Column:
+    return F.struct(metric.alias("metric"), name.alias("class"), value.alias("value"))
 
 
 def balanced_accuracy(matrix: DataFrame) -> DataFrame:
