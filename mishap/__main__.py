@@ -21,7 +21,7 @@ def main() -> None:
     parser.add_argument("stage", choices=[*STAGES, "all", "export", "predict"])
     parser.add_argument("--input", help="raw incidents as CSV (clean), a clustered table (predict)")
     parser.add_argument(
-        "--single-line", action="store_true", help="no field of the input holds a line break"
+        "--multi-line", action="store_true", help="fields of the input hold line breaks: one task per file"
     )
     parser.add_argument("--folder", required=True, help="folder of the stage and result tables")
     parser.add_argument("--output", help="folder for CSV copies (export) or predictions (predict)")
@@ -34,7 +34,7 @@ def main() -> None:
         print("predict", run.run_prediction(spark, args.folder, args.input, args.output))
         return
     for name in STAGES if args.stage == "all" else [args.stage]:
-        clean = (args.input, args.folder, not args.single_line)
+        clean = (args.input, args.folder, args.multi_line)
         paths = clean if name == "clean" else (args.folder,)
         print(name, STAGES[name](spark, *paths))
 

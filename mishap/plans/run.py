@@ -17,7 +17,7 @@ from mishap.sources.tables import read_csv, write_observed, write_small, write_t
 
 
 def run_cleaning(
-    spark: SparkSession, source: str, folder: str, multiline: bool = True
+    spark: SparkSession, source: str, folder: str, multiline: bool = False
 ) -> dict:
     """Raw CSV to the cleaned table; returns its rows, columns and remaining missing values.
 

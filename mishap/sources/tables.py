@@ -28,14 +28,14 @@ CSV_TIMES = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = S.RAW, multiline: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = S.RAW, multiline: bool = False
 ) -> DataFrame:
     """CSV with a header, typed by column name.
 
     Declared columns get their type wherever they stand in the file, and text that does not fit
     becomes null; other columns stay text. Quotes inside a field are doubled, blanks around a field
-    belong to it. Fields may hold line breaks, at the price of reading each file in one task;
-    ``multiline=False`` splits large files that are known to have none.
+    belong to it. Large files are split between tasks, so a line break ends a row; with
+    ``multiline`` fields may hold line breaks, at the price of reading each file in one task.
     """
     text = spark.read.csv(path, header=True, multiLine=multiline, emptyValue=EMPTY, **CSV_DIALECT)
     columns = []
@@ -52,9 +52,12 @@ def read_csv(
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table written by ``write_table``: parquet, or CSV when the path says so."""
+    """A table written by ``write_table``: parquet, or CSV when the path says so.
+
+    Written CSV may hold line breaks and has a file per task, so each file is read by one task.
+    """
     if path.rstrip("/").endswith(".csv"):
-        return read_csv(spark, path, schema or T.StructType([]))
+        return read_csv(spark, path, schema or T.StructType([]), multiline=True)
     return spark.read.parquet(path)
 
 

@@ -42,6 +42,22 @@ def test_csv_loses_nothing(spark, tmp_path):
     assert sorted(read_table(spark, path, df.schema).collect()) == sorted(df.collect())
 
 
+def test_large_files_are_split(spark, tmp_path):
+    path = str(tmp_path / "raw.csv")
+    spark.range(200_000).select(F.col("id").cast("string").alias("ID"), F.lit("x" * 40).alias("Street")).coalesce(
+        1
+    ).write.csv(path, header=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        split, whole = (read_csv(spark, path, multiline=m).rdd.getNumPartitions() for m in (False, True))
+        rows = read_csv(spark, path)
+        assert split > 4 and whole == 1
+        assert rows.count() == 200_000 and rows.select("ID").distinct().count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_observed_write(spark, tmp_path):
     df = spark.createDataFrame([(3, None), (1, "x"), (2, None)], "n int, s string").repartition(3)
     path = str(tmp_path / "t")
