@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from mishap.llm.common import buckets, hash_bucket, map_batches, quoted, staged
+from mishap.llm.common import buckets, hash_bucket, quoted, staged
 
 GROUPS_PER_BUCKET = 8_192
 ROWS_PER_SLOT_RANGE = 65_536
@@ -69,17 +69,65 @@ def _bins(table: pa.Table, shards: int) -> pa.Table:
     return table.append_column("bin", pa.array(bins, pa.int32()))
 
 
+def _combined(table: pa.Table, shards: int) -> pa.Table:
+    """Distribute the bins of the partial partitions of one group over the bins of their parent.
+
+    Adds ``to``, the parent's bin of each bin, and ``moved``, the loads in the parent's order.
+    """
+    table = table.sort_by("bucket")
+    loads = table.column("loads").to_pylist()
+    chosen = difference(loads)
+    moved = [[load[bins.index(i)] for i in range(shards)] for load, bins in zip(loads, chosen)]
+    return pa.table(
+        {
+            "bucket": table.column("bucket"),
+            "parent": table.column("parent"),
+            "to": pa.array(chosen, pa.list_(pa.int32())),
+            "moved": pa.array(moved, pa.list_(pa.int64())),
+        }
+    )
+
+
+def assign(placed: DataFrame, many: int, shards: int, per_bucket: int) -> DataFrame:
+    """(k1, k2, shard) from groups placed in bins (k1, k2, total, bucket, bin) of ``many`` buckets.
+
+    In each round at most ``per_bucket`` partial partitions (on average) are differenced in one task
+    into one, until one is left. A round leaves a table of one row per partial partition, which the
+    groups look their next bin up in; nothing passes through the driver.
+    """
+
+    def totals(of: DataFrame, key: str, value: Callable[[int], Column]) -> DataFrame:
+        return of.groupBy(F.col(key).alias("bucket")).agg(F.array(*map(value, range(shards))).alias("loads"))
+
+    loads = totals(placed, "bucket", lambda i: F.coalesce(F.sum(F.when(F.col("bin") == i, F.col("total"))), F.lit(0)))
+    assigned = placed.select("k1", "k2", "bucket", "bin")
+    while many > 1:
+        many = buckets(many, per_bucket)
+        dealt = loads.withColumn("parent", hash_bucket(many, "bucket"))
+        step = staged(
+            dealt.groupBy("parent").applyInArrow(
+                lambda table: _combined(table, shards),
+                "bucket int, parent int, to array<int>, moved array<long>",
+            )
+        )
+        assigned = assigned.join(step.select("bucket", "parent", "to"), "bucket").select(
+            "k1", "k2", F.col("parent").alias("bucket"), F.get("to", F.col("bin")).alias("bin")
+        )
+        loads = totals(step, "parent", lambda i: F.sum(F.get("moved", F.lit(i))))
+    return assigned.select("k1", "k2", F.col("bin").alias("shard"))
+
+
 def shard(
     docs: DataFrame, shards: int = 8, row_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per row: id, size (UTF-8 bytes of the text + 1), text_crc32, law 'bytes', shard, slot, grown_shard.
 
     Rows of equal text form a group that stays together; a null text is an empty one. Groups are
-    added up first, so copies cost one row, and dealt to buckets by their hash. Each bucket is
-    differenced in its own task into one partial partition; the driver differences those, one short
-    row per ``GROUPS_PER_BUCKET`` groups. The text itself is never shuffled. ``slot`` numbers a
-    shard's rows from 0 without gaps: rows fall into ranges by the hash of their id, range sizes add
-    up to offsets, and rows are numbered within their range. A group larger than a shard's share
+    added up first, so copies cost one row, and dealt to buckets by their hash. Each bucket of about
+    ``GROUPS_PER_BUCKET`` groups is differenced in its own task into one partial partition, and those
+    again in further rounds. The text itself is never shuffled. ``slot`` numbers a shard's rows from
+    0 without gaps: rows fall into ranges by the hash of their place in the table, range sizes add up
+    to offsets, and rows are numbered within their range, so repeated ids and rows spread as well. A group larger than a shard's share
     makes its shard larger than the others. ``grown_shard`` is null, as the law is 'bytes'.
     """
     content = F.coalesce(F.col(quoted(text)), F.lit(""))
@@ -90,6 +138,7 @@ def shard(
             F.crc32(content.cast("binary")).alias("crc"),
             F.xxhash64(content).alias("k1"),
             F.xxhash64(content, F.lit("second")).alias("k2"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("total"))
@@ -100,28 +149,14 @@ def shard(
             lambda table: _bins(table, shards), "k1 long, k2 long, total long, bucket int, bin int"
         )
     )
-    sums = placed.groupBy("bucket").pivot("bin", list(range(shards))).sum("total").collect()
-    sums.sort(key=lambda row: row["bucket"])
-    chosen = difference([[row[str(i)] or 0 for i in range(shards)] for row in sums])
-    table = {row["bucket"]: bins for row, bins in zip(sums, chosen)}
-
-    def to_shard(batches):
-        for batch in batches:
-            pairs = zip(batch.column("bucket").to_pylist(), batch.column("bin").to_pylist())
-            yield {
-                "k1": batch.column("k1"),
-                "k2": batch.column("k2"),
-                "shard": [table[bucket][i] for bucket, i in pairs],
-            }
-
-    assigned = map_batches(placed, to_shard, "k1 long, k2 long, shard int")
+    assigned = assign(placed, many, shards, GROUPS_PER_BUCKET)
     ranges = max(SLOT_RANGES, buckets(rows.count(), ROWS_PER_SLOT_RANGE))
-    dealt = rows.join(assigned, ["k1", "k2"]).withColumn("range", hash_bucket(ranges, "id"))
-    dealt = staged(dealt.select("id", "size", "crc", "shard", "range"))
+    dealt = rows.join(assigned, ["k1", "k2"]).withColumn("range", hash_bucket(ranges, "row"))
+    dealt = staged(dealt.select("id", "size", "crc", "shard", "range", "row"))
     counts = dealt.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("range")) - F.col("n")
     offsets = counts.select("shard", "range", before.alias("before"))
-    number = F.row_number().over(W.partitionBy("shard", "range").orderBy("id", "crc", "size")) - 1
+    number = F.row_number().over(W.partitionBy("shard", "range").orderBy("row")) - 1
     numbered = dealt.withColumn("number", number).join(offsets, ["shard", "range"])
     return numbered.select(
         F.col("id").alias(row_id),

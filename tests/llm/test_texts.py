@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -70,6 +71,36 @@ def test_shards(docs, texts, monkeypatch, per_bucket, spread):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_rounds_of_differencing(spark):
+    """Partial partitions are combined in rounds; a group keeps to one bin and loads come out even."""
+    random.seed(4)
+    groups = [(i, -i, random.randrange(1, 5000), i % 60, 0) for i in range(3000)]
+    by_bucket = collections.defaultdict(list)
+    for g in groups:
+        by_bucket[g[3]].append(g)
+    placed = []
+    for rows in by_bucket.values():
+        rows.sort(key=lambda g: -g[2])
+        bins = sharding.difference([[0] * 7 + [g[2]] for g in rows])
+        placed += [(*g[:4], chosen[-1]) for g, chosen in zip(rows, bins)]
+    table = spark.createDataFrame(placed, "k1 long, k2 long, total long, bucket int, bin int")
+    for per_bucket in (1000, 7, 2):
+        found = {r.k1: r.shard for r in sharding.assign(table, 60, 8, per_bucket).collect()}
+        assert len(found) == 3000
+        loads = collections.Counter()
+        for i, _, total, _, _ in groups:
+            loads[found[i]] += total
+        assert set(loads) == set(range(8)) and max(loads.values()) - min(loads.values()) < 100
+        # What one bucket put together stays together.
+        assert len({(b, c, found[i]) for i, _, _, b, c in placed}) == 60 * 8
+
+
+def test_rows_that_repeat_an_id_spread(spark):
+    rows = spark.range(0, 5000, 1, 6).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    found = sharding.shard(rows).collect()
+    assert len({r.shard for r in found}) == 1 and sorted(r.slot for r in found) == list(range(5000))
+
+
 def test_differencing():
     bins = sharding.difference([[0, 0, x] for x in (8, 7, 6, 5, 4, 3, 2, 1)])
     loads = [0] * 3
