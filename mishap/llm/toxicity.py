@@ -25,7 +25,7 @@ LEVEL = 13
 
 @dataclass(frozen=True)
 class Params:
-    """Bounds of what is learned from, and when a word is typical of toxic text."""
+    """Bounds of what the dictionaries are learned from, and when a word is typical of toxic text."""
 
     documents_per_class: int = 4_000
     ordinary_bytes: int = 49_152
@@ -169,8 +169,9 @@ def fit(
     Rows are drawn per class in hash order from those not held out. Three folds of four teach the
     dictionaries: a word is typical of toxic text if it stands in clearly more different contexts
     there than its frequency in ordinary text lets expect. The toxic dictionary is made of such
-    words, the ordinary one of the most frequent others. The fourth fold calibrates: the share of
-    toxic texts by the largest gain of a window. Without labels of both classes every score is 0.
+    words, the ordinary one of the most frequent others. All labelled rows that do not teach
+    calibrate, whatever their number, so the class shares are those of the labels: the share of toxic
+    texts by the largest gain of a window. Without labels of both classes every score is 0.
     """
     known = labels.where(F.col(quoted(label)).isin(0, 1) & ~held_out(row_id))
     known = known.groupBy(F.col(quoted(row_id)).alias("id")).agg(F.max(quoted(label)).alias("y"))
@@ -187,9 +188,12 @@ def fit(
     train = texts(docs, row_id, text).join(F.broadcast(sample), F.col("doc_id") == F.col("id"))
     train = held(train.select("doc_id", "text", "number", "y"))
     toxic = {n for n, (_, y) in enumerate(rows) if y}
-    teach, judge = train.where("number % 4 <> 0"), train.where("number % 4 = 0")
+    teach = train.where("number % 4 <> 0")
+    taught = F.broadcast(sample.where("number % 4 <> 0").select("id"))
+    judge = texts(docs, row_id, text).join(known.join(taught, "id", "left_anti"), F.col("doc_id") == F.col("id"))
     n1 = sum(n % 4 != 0 for n in toxic)
     n0 = sum(n % 4 != 0 for n in range(len(rows))) - n1
+    # Too few labels for a dictionary of either class.
     if not n1 or not n0:
         return Model(b"", b"", (-(1 << 30),), (0.0,))
 

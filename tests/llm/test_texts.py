@@ -201,6 +201,35 @@ def test_toxicity_on_held_out_rows(spark):
     assert n[0, 0] / (n[0, 0] + n[0, 1]) > 0.95
 
 
+def test_calibration_follows_the_labels_not_the_draw(spark, sf):
+    """A bound on the rows that teach leaves the class shares of the calibration as they are."""
+    docs = spark.range(1200).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("plain words number "), F.col("id") % 17, F.when(F.col("id") % 6 == 0, " vile rotten filth").otherwise(" good day")).alias("text"),
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 6 == 0).cast("int").alias("toxic"))
+    for per_class in (4000, 80):
+        model = toxicity.fit(docs, labels, params=toxicity.Params(documents_per_class=per_class))
+        scored = toxicity.score(docs, model).join(labels, "doc_id")
+        assert scored.where("predicted <> toxic").isEmpty()
+        # The lowest score is the toxic share among the texts without gain: none of some hundred.
+        assert scored.agg(F.min("score")).first()[0] < 0.003
+
+
+def test_odd_texts_meet_a_fitted_model(spark, odd):
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.fit(given, labels)
+    assert len(model.steps) > 1
+    extra = spark.createDataFrame([(1, "word " * 400_000), (2, "idiot"), (2, "idiot"), (3, "x" * 3_000_000)], "doc_id long, text string")
+    rows = odd.select("doc_id", "text").unionByName(extra)
+    found = toxicity.score(rows, model).collect()
+    assert len(found) == rows.count() and all(0 <= r.score <= 1 for r in found)
+    by_id = {r.doc_id: r.score for r in found}
+    assert by_id[1000] == by_id[1001] == min(by_id.values()) and by_id[1] < 0.5 and by_id[3] < 0.5
+    assert by_id[2] > 0.5 and [r.predicted for r in found if r.doc_id == 2] == [1, 1]
+
+
 def test_toxicity_without_labels(spark, odd, none):
     labels = spark.createDataFrame([(1014, None), (1015, 0)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
