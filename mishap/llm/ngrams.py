@@ -12,9 +12,10 @@ discards pairs:
   The few sets with more are dealt anew by another hash, so that emptiness, which unrelated sets
   have in common, is no signature until the last of several rounds.
   Documents connected by equal signatures form a candidate block, a superset of the links.
-* Documents that share a passage can meet by a range that holds nothing else. So the members of a
-  block beyond one tile are connected anew, by the rarest n-grams of each: of a set of size s, the
-  s - ceil(t s) + 1 n-grams that are rarest in the block include one of any linked set's.
+* Documents that share a passage can meet by a range that holds nothing else. So the members of
+  larger blocks are connected anew, by the first n-grams of each: under any order of the block's
+  n-grams, the first s - ceil(t s) + 1 of a set of size s include one of those of any linked set.
+  The order puts n-grams last that many members of a sample have, such as those of the passage.
 * Blocks are dealt in tiles of bounded size; every pair of tiles is one product, column block by
   column block. Columns that one row alone has cannot add overlap and are left out.
 * A pair is linked if 100 * overlap >= percent * union, in integers. Tiles return one tie per
@@ -35,11 +36,16 @@ from pyspark.sql import Window as W
 
 from mishap.llm.common import field, map_batches, quoted, staged
 from mishap.llm.graphs import components, local_roots
-from mishap.llm.rolling import DIGESTS, mix, runs
+from mishap.llm.rolling import DIGESTS, chain, mix, runs
 
 TILE_GRAMS = 1 << 19
 TILE_ROWS = 512
 COLUMNS_AT_ONCE = 2_048
+# Blocks of more members are connected anew; one member of so many tells the frequent n-grams, of
+# which the order knows so many at most (it shapes the blocks, never the links).
+CLOSE_ROWS = 64
+SAMPLED = 16
+FREQUENT = 1_024
 # Rounds of hash ranges, and the share of sets that may go on to the next one.
 ROUNDS = 12
 NEXT_ROUND = 0.2
@@ -218,25 +224,45 @@ def _tile(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"node": pa.array(nodes[tied], pa.int64()), "root": pa.array(root[tied], pa.int64())})
 
 
-def rare_neighbours(members: DataFrame, percent: int) -> DataFrame:
-    """(node, least) ties between members (block, node, grams) of a block that share a rare n-gram.
+def first_grams(grams: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The n-grams of a set that come first in its block's order: by sampled count, then by hash."""
+    taken = len(grams) + (-len(grams) * percent // 100) + 1
+    count = np.zeros(len(grams), np.int64)
+    if len(frequent):
+        order = np.argsort(frequent)
+        known, numbers = frequent[order], counts[order]
+        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+        count = np.where(known[at] == grams, numbers[at], 0)
+    return grams[np.lexsort((grams, count))[:taken]]
 
-    N-grams are ordered by how many members have them. Linked sets share one of the first
-    ``s - ceil(t s) + 1`` of each set's s n-grams in that order; those of one member alone tie
-    nothing and are not shuffled further.
-    """
-    each = members.select("block", "node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    counts = each.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ordered = F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("shared")
-    shared = each.join(counts, ["block", "gram"]).groupBy("block", "node", "n").agg(ordered)
-    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
-    alone = F.col("n") - F.size("shared")
-    taken = F.greatest(F.lit(0), F.least(F.size("shared"), prefix - alone)).cast("int")
-    signed = shared.select("block", "node", F.explode(F.slice("shared", F.lit(1), taken)).alias("rare"))
-    least = F.min("node").over(
-        W.partitionBy("block", "rare.gram").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
-    )
-    return staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
+
+def _firsts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[dict]:
+    def lists(column: pa.ListArray, dtype: type) -> list[np.ndarray]:
+        return [np.array(x or [], np.int64).view(dtype) for x in column.to_pylist()]
+
+    for batch in batches:
+        sets = lists(batch.column("grams"), np.uint64)
+        known, counts = lists(batch.column("frequent"), np.uint64), lists(batch.column("counts"), np.int64)
+        found = [first_grams(*row, percent) for row in zip(sets, known, counts)]
+        sizes = [len(f) for f in found]
+        block = np.repeat(np.array(batch.column("block").to_pylist(), np.int64).view(np.uint64), sizes)
+        values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        yield {
+            "signature": chain(mix(block), values).view(np.int64),
+            "node": np.repeat(np.array(batch.column("node").to_pylist(), np.int64), sizes),
+        }
+
+
+def close_neighbours(members: DataFrame, percent: int) -> DataFrame:
+    """(signature, node) of members (block, node, grams): linked ones share a signature."""
+    sample = members.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
+    each = sample.select("block", F.explode("grams").alias("gram"))
+    counts = each.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = F.row_number().over(W.partitionBy("block").orderBy(F.desc("n"), "gram"))
+    top = counts.withColumn("place", place).where(F.col("place") <= FREQUENT)
+    known = top.groupBy("block").agg(F.collect_list(F.struct("gram", "n")).alias("top"))
+    known = staged(known.select("block", F.col("top.gram").alias("frequent"), F.col("top.n").alias("counts")))
+    return map_batches(members.join(known, "block", "left"), _firsts, "signature long, node long", percent)
 
 
 def jaccard_components(
@@ -259,13 +285,16 @@ def jaccard_components(
     )
     id_field = field(rows, "doc_id")
     sets = staged(map_batches(rows, _sets, f"{id_field}, n long, {SET}", n))
-    signed = map_batches(rows, _signatures, "signature long, node long", n, percent)
-    least = F.min("node").over(
-        W.partitionBy("signature").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
-    )
-    near = staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
-    blocks = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    blocks = staged(blocks.withColumnRenamed("component", "block"))
+    def blocks_of(signed: DataFrame) -> DataFrame:
+        """(node, block): nodes with a signature in common, directly or by others, form a block."""
+        least = F.min("node").over(
+            W.partitionBy("signature").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
+        )
+        near = staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
+        found = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
+        return found.withColumnRenamed("component", "block")
+
+    blocks = staged(blocks_of(map_batches(rows, _signatures, "signature long, node long", n, percent)))
 
     classes = sets.where("n > 0").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
@@ -283,13 +312,11 @@ def jaccard_components(
         return map_batches(rows.join(members, "doc_id").drop("doc_id"), _members, schema, n)
 
     members = members_of(blocks)
-    large = members.where(F.col("members") > TILE_ROWS)
+    large = members.where(F.col("members") > CLOSE_ROWS).select("doc_id", "block", "node", "set_b")
     if not large.isEmpty():
-        sparse = staged(with_grams(large.select("doc_id", "block", "node", "set_b"), "block long, node long, grams array<long>"))
-        near = rare_neighbours(sparse, percent)
-        again = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
-        kept = members.where(F.col("members") <= TILE_ROWS).select("node", "block")
-        members = members_of(kept.unionByName(again.withColumnRenamed("component", "block")))
+        sparse = staged(with_grams(large, "block long, node long, grams array<long>"))
+        kept = members.where(F.col("members") <= CLOSE_ROWS).select("node", "block")
+        members = members_of(kept.unionByName(blocks_of(close_neighbours(sparse, percent))))
     tiles = F.greatest(F.ceil(F.col("grams_of") / F.lit(TILE_GRAMS)), F.ceil(F.col("members") / F.lit(TILE_ROWS)))
     wanted = members.select("doc_id", "block", tiles.alias("tiles"), "node", "set_b")
     full = with_grams(wanted, "block long, tiles long, node long, grams array<long>")

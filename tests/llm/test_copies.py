@@ -117,8 +117,10 @@ def _near(spark, docs):
 
 @pytest.mark.parametrize("n, percent, tile", [(3, 90, ngrams.TILE_ROWS), (3, 90, 8), (5, 80, ngrams.TILE_ROWS), (5, 80, 8)])
 def test_jaccard_join(spark, docs, monkeypatch, n, percent, tile):
-    """Blocks beyond a tile are connected anew by rare n-grams; no link is lost."""
+    """Larger blocks are connected anew by their members' first n-grams; no link is lost."""
     monkeypatch.setattr(ngrams, "TILE_ROWS", tile)
+    monkeypatch.setattr(ngrams, "CLOSE_ROWS", min(tile, ngrams.CLOSE_ROWS))
+    monkeypatch.setattr(ngrams, "SAMPLED", 2)
     table = _near(spark, docs)
     sets = {r.doc_id: _shingles(r.text or "", n) for r in table.collect()}
     shared = collections.Counter()
@@ -183,6 +185,24 @@ def test_linked_sets_share_a_signature(percent):
             assert mine & theirs, (size, out, swap)
 
 
+@pytest.mark.parametrize("percent", [90, 80])
+def test_first_grams_of_linked_sets_meet(percent):
+    rng = np.random.default_rng(7)
+    for _ in range(400):
+        size = int(rng.integers(1, 60))
+        grams = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        out = int(rng.integers(0, len(grams) * (100 - percent) // 100 + 1))
+        other = np.sort(rng.permutation(grams)[out:])
+        if 100 * len(other) < percent * len(grams):
+            continue
+        frequent = rng.permutation(grams)[: len(grams) // 2]
+        counts = rng.integers(2, 9, len(frequent))
+        mine, theirs = (ngrams.first_grams(g, frequent, counts, percent) for g in (grams, other))
+        assert len(mine) == len(grams) - -(-len(grams) * percent // 100) + 1
+        assert set(mine.tolist()) & set(theirs.tolist())
+    assert ngrams.first_grams(np.array([5, 6], np.uint64), np.array([5], np.uint64), np.array([9]), 90).tolist() == [6]
+
+
 def test_size_classes_meet():
     for low in range(1, 400):
         for high in range(low, low * 100 // 90 + 1):
