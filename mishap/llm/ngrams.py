@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -166,7 +166,9 @@ def _members(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[dict]:
     for batch in batches:
         sets = [gram_set(text, n) for text in batch.column("text").to_pylist()]
         keys = zip(batch.column("node").to_pylist(), batch.column("set_b").to_pylist())
-        rows = [i for i, key in enumerate(keys) if set_key(sets[i]) == key]
+        # Rows that repeat an id bring a member's set again: one of a batch is enough.
+        found = {key: i for i, key in enumerate(keys) if set_key(sets[i]) == key}
+        rows = sorted(found.values())
         taken = batch.take(pa.array(rows, pa.int64()))
         ends = np.cumsum([0, *(len(sets[i]) for i in rows)])
         values = np.concatenate([sets[i] for i in rows] or [np.zeros(0, np.uint64)])
@@ -300,26 +302,25 @@ def jaccard_components(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
     )
 
-    def members_of(found: DataFrame) -> DataFrame:
-        members = classes.join(found, F.col("set_a") == F.col("node"))
-        sizes = members.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("grams_of"))
-        # Block sizes meet the members before the texts do, so that no text travels by block.
-        return staged(
-            members.join(sizes, "block").select("doc_id", "block", "members", "grams_of", "node", "set_b", "n")
-        )
-
-    def with_grams(members: DataFrame, schema: str) -> DataFrame:
-        return map_batches(rows.join(members, "doc_id").drop("doc_id"), _members, schema, n)
-
-    members = members_of(blocks)
-    large = members.where(F.col("members") > CLOSE_ROWS).select("doc_id", "block", "node", "set_b")
+    def sized(found: DataFrame, size: Column) -> DataFrame:
+        """Add the members of the row's block and their n-grams together."""
+        sizes = found.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum(size).alias("grams_of"))
+        return found.join(staged(sizes), "block")
+
+    # Texts meet the members once, by a sort-merge join at any size; from then on their n-grams do.
+    members = staged(classes.join(blocks, F.col("set_a") == F.col("node")).select("doc_id", "block", "node", "set_b"))
+    texts_of = rows.join(members.hint("merge"), "doc_id").drop("doc_id")
+    held_sets = staged(map_batches(texts_of, _members, "block long, node long, grams array<long>", n))
+    sizes = held_sets.select("node", "block", F.size("grams").alias("n")).distinct()
+    marked = sized(sizes, F.col("n"))
+    large = marked.where(F.col("members") > CLOSE_ROWS).select("node")
     if not large.isEmpty():
-        sparse = staged(with_grams(large, "block long, node long, grams array<long>"))
-        kept = members.where(F.col("members") <= CLOSE_ROWS).select("node", "block")
-        members = members_of(kept.unionByName(blocks_of(close_neighbours(sparse, percent))))
+        again = blocks_of(close_neighbours(held_sets.join(large.hint("merge"), "node"), percent))
+        kept = marked.where(F.col("members") <= CLOSE_ROWS).select("node", "block")
+        marked = sized(staged(kept.unionByName(again)).join(sizes.drop("block"), "node"), F.col("n"))
     tiles = F.greatest(F.ceil(F.col("grams_of") / F.lit(TILE_GRAMS)), F.ceil(F.col("members") / F.lit(TILE_ROWS)))
-    wanted = members.select("doc_id", "block", tiles.alias("tiles"), "node", "set_b")
-    full = with_grams(wanted, "block long, tiles long, node long, grams array<long>")
+    dealt_to = staged(marked.select("node", "block", tiles.alias("tiles")))
+    full = held_sets.drop("block").join(dealt_to.hint("merge"), "node")
     dealt = full.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     dealt = dealt.select("block", "node", "grams", "tile", other)
