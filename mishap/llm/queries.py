@@ -64,8 +64,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, scored = toxicity.fit_and_score(docs, table(spark, sf_dir, "labels"), ["doc_id"])
+    return toxicity.verdicts(scored)
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mishap.llm.common import UnitCache, field, held, map_batches, quoted, slices, texts, worker_cache
+from mishap.llm.common import UnitCache, field, held, map_batches, quoted, slices, staged, texts, worker_cache
 
 PUNCTUATION = b".,!?;:\"'()[]"
 # A window is a word with its mirror image, which doubles what a match saves, behind blanks: they
@@ -164,7 +164,23 @@ def fit(
     label: str = "toxic",
     params: Params = Params(),
 ) -> Model:
-    """Learn the dictionaries and the calibration from at most ``documents_per_class`` labelled rows.
+    """The model that ``fit_and_score`` finds."""
+    return fit_and_score(docs, labels, [row_id], row_id, text, label, params)[0]
+
+
+def fit_and_score(
+    docs: DataFrame,
+    labels: DataFrame,
+    columns: Sequence[str],
+    row_id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    params: Params = Params(),
+) -> tuple[Model, DataFrame]:
+    """Learn from the labelled rows, and score all: the model, and ``columns`` with ``_score``.
+
+    Texts are gone through once for both: labels meet the gains, not the texts, so no text is
+    shuffled beyond those that teach.
 
     Rows are drawn per class in hash order from those not held out. Three folds of four teach the
     dictionaries: a word is typical of toxic text if it stands in clearly more different contexts
@@ -173,6 +189,7 @@ def fit(
     calibrate, whatever their number, so the class shares are those of the labels: the share of toxic
     texts by the largest gain of a window. Without labels of both classes every score is 0.
     """
+    columns = list(dict.fromkeys([*columns, row_id]))
     known = labels.where(F.col(quoted(label)).isin(0, 1) & ~held_out(row_id))
     known = known.groupBy(F.col(quoted(row_id)).alias("id")).agg(F.max(quoted(label)).alias("y"))
     rows = []
@@ -190,12 +207,12 @@ def fit(
     toxic = {n for n, (_, y) in enumerate(rows) if y}
     teach = train.where("number % 4 <> 0")
     taught = F.broadcast(sample.where("number % 4 <> 0").select("id"))
-    judge = texts(docs, row_id, text).join(known.join(taught, "id", "left_anti"), F.col("doc_id") == F.col("id"))
     n1 = sum(n % 4 != 0 for n in toxic)
     n0 = sum(n % 4 != 0 for n in range(len(rows))) - n1
     # Too few labels for a dictionary of either class.
     if not n1 or not n0:
-        return Model(b"", b"", (-(1 << 30),), (0.0,))
+        model = Model(b"", b"", (-(1 << 30),), (0.0,))
+        return model, with_score(docs, model, text).select(*map(quoted, columns), "_score")
 
     contexts = map_batches(
         teach.select("number", "text"),
@@ -221,10 +238,12 @@ def fit(
     good = [word for r in common if (word := bytes(r["word"])) not in set(bad)]
     contents = [_content(bad, params.toxic_bytes), _content(good, params.ordinary_bytes)]
 
-    gains = _with_gain(judge.select("text", "y"), *contents, "text")
-    table = gains.groupBy("_gain").agg(F.sum("y").alias("t"), F.count("y").alias("n")).collect()
+    gains = staged(_with_gain(docs, *contents, text).select(*map(quoted, columns), "_gain"))
+    judge = gains.select(F.col(quoted(row_id)).alias("id"), "_gain").join(known.join(taught, "id", "left_anti"), "id")
+    table = judge.groupBy("_gain").agg(F.sum("y").alias("t"), F.count("y").alias("n")).collect()
     steps, shares = _fit_steps({r["_gain"]: (r["t"], r["n"]) for r in table})
-    return Model(contents[0], contents[1], steps, shares)
+    model = Model(contents[0], contents[1], steps, shares)
+    return model, _scored(gains, model)
 
 
 def _content(words: list[bytes], size: int) -> bytes:
@@ -255,7 +274,10 @@ def with_score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     bounded cache, nothing is shuffled, and the model is a few tens of kilobytes. Null and empty
     texts have no window and get the score of texts without any gain. Repeated rows are scored each.
     """
-    gains = _with_gain(docs, model.toxic, model.ordinary, text)
+    return _scored(_with_gain(docs, model.toxic, model.ordinary, text), model)
+
+
+def _scored(gains: DataFrame, model: Model) -> DataFrame:
     shares = F.lit(model.shares[0])
     for step, share in zip(model.steps[1:], model.shares[1:]):
         shares = F.when(F.col("_gain") >= step, F.lit(share)).otherwise(shares)
@@ -265,9 +287,14 @@ def with_score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def score(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, held_out, score as in ``with_score`` and predicted (score >= 0.5)."""
     rows = docs.select(F.col(quoted(row_id)).alias("id"), F.col(quoted(text)).alias("text"))
-    scored = with_score(rows, model).select(
-        F.col("id").alias(row_id),
-        F.coalesce(held_out("id"), F.lit(False)).alias("held_out"),
+    return verdicts(with_score(rows, model).withColumnRenamed("id", row_id), row_id)
+
+
+def verdicts(scored: DataFrame, row_id: str = "doc_id") -> DataFrame:
+    """Per scored row: id, held_out, score and predicted (score >= 0.5)."""
+    found = scored.select(
+        F.col(quoted(row_id)).alias(row_id),
+        F.coalesce(held_out(row_id), F.lit(False)).alias("held_out"),
         F.col("_score").alias("score"),
     )
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
