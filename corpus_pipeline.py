@@ -19,8 +19,8 @@ KEY = "_near_copy_key"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go; it learns from the labels not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit(docs, labels)
-    return toxicity.with_score(docs, model).where("_score < 0.5").drop("_score")
+    _, scored = toxicity.fit_and_score(docs, labels, docs.columns)
+    return scored.where("_score < 0.5").select(*map(quoted, docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
