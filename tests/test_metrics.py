@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from mishap import schemas as S
 from mishap.operators.metrics import balanced_accuracy, classification_report, confusion_matrix
@@ -61,3 +62,18 @@ def test_absent_class_does_not_lower_balanced_accuracy(spark):
     assert balanced_accuracy(confusion_matrix(df)).first()[0] == 0.5
     report = {(r[0], r[1]): r[2] for r in classification_report(confusion_matrix(df)).collect()}
     assert report[("f1", "Low")] == 0.0 and report[("precision", "Medium")] == 0.0
+
+
+def test_each_row_is_predicted_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def predicted(i):
+        calls.add(1)
+        return [*S.RISK_CLASSES, "Other", None][i % 5]
+
+    rows = spark.range(50, numPartitions=2).withColumn(S.RISK, F.lit("Low"))
+    matrix = confusion_matrix(rows.withColumn(S.PREDICTED_RISK, predicted("id")))
+    cells = {(r["truth"], r["predicted"]): r["n"] for r in matrix.collect()}
+    assert cells == {(t, p): 10 if t == "Low" else 0 for t in S.RISK_CLASSES for p in S.RISK_CLASSES}
+    assert calls.value == 50
