@@ -137,6 +137,23 @@ def test_forest_of_drawn_rows(spark, many, monkeypatch):
     assert predict(model, many, ["label"]).where("label <> Predicted_Risk").count() < 40
 
 
+def test_tasks_of_the_fit_do_not_follow_the_table(spark, many, monkeypatch):
+    from mishap.operators import forest
+
+    seen = []
+    fit = forest.RandomForestClassifier.fit
+
+    def counted(self, rows):
+        seen.append((rows.rdd.getNumPartitions(), rows.count()))
+        return fit(self, rows)
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", counted)
+    for parts in (40, 7):
+        params = ForestParams(trees=2, max_depth=2, max_training_rows=100)
+        fit_forest(many.repartition(parts), "label", SET, params, "id")
+    assert seen == [(forest.TRAINING_TASKS, 100)] * 2
+
+
 def test_medians_over_classes(spark, many):
     params = ForestParams()
     profile = training_profile(many, SET, params, "label")
