@@ -1051,16 +1051,17 @@ def kpis(spark, sf):
 # --- Whole stages --------------------------------------------------------------------------------
 
 
+def exactly_cleaned(spark, sf) -> DataFrame:
+    """Cleaned incidents with exact medians of the deduplicated rows."""
+    raw = standin.incidents(spark, sf)
+    return cleaning.clean(raw, median_values=lambda unique: exact_medians(unique, S.MEASURED))
+
+
 @query(standin.cleaned_sql())
 def cleaned_incidents(spark, sf):
-    raw = standin.incidents(spark, sf)
-    unique = hygiene.dedup(raw.drop(*S.DROPPED), [S.INCIDENT_ID])
-    return plain_times(cleaning.clean(raw, median_values=exact_medians(unique, S.MEASURED)))
+    return plain_times(exactly_cleaned(spark, sf))
 
 
 @query(standin.engineered_sql())
 def engineered_incidents(spark, sf):
-    raw = standin.incidents(spark, sf)
-    unique = hygiene.dedup(raw.drop(*S.DROPPED), [S.INCIDENT_ID])
-    cleaned = cleaning.clean(raw, median_values=exact_medians(unique, S.MEASURED))
-    return plain_times(engineering.engineer(cleaned))
+    return plain_times(engineering.engineer(exactly_cleaned(spark, sf)))

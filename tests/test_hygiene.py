@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from mishap import schemas as S
 from mishap.operators.hygiene import (
     dedup,
     fill_constant,
@@ -110,3 +111,25 @@ def test_clean_reads_and_shuffles_the_input_once(spark, sf):
 def test_clean_drops_columns(spark, missing):
     df = spark.createDataFrame([("a", 1.0)], ["ID", missing])
     assert clean(df).columns == ["ID"]
+
+
+@pytest.mark.parametrize("name", ["cleaned_incidents", "engineered_incidents"])
+def test_raw_rows_are_made_and_shuffled_once(spark, monkeypatch, name):
+    from checks import catalog
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def street(i):
+        calls.add(1)
+        return f"Street {i}"
+
+    def raw(spark, sf):
+        fixed = {"ID": F.concat(F.lit("a"), F.col("id") % 30), "Street": street("id"), "Humidity(%)": F.col("id")}
+        columns = [fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in S.RAW.fields]
+        return spark.range(40, numPartitions=2).select(*columns)
+
+    monkeypatch.setattr(catalog.standin, "incidents", raw)
+    rows = catalog.QUERIES[name](spark, "").collect()
+    assert sorted(r["ID"] for r in rows) == sorted(f"a{i}" for i in range(30))
+    assert calls.value == 40
