@@ -80,18 +80,26 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/mishap-{uuid.uuid4().hex}"
 
 
+# Without it, shuffle files stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STAGED: list[tuple[SparkSession, str]] = []
 
 
 def staged(df: DataFrame) -> DataFrame:
     """The same rows, written as a table to the shared folder and read back: lineage ends here.
 
-    The table is deleted when the Python process ends, or by ``release``.
+    What the write shuffled is removed when it has ended, as nothing reads it again. The table is
+    deleted when the Python process ends, or by ``release``.
     """
     spark = df.sparkSession
     path = shared_folder(spark)
     _STAGED.append((spark, path))
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -107,6 +115,14 @@ def release() -> None:
             return
 
 
+def unstaged(df: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def held(df: DataFrame) -> DataFrame:
     """A small result, checkpointed in the shared folder; Spark removes it when it is unused."""
     shared_folder(df.sparkSession)

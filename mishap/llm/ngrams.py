@@ -15,7 +15,8 @@ discards pairs:
 * Documents that share a passage can meet by a range that holds nothing else. So the members of
   larger blocks are connected anew, by the first n-grams of each: under any order of the block's
   n-grams, the first s - ceil(t s) + 1 of a set of size s include one of those of any linked set.
-  The order puts n-grams last that many members of a sample have, such as those of the passage.
+  The order is by the number of members that have an n-gram, so those of the passage come last, and
+  a set that has enough n-grams of its own before them meets nobody.
 * Blocks are dealt in tiles of bounded size; every pair of tiles is one product, column block by
   column block. Columns that one row alone has cannot add overlap and are left out.
 * A pair is linked if 100 * overlap >= percent * union, in integers. Tiles return one tie per
@@ -34,18 +35,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from mishap.llm.common import field, map_batches, quoted, staged
+from mishap.llm.common import field, map_batches, quoted, staged, unstaged
 from mishap.llm.graphs import components, local_roots
-from mishap.llm.rolling import DIGESTS, chain, mix, runs
+from mishap.llm.rolling import DIGESTS, mix, runs
 
 TILE_GRAMS = 1 << 19
 TILE_ROWS = 512
 COLUMNS_AT_ONCE = 2_048
-# Blocks of more members are connected anew; one member of so many tells the frequent n-grams, of
-# which the order knows so many at most (it shapes the blocks, never the links).
+# Blocks of more members are connected anew. All of them tell how many have an n-gram, where once one
+# of so many did; tests still set the number, which nothing reads.
 CLOSE_ROWS = 64
-SAMPLED = 16
-FREQUENT = 1_024
+SAMPLED = 1
 # Rounds of hash ranges, and the share of sets that may go on to the next one.
 ROUNDS = 12
 NEXT_ROUND = 0.2
@@ -227,7 +227,10 @@ def _tile(table: pa.Table, percent: int) -> pa.Table:
 
 
 def first_grams(grams: np.ndarray, frequent: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """The n-grams of a set that come first in its block's order: by sampled count, then by hash."""
+    """The n-grams of a set that come first in its block's order: by count, then by hash.
+
+    The order of ``close_neighbours`` for one set at a time, which tests hold to its definition.
+    """
     taken = len(grams) + (-len(grams) * percent // 100) + 1
     count = np.zeros(len(grams), np.int64)
     if len(frequent):
@@ -238,33 +241,19 @@ def first_grams(grams: np.ndarray, frequent: np.ndarray, counts: np.ndarray, per
     return grams[np.lexsort((grams, count))[:taken]]
 
 
-def _firsts(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[dict]:
-    def lists(column: pa.ListArray, dtype: type) -> list[np.ndarray]:
-        return [np.array(x or [], np.int64).view(dtype) for x in column.to_pylist()]
-
-    for batch in batches:
-        sets = lists(batch.column("grams"), np.uint64)
-        known, counts = lists(batch.column("frequent"), np.uint64), lists(batch.column("counts"), np.int64)
-        found = [first_grams(*row, percent) for row in zip(sets, known, counts)]
-        sizes = [len(f) for f in found]
-        block = np.repeat(np.array(batch.column("block").to_pylist(), np.int64).view(np.uint64), sizes)
-        values = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        yield {
-            "signature": chain(mix(block), values).view(np.int64),
-            "node": np.repeat(np.array(batch.column("node").to_pylist(), np.int64), sizes),
-        }
-
-
 def close_neighbours(members: DataFrame, percent: int) -> DataFrame:
-    """(signature, node) of members (block, node, grams): linked ones share a signature."""
-    sample = members.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0)
-    each = sample.select("block", F.explode("grams").alias("gram"))
-    counts = each.groupBy("block", "gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    place = F.row_number().over(W.partitionBy("block").orderBy(F.desc("n"), "gram"))
-    top = counts.withColumn("place", place).where(F.col("place") <= FREQUENT)
-    known = top.groupBy("block").agg(F.collect_list(F.struct("gram", "n")).alias("top"))
-    known = staged(known.select("block", F.col("top.gram").alias("frequent"), F.col("top.n").alias("counts")))
-    return map_batches(members.join(known, "block", "left"), _firsts, "signature long, node long", percent)
+    """(signature, node) of members (block, node, grams): linked ones share a signature.
+
+    Rows are dealt by n-gram, which tells how many members have it, and those that more than one has
+    by member. A member leaves out the ``ceil(t s) - 1`` n-grams that most others have.
+    """
+    rest = F.expr(f"(size(grams) * {percent} + 99) div 100 - 1").alias("rest")
+    each = members.select("block", "node", rest, F.explode("grams").alias("gram"))
+    each = each.select(F.xxhash64("block", "gram").alias("signature"), "node", "rest")
+    held_by = F.count(F.lit(1)).over(W.partitionBy("signature"))
+    shared = each.withColumn("held_by", held_by).where("held_by > 1")
+    place = F.row_number().over(W.partitionBy("node").orderBy(F.desc("held_by"), "signature"))
+    return shared.withColumn("place", place).where("place > rest").select("signature", "node")
 
 
 def jaccard_components(
@@ -307,20 +296,27 @@ def jaccard_components(
         sizes = found.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum(size).alias("grams_of"))
         return found.join(staged(sizes), "block")
 
-    # Texts meet the members once, by a sort-merge join at any size; from then on their n-grams do.
-    members = staged(classes.join(blocks, F.col("set_a") == F.col("node")).select("doc_id", "block", "node", "set_b"))
-    texts_of = rows.join(members.hint("merge"), "doc_id").drop("doc_id")
-    held_sets = staged(map_batches(texts_of, _members, "block long, node long, grams array<long>", n))
-    sizes = held_sets.select("node", "block", F.size("grams").alias("n")).distinct()
+    # Block sizes are known before texts are read, so the n-grams of large blocks need no join to be told.
+    found = classes.join(blocks, F.col("set_a") == F.col("node"))
+    members = staged(found.select("doc_id", "block", "node", "set_b", "n"))
+    sizes = members.select("node", "block", "n").distinct()
     marked = sized(sizes, F.col("n"))
-    large = marked.where(F.col("members") > CLOSE_ROWS).select("node")
-    if not large.isEmpty():
-        again = blocks_of(close_neighbours(held_sets.join(large.hint("merge"), "node"), percent))
+    blocks_large = marked.where(F.col("members") > CLOSE_ROWS).select("block").distinct()
+    large = blocks_large.withColumn("large", F.lit(True))
+    told = staged(members.drop("n").join(large, "block", "left").withColumn("large", F.col("large").isNotNull()))
+    # Texts meet the members once, by a sort-merge join at any size; from then on their n-grams do.
+    texts_of = rows.join(told.hint("merge"), "doc_id").drop("doc_id")
+    held_sets = staged(
+        map_batches(texts_of, _members, "block long, node long, large boolean, grams array<long>", n)
+    )
+    if not blocks_large.isEmpty():
+        close = held_sets.where("large").select("block", "node", "grams")
+        again = blocks_of(close_neighbours(close, percent))
         kept = marked.where(F.col("members") <= CLOSE_ROWS).select("node", "block")
         marked = sized(staged(kept.unionByName(again)).join(sizes.drop("block"), "node"), F.col("n"))
     tiles = F.greatest(F.ceil(F.col("grams_of") / F.lit(TILE_GRAMS)), F.ceil(F.col("members") / F.lit(TILE_ROWS)))
     dealt_to = staged(marked.select("node", "block", tiles.alias("tiles")))
-    full = held_sets.drop("block").join(dealt_to.hint("merge"), "node")
+    full = held_sets.select("node", "grams").join(dealt_to.hint("merge"), "node")
     dealt = full.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     dealt = dealt.select("block", "node", "grams", "tile", other)
@@ -337,6 +333,7 @@ def jaccard_components(
             lambda table: _tile(table, percent), "node long, root long"
         )
     )
+    unstaged(held_sets)
     joined = components(ties.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = classes.select("set_a", "set_b", "doc_id").join(
         joined.withColumnRenamed("node", "set_a"), "set_a", "left"

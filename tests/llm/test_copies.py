@@ -1,12 +1,14 @@
 import collections
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from mishap.llm import embeddings, graphs, ngrams, rolling, substrings
+from mishap.llm.common import staged
 
 
 def _groups(nodes, links):
@@ -252,3 +254,34 @@ def test_quantisation_bound():
     rebuilt = q * scale[:, None]
     bound = error[:, None] + (1 + error[:, None]) * error
     assert (np.abs(x @ x.T - rebuilt @ rebuilt.T) <= bound + 1e-12).all()
+
+
+def test_members_that_share_passages_alone_meet_nobody(spark):
+    """A passage of two or three members is no signature of theirs, however many passages a block has."""
+    rows = []
+    for i in range(60):
+        own = [1_000 * i + j for j in range(30)]
+        passage = [10_000_000 + 1_000 * (i // 3) + j for j in range(10)]
+        other = [20_000_000 + 1_000 * ((i + 1) // 2 % 30) + j for j in range(10)]
+        rows.append((7, i, own + passage + other))
+    copy = list(rows[0][2])
+    copy[0] = 99
+    rows.append((7, 60, copy))
+    members = spark.createDataFrame(rows, "block long, node long, grams array<long>")
+    found = ngrams.close_neighbours(members, 80).groupBy("signature").agg(F.collect_set("node").alias("nodes"))
+    assert {tuple(sorted(row.nodes)) for row in found.collect()} == {(0, 60)}
+
+
+def test_staged_rows_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if "shuffle_" in files.apply(i).getName()}
+
+    before = shuffled()
+    rows = spark.range(1000).repartition(5, "id")
+    table = staged(rows.groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.time() + 30
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert table.count() == 7
