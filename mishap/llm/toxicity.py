@@ -54,6 +54,10 @@ def mirrored(word: bytes) -> bytes:
     return word[::-1] + b" " + word + b" "
 
 
+# Rows whose texts and new words a task holds at a time.
+ROWS_AT_ONCE = 1_000
+
+
 def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
@@ -107,7 +111,7 @@ def _gains(
     batches: Iterator[pa.RecordBatch], shared: Broadcast, names: list[str]
 ) -> Iterator[dict]:
     cache = _cache(shared)
-    for batch in batches:
+    for batch in (whole.slice(i, ROWS_AT_ONCE) for whole in batches for i in range(0, whole.num_rows, ROWS_AT_ONCE)):
         rows = [text or b"" for text in batch.column("_text").to_pylist()]
         cache.prepare(_words(part) for text in rows for part in slices(text))
         gain = cache.found.__getitem__
