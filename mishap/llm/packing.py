@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator, Mapping, Sequence
-from itertools import filterfalse
+from array import array
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Mapping
+from itertools import compress, count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,36 +19,82 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mishap.llm.bpe import BytePairs
-from mishap.llm.common import UnitCache, field, map_batches, slices, staged, texts, worker_cache
+from mishap.llm.common import field, map_batches, slices, staged, texts, worker_cache
 
 # Words whose normalisation is plain lower case: printable ASCII and Latin letters with accents.
 _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]*")
 # How byte-level files of this family split words: the shape of most words is known without it.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# Rows whose ids are put together at a time.
+# Rows and words whose ids are put together at a time.
 ROWS_AT_ONCE = 1_000
+WORDS_AT_ONCE = 1 << 18
 
 
-class Generations(UnitCache):
-    """A cache that, when full, goes on with what it is asked for again of the entries so far.
+class Table:
+    """Ids of numbered parts: part i has ``counts[i]`` ids from ``starts[i]``."""
 
-    Half of the words of a batch stand in the batch before. Two generations are held, each of at
-    most ``limit`` entries and those of one batch.
-    """
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids, counts
+        self.starts = np.cumsum(counts) - counts
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the parts, one after the other, and the number of ids of each."""
+        counts = self.counts[numbers]
+        places = np.repeat(self.starts[numbers] - (np.cumsum(counts) - counts), counts)
+        places += np.arange(len(places))
+        return self.ids[places], counts
+
+    def followed_by(self, ids: np.ndarray, counts: np.ndarray) -> Table:
+        return Table(np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts]))
+
+
+class Codes:
+    """Ids of parts of text that recur, kept by a Python worker across its tasks.
 
-    older: dict = {}
+    ``numbers`` gives a part its number when it is first asked for, so one lookup serves known and
+    new parts; ``settle`` computes, all at once, the ids of those that are new. A full cache begins
+    anew, and goes on with what it is asked for again of the entries so far: half of the words of a
+    batch stand in the batch before. Two generations are held, each of at most ``limit`` entries and
+    those of one batch. Parts of the seed have the first numbers in each.
+    """
 
-    def prepare(self, units: Iterable[Sequence]) -> None:
-        if len(self.found) > self.limit:
-            self.older, self.found = self.found, {}
-        missing: set = set()
-        for part in units:
-            missing.update(filterfalse(self.found.__contains__, part))
-        again = missing.intersection(self.older)
-        self.found.update(zip(again, map(self.older.__getitem__, again)))
-        parts = list(missing.difference(again))
-        if parts:
-            self.found.update(zip(parts, self.compute(parts)))
+    def __init__(
+        self,
+        compute: Callable[[list], tuple[np.ndarray, np.ndarray]],
+        dtype: np.dtype,
+        seed: Mapping[bytes, int] | None = None,
+        limit: int = 100_000,
+    ):
+        self.compute, self.limit, self.seed = compute, limit, dict(seed or {})
+        ids = np.array(list(self.seed.values()), dtype)
+        self.seeded = Table(ids, np.ones(len(ids), np.int64))
+        self.numbers: dict = {}
+        self.table = self.seeded
+        self._begin()
+
+    def _begin(self) -> None:
+        self.older, self.older_table = self.numbers, self.table
+        self.numbers, self.table = defaultdict(count().__next__), self.seeded
+        for part in self.seed:
+            self.numbers[part]
+
+    def turn(self) -> None:
+        """To be called before each batch."""
+        if len(self.numbers) > self.limit:
+            self._begin()
+
+    def settle(self) -> None:
+        new = list(islice(self.numbers, len(self.table.counts), None))
+        if not new:
+            return
+        before = np.fromiter(map(self.older.get, new, repeat(-1)), np.int64, len(new))
+        missing = before < 0
+        known = Table(*self.older_table.take(before[~missing]))
+        both = known.followed_by(*self.compute(list(compress(new, missing.tolist()))))
+        order = np.empty(len(new), np.int64)
+        order[~missing] = np.arange(len(known.counts))
+        order[missing] = np.arange(len(known.counts), len(new))
+        self.table = self.table.followed_by(*both.take(order))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,7 +105,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _WordEncoder:
-    """Ids of words without white space, as little-endian unsigned integers of ``width`` bytes.
+    """Ids of words without white space, as little-endian unsigned integers, and their numbers.
 
     Plain words are split by the tokenizer file's own pattern and merged together by its rules; all
     others, and words that may hold a special token, go through the tokenizers library.
@@ -68,7 +116,7 @@ class _WordEncoder:
         content = json.loads(source)
         model, vocab = content["model"], content["model"]["vocab"]
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
-        self.tokens = Generations(self._merge, limit=100_000)
+        self.tokens = Codes(self._merge, self.dtype)
         self.special = [t["content"].encode() for t in content["added_tokens"]]
         steps = [s["type"] for s in (content["normalizer"] or {}).get("normalizers", [])]
         splits = (content["pre_tokenizer"] or {}).get("pretokenizers", [])
@@ -93,41 +141,49 @@ class _WordEncoder:
                 [vocab[letters[b] + end] for b in range(256)],
             )
 
-    def _merge(self, tokens: list[str]) -> list[bytes]:
+    def _merge(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = self.rules.encode([token.encode() for token in tokens])
-        data, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-        ends = (np.cumsum(counts) * width).tolist()
-        return list(map(data.__getitem__, map(slice, [0, *ends], ends)))
-
-    def _parts(self, text: str) -> list[str]:
-        """The tokens of a plain word in lower case. Letters with a closing mark need no pattern."""
-        if self.simple:
-            body = text.rstrip(".,;:!?")
-            if body.isalpha():
-                return [body] if len(body) == len(text) else [body, text[len(body) :]]
-        return self.pattern.findall(text)
-
-    def __call__(self, words: list[bytes]) -> list[bytes]:
+        return ids.astype(self.dtype), counts
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         # Words hold no white space, so all of them are decoded at once.
         joined = b"\n".join(words)
         marks = [mark for mark in {s[:2] for s in self.special} if mark in joined]
-        found: list[bytes] = [b""] * len(words)
-        places, tokens, ends = [], [], [0]
-        for place, text in enumerate(joined.decode().split("\n") if words else ()):
+        decoded = joined.decode()
+        texts, lowered = (decoded.split("\n"), decoded.lower().split("\n")) if words else ([], [])
+        plain, others, found = [], [], []
+        tokens: list[str] = []
+        ends = [0]
+        for place, (text, low) in enumerate(zip(texts, lowered)):
             special = marks and any(mark in words[place] for mark in marks)
             if self.rules is None or special or not (text.isascii() or _PLAIN.fullmatch(text)):
-                ids = self.library.encode(text, add_special_tokens=False).ids
-                found[place] = np.array(ids, self.dtype).tobytes()
+                others.append(place)
+                found.append(self.library.encode(text, add_special_tokens=False).ids)
+                continue
+            # Letters with a closing mark need no pattern.
+            if not self.simple:
+                tokens += self.pattern.findall(low)
+            elif low.isalpha():
+                tokens.append(low)
+            elif (body := low.rstrip(".,;:!?")).isalpha():
+                tokens += body, low[len(body) :]
             else:
-                tokens += self._parts(text.lower())
-                places.append(place)
-                ends.append(len(tokens))
+                tokens += self.pattern.findall(low)
+            plain.append(place)
+            ends.append(len(tokens))
         # The same token stands in many words, with other punctuation.
-        self.tokens.prepare([tokens])
-        known = list(map(self.tokens.found.__getitem__, tokens))
-        for place, start, end in zip(places, ends, ends[1:]):
-            found[place] = known[start] if end == start + 1 else b"".join(known[start:end])
-        return found
+        self.tokens.turn()
+        numbers = np.fromiter(map(self.tokens.numbers.__getitem__, tokens), np.int64, len(tokens))
+        self.tokens.settle()
+        ids, counts = self.tokens.table.take(numbers)
+        counts = np.diff(np.concatenate([[0], np.cumsum(counts)])[ends])
+        if not others:
+            return ids, counts
+        order = np.empty(len(words), np.int64)
+        order[plain] = np.arange(len(plain))
+        order[others] = np.arange(len(plain), len(words))
+        ids_of_others = np.array([i for ids in found for i in ids], self.dtype)
+        return Table(ids, counts).followed_by(ids_of_others, np.array(list(map(len, found)))).take(order)
 
 
 def _words(text: bytes) -> list[bytes]:
@@ -137,31 +193,42 @@ def _words(text: bytes) -> list[bytes]:
 
 def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) -> Iterator[dict]:
     key, source = shared.value
-    cache = worker_cache(
-        ("words", key), lambda: Generations(_WordEncoder(source), limit=100_000)
-    )
-    dtype = cache.compute.dtype
-    part, before, last = TaskContext.get().partitionId(), 0, np.array([end], dtype).tobytes()
+
+    def codes_of_words() -> Codes:
+        encoder = _WordEncoder(source)
+        return Codes(encoder, encoder.dtype, {b"": end})
+
+    # No word is empty, so the empty one stands for the end of a text.
+    codes = worker_cache(("words", key, end), codes_of_words)
+    width = codes.table.ids.itemsize
+    part, before = TaskContext.get().partitionId(), 0
     for batch in batches:
-        rows = [text or b"" for text in batch.column("text").to_pylist()]
-        cache.prepare(_words(part) for text in rows for part in slices(text))
-        ids_of = cache.found.__getitem__
-        for start in range(0, len(rows), ROWS_AT_ONCE):
-            encoded = [
-                b"".join([*[b"".join(map(ids_of, _words(p))) for p in slices(text)], last])
-                for text in rows[start : start + ROWS_AT_ONCE]
-            ]
-            counts = np.array([len(ids) // dtype.itemsize for ids in encoded], np.int64)
-            places = before + np.cumsum(counts) - counts
-            before += int(counts.sum())
+        codes.turn()
+        number, numbers, ends = codes.numbers.__getitem__, array("i"), [0]
+        for text in batch.column("text").to_pylist():
+            for piece in slices(text or b""):
+                numbers.extend(map(number, _words(piece)))
+            numbers.append(number(b""))
+            ends.append(len(numbers))
+        codes.settle()
+        numbers, ends = np.frombuffer(numbers, np.intc), np.array(ends)
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            bounds = ends[start : start + ROWS_AT_ONCE + 1]
+            own = numbers[bounds[0] : bounds[-1]]
+            taken = (codes.table.take(own[i : i + WORDS_AT_ONCE])[0] for i in range(0, len(own), WORDS_AT_ONCE))
+            ids = b"".join(some.tobytes() for some in taken)
+            counts = np.add.reduceat(codes.table.counts[own], bounds[:-1] - bounds[0])
+            stops = np.cumsum(counts)
+            cuts = (width * stops).tolist()
             yield {
                 "doc_id": batch.column("doc_id").slice(start, ROWS_AT_ONCE),
-                "part": [part] * len(encoded),
-                "before": places,
+                "part": [part] * len(counts),
+                "before": before + stops - counts,
                 "n": counts,
-                "width": [dtype.itemsize] * len(encoded),
-                "ids": encoded,
+                "width": [width] * len(counts),
+                "ids": [ids[a:b] for a, b in zip([0, *cuts], cuts)],
             }
+            before += int(stops[-1])
 
 
 def tokenise(

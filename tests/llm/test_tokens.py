@@ -1,8 +1,10 @@
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers as public
 import sentencepiece
@@ -121,3 +123,30 @@ def test_odd_tables(odd, none):
     assert token_counts.token_counts(none, MODEL).count() == 0
     assert byte_bpe.decode(byte_bpe.encode(none, RANKS, public.PATTERN), RANKS).count() == 0
     assert packing.pack(packing.tokenise(none, WORDS)).count() == 0
+
+
+def test_packing_goes_through_every_word_once(odd, monkeypatch):
+    """Words are split once, whatever is new of them, and generations of the cache give the library's ids."""
+    with open(WORDS, "rb") as file:
+        source = file.read()
+    rows = [(row.doc_id, (row.text or "").encode()) for row in odd.collect()]
+    rows += [(2000 + i, f"word{i % 40} of{i % 7} end".encode()) for i in range(200)]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in rows[a : a + 25]]) for a in range(0, len(rows), 25)]
+    split = packing._words
+    calls = []
+    monkeypatch.setattr(packing, "_words", lambda text: calls.append(text) or split(text))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 16, raising=False)
+    monkeypatch.setattr(packing, "ROWS_AT_ONCE", 10)
+    monkeypatch.setattr(common, "_ACTIVE", {})
+    if hasattr(packing, "Codes"):
+        monkeypatch.setattr(packing.Codes.__init__, "__defaults__", (None, 20))
+    found = list(packing._tokenise(iter(batches), SimpleNamespace(value=("small", source)), 2))
+    assert len(calls) == len(rows)
+    library, before = Tokenizer.from_file(WORDS), 0
+    ids = [i for out in found for i in out["ids"]]
+    places = [place for out in found for place in out["before"]]
+    for (_, text), data, place in zip(rows, ids, places, strict=True):
+        expected = library.encode(text.decode(), add_special_tokens=False).ids + [2]
+        assert np.frombuffer(data, "<u2").tolist() == expected and place == before
+        before += len(expected)
