@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from mishap.llm.common import held
 
 
-def _roots(pointers: DataFrame) -> DataFrame:
+def _roots(pointers: DataFrame, rows: int) -> DataFrame:
     """Follow pointers (a, p), each to a smaller node, to their ends; chains halve by every jump."""
     while True:
         further = pointers.select(F.col("a").alias("p"), F.col("p").alias("next"))
         jumped = pointers.join(further, "p", "left").select(
             "a", F.coalesce("next", "p").alias("p"), F.col("next").isNotNull().alias("moved")
         )
-        jumped = held(jumped)
+        jumped = held(jumped, rows)
         pointers = jumped.select("a", "p")
         if jumped.where("moved").isEmpty():
             return pointers
@@ -29,20 +29,22 @@ def components(edges: DataFrame) -> DataFrame:
     to their roots, and the edges shrink to those between different roots, so that a round leaves at
     most half of the nodes that had edges. A hub with many edges is only a join key (which adaptive
     execution splits) and a minimum that tasks combine before the shuffle; no round holds more rows
-    than there are edges. Rounds are checkpointed, so lost executors cost one round.
+    than there are edges. Rounds are checkpointed, so lost executors cost one round; the edges are
+    counted first, as no checkpoint needs more files than they fill. Edges should be a written table.
     """
+    rows = edges.count()
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = held(edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
+    edges = held(edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), rows)
     rounds = []
     while not edges.isEmpty():
-        pointers = _roots(held(edges.groupBy("a").agg(F.min("b").alias("p"))))
+        pointers = _roots(held(edges.groupBy("a").agg(F.min("b").alias("p")), rows), rows)
         rounds.append(pointers)
         left = edges.join(pointers, "a").select(F.col("p").alias("x"), "b")
         right = pointers.select(F.col("a").alias("b"), F.col("p").alias("y"))
         both = left.join(right, "b", "left").select(
             F.col("x").alias("a"), F.coalesce("y", "b").alias("b")
         )
-        edges = held(both.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
+        edges = held(both.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), rows)
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     found = rounds.pop()
@@ -50,7 +52,7 @@ def components(edges: DataFrame) -> DataFrame:
         earlier = rounds.pop()
         later = found.select(F.col("a").alias("p"), F.col("p").alias("root"))
         merged = earlier.join(later, "p", "left").select("a", F.coalesce("root", "p").alias("p"))
-        found = held(merged.unionByName(found))
+        found = held(merged.unionByName(found), rows)
     roots = found.select(F.col("p").alias("a"), "p").distinct()
     return found.unionByName(roots).select(F.col("a").alias("node"), F.col("p").alias("component"))
 

@@ -276,16 +276,18 @@ def jaccard_components(
     )
     id_field = field(rows, "doc_id")
     sets = staged(map_batches(rows, _sets, f"{id_field}, n long, {SET}", n))
+    number = sets.count()
+
     def blocks_of(signed: DataFrame) -> DataFrame:
         """(node, block): nodes with a signature in common, directly or by others, form a block."""
         least = F.min("node").over(
             W.partitionBy("signature").orderBy("node").rowsBetween(W.unboundedPreceding, 0)
         )
-        near = staged(signed.select("node", least.alias("least")).where("node <> least").distinct())
+        near = staged(signed.select("node", least.alias("least")).where("node <> least").distinct(), number)
         found = components(near.select(F.col("node").alias("a"), F.col("least").alias("b")))
         return found.withColumnRenamed("component", "block")
 
-    blocks = staged(blocks_of(map_batches(rows, _signatures, "signature long, node long", n, percent)))
+    blocks = staged(blocks_of(map_batches(rows, _signatures, "signature long, node long", n, percent)), number)
 
     classes = sets.where("n > 0").groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n")
@@ -294,16 +296,17 @@ def jaccard_components(
     def sized(found: DataFrame, size: Column) -> DataFrame:
         """Add the members of the row's block and their n-grams together."""
         sizes = found.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum(size).alias("grams_of"))
-        return found.join(staged(sizes), "block")
+        return found.join(staged(sizes, number), "block")
 
     # Block sizes are known before texts are read, so the n-grams of large blocks need no join to be told.
     found = classes.join(blocks, F.col("set_a") == F.col("node"))
-    members = staged(found.select("doc_id", "block", "node", "set_b", "n"))
+    members = staged(found.select("doc_id", "block", "node", "set_b", "n"), number)
     sizes = members.select("node", "block", "n").distinct()
     marked = sized(sizes, F.col("n"))
     blocks_large = marked.where(F.col("members") > CLOSE_ROWS).select("block").distinct()
     large = blocks_large.withColumn("large", F.lit(True))
-    told = staged(members.drop("n").join(large, "block", "left").withColumn("large", F.col("large").isNotNull()))
+    told = members.drop("n").join(large, "block", "left").withColumn("large", F.col("large").isNotNull())
+    told = staged(told, number)
     # Texts meet the members once, by a sort-merge join at any size; from then on their n-grams do.
     texts_of = rows.join(told.hint("merge"), "doc_id").drop("doc_id")
     held_sets = staged(
@@ -313,9 +316,9 @@ def jaccard_components(
         close = held_sets.where("large").select("block", "node", "grams")
         again = blocks_of(close_neighbours(close, percent))
         kept = marked.where(F.col("members") <= CLOSE_ROWS).select("node", "block")
-        marked = sized(staged(kept.unionByName(again)).join(sizes.drop("block"), "node"), F.col("n"))
+        marked = sized(staged(kept.unionByName(again), number).join(sizes.drop("block"), "node"), F.col("n"))
     tiles = F.greatest(F.ceil(F.col("grams_of") / F.lit(TILE_GRAMS)), F.ceil(F.col("members") / F.lit(TILE_ROWS)))
-    dealt_to = staged(marked.select("node", "block", tiles.alias("tiles")))
+    dealt_to = staged(marked.select("node", "block", tiles.alias("tiles")), number)
     full = held_sets.select("node", "grams").join(dealt_to.hint("merge"), "node")
     dealt = full.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")

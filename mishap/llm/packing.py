@@ -12,6 +12,7 @@ from itertools import compress, count, islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from mishap.llm.bpe import BytePairs
-from mishap.llm.common import field, map_batches, slices, staged, texts, worker_cache
+from mishap.llm.common import buckets, field, map_batches, slices, staged, texts, worker_cache
 
 # Words whose normalisation is plain lower case: printable ASCII and Latin letters with accents.
 _PLAIN = re.compile(r"[\x21-\x7e\xc0-\xff]*")
@@ -28,6 +29,8 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Rows and words whose ids are put together at a time.
 ROWS_AT_ONCE = 1_000
 WORDS_AT_ONCE = 1 << 18
+# Text whose new words are merged together.
+BYTES_AT_ONCE = 1 << 23
 
 
 class Table:
@@ -191,6 +194,13 @@ def _words(text: bytes) -> list[bytes]:
     return text.split() if b"<|" in text else text.lower().split()
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of about equal row counts, of at most about ``BYTES_AT_ONCE`` of text each."""
+    size = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+    rows = -(-batch.num_rows // buckets(size, BYTES_AT_ONCE)) or 1
+    return (batch.slice(start, rows) for start in range(0, batch.num_rows, rows))
+
+
 def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) -> Iterator[dict]:
     key, source = shared.value
 
@@ -202,14 +212,15 @@ def _tokenise(batches: Iterator[pa.RecordBatch], shared: Broadcast, end: int) ->
     codes = worker_cache(("words", key, end), codes_of_words)
     width = codes.table.ids.itemsize
     part, before = TaskContext.get().partitionId(), 0
-    for batch in batches:
+    for batch in (some for whole in batches for some in _parts(whole)):
         codes.turn()
         number, numbers, ends = codes.numbers.__getitem__, array("i"), [0]
-        for text in batch.column("text").to_pylist():
-            for piece in slices(text or b""):
-                numbers.extend(map(number, _words(piece)))
-            numbers.append(number(b""))
-            ends.append(len(numbers))
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            for text in batch.column("text").slice(start, ROWS_AT_ONCE).to_pylist():
+                for piece in slices(text or b""):
+                    numbers.extend(map(number, _words(piece)))
+                numbers.append(number(b""))
+                ends.append(len(numbers))
         codes.settle()
         numbers, ends = np.frombuffer(numbers, np.intc), np.array(ends)
         for start in range(0, batch.num_rows, ROWS_AT_ONCE):

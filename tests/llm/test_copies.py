@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import pathlib
 import random
 import time
 
@@ -285,3 +286,22 @@ def test_staged_rows_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not shuffled() - before
     assert table.count() == 7
+
+
+def test_few_rows_are_written_to_few_files(spark):
+    """However many partitions a shuffle has, rounds over few edges write a file each, not one per partition."""
+    edges = staged(spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long"))
+    folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    written = set(folder.rglob("part-*"))
+    names = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        found = graphs.components(edges)
+        rows = {r.node: r.component for r in found.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert rows == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+    assert 0 < len(set(folder.rglob("part-*")) - written) < 50
