@@ -6,7 +6,7 @@ from mishap import schemas as S
 from mishap.operators import forest
 from mishap.sources.tables import stage
 
-QUERIES = ["kpis", "risk_metrics", "risk_model_holds"]
+QUERIES = ["kpis", "risk_metrics", "risk_model_holds", "risk_predictions"]
 
 
 class Fitted(Exception):
